@@ -5,7 +5,7 @@ Recency is the arrival order (`offset`), never a timestamp or a file name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from station_telemetry.functions import record_json
@@ -16,15 +16,15 @@ RECORD_HEADER_BYTES = 8  # fixed value: two four-byte lengths before key and val
 def latest(log: DataFrame, key: str, order: str) -> DataFrame:
     """The row with the highest `order` per key, all columns.
 
-    `max_by` over the whole row is combined before the shuffle, so a hot key sends one row per
-    task, and needs neither a window nor a second pass over the data.
+    Spark turns "first row per key" into a limit per key before the shuffle, so a hot key sends
+    one row per task. Measured against `max_by` over the whole row and against a join with the
+    maxima, this is the fastest for few, many and hot keys alike.
     """
-    others = [c for c in log.columns if c != key]
+    newest_first = Window.partitionBy(key).orderBy(F.col(order).desc())
     return (
-        log.groupBy(key)
-        .agg(F.max_by(F.struct(*others), F.col(order)).alias("_row"))
-        .select(key, "_row.*")
-        .select(*log.columns)
+        log.withColumn("_rank", F.row_number().over(newest_first))
+        .where(F.col("_rank") == 1)
+        .drop("_rank")
     )
 
 
