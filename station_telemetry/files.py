@@ -24,3 +24,8 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; empty when the folder does not exist."""
     fs, p = _open(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _open(spark, path)
+    fs.delete(p, True)

@@ -101,3 +101,17 @@ class KeyedTable:
                 f"{self.root}/snapshot/through={upto}"
             )
         return max(through, upto)
+
+    def vacuum(self) -> None:
+        """Removes changes and snapshots that the newest snapshot replaces.
+
+        Queries that still read an older snapshot fail, so run it when none does.
+        """
+        through = self._newest("snapshot", "through=")
+        for folder, prefix, old in (
+            ("changes", "position=", lambda p: p <= through),
+            ("snapshot", "through=", lambda p: p < through),
+        ):
+            for name in files.child_names(self.spark, f"{self.root}/{folder}"):
+                if name.startswith(prefix) and old(int(name.removeprefix(prefix))):
+                    files.remove_folder(self.spark, f"{self.root}/{folder}/{name}")

@@ -41,17 +41,18 @@ def watch(
 ) -> None:
     """Passes on an interval until `stop()`; a failed pass is logged and tried again."""
     while not stop():
-        query = start(make_writer(), name, interval=interval)
+        query = None
         try:
-            while query.isActive and not stop():
-                query.awaitTermination(1)
-            if query.exception() is not None:
-                raise query.exception()
+            query = start(make_writer(), name, interval=interval)
+            while not query.awaitTermination(1):  # raises when the query failed
+                if stop():
+                    return
         except Exception:
             log.exception("%s failed, next try in %d s", name, interval)
             time.sleep(interval)
         finally:
-            query.stop()
+            if query is not None:
+                query.stop()
 
 
 class StateLog(StreamingQueryListener):
