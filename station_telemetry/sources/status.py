@@ -103,7 +103,21 @@ def landed_messages(
     return reader.parquet(path)
 
 
-def landed_payloads(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Third-party JSON payloads landed as text, one per line, in `payload`."""
+def landed_payloads(
+    spark: SparkSession, path: str, station_id: int, streaming: bool = False
+) -> DataFrame:
+    """Third-party JSON payloads landed as text, one per line: (payload, stationId, arrived).
+
+    `arrived` orders them by file time, file and split. Within a split, lines are read in order
+    by one task.
+    """
     reader = spark.readStream if streaming else spark.read
-    return reader.text(path).withColumnRenamed("value", "payload")
+    return reader.text(path).select(
+        F.col("value").alias("payload"),
+        F.lit(station_id).cast("bigint").alias("stationId"),
+        F.struct(
+            F.unix_millis(F.col("_metadata.file_modification_time")).alias("millis"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+        ).alias("arrived"),
+    )

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from station_telemetry import files
 from station_telemetry.functions import record_json
-from station_telemetry.operators.documents import normalize, required_fields
+from station_telemetry.operators import openmeteo
+from station_telemetry.operators.documents import (
+    has_required_fields,
+    normalize,
+    required_fields,
+)
 from station_telemetry.operators.rain import rain_events
 from station_telemetry.operators.state import keyed_messages, latest
 from station_telemetry.schemas import SNAPSHOT
@@ -16,6 +24,8 @@ from station_telemetry.sinks.archive import archive_writer
 from station_telemetry.sinks.keyed import KeyedTable
 from station_telemetry.sinks.topics import rain_frame
 
+log = logging.getLogger(__name__)
+
 
 def rain_feed(messages: DataFrame) -> DataFrame:
     """Rain events as a topic frame; stateless."""
@@ -63,14 +73,74 @@ def ingest_feed(
 ) -> DataStreamWriter:
     """Archive rows (with `arrived`) as documents into the table, rows without ids as rejects.
 
-    A batch is committed after both are written, and a retry overwrites them. The second scan
-    for rejects reads little: the null filter on the ids is pushed into the files.
+    The rejects are counted while the documents are written, so files are read a second time
+    only for batches that have some. A batch is committed after both are written, and a retry
+    overwrites them.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         position = table.position(batch_id, generation)
-        good, rejected = required_fields(batch)
-        table.upsert(normalize(good, keep=("arrived",)), position)
-        rejected.write.mode("overwrite").parquet(f"{table.root}/rejects/position={position}")
+        seen = Observation()
+        missing = ~has_required_fields(batch)
+        counted = batch.observe(seen, F.count_if(missing).alias("rejected"))
+        table.upsert(normalize(counted, keep=("arrived",)), position)
+        if seen.get["rejected"]:
+            path = f"{table.root}/rejects/position={position}"
+            log.warning("%d rows without station or number: %s", seen.get["rejected"], path)
+            required_fields(batch)[1].write.mode("overwrite").parquet(path)
 
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+
+
+def payload_feed(payloads: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
+    """Third-party payloads (payload, stationId, arrived) as numbered readings.
+
+        <root>/readings/position=<batch>/   readings
+        <root>/rejects/position=<batch>/    payloads that do not parse or have no time
+        <root>/numbers/position=<batch>/    last number per station after the batch
+
+    Numbers go on from the batch before. A retried batch starts from the same numbers and
+    overwrites its folders. Each batch is numbered in parallel, however few the stations are.
+    """
+
+    def folder(kind: str, position: int) -> str:
+        return f"{root}/{kind}/position={position}"
+
+    def last_numbers(spark: SparkSession, batch_id: int) -> DataFrame:
+        schema = T.StructType(
+            [T.StructField("stationId", T.LongType()), T.StructField("_last", T.LongType())]
+        )
+        names = files.child_names(spark, f"{root}/numbers")
+        earlier = [n for n in (int(n.partition("=")[2]) for n in names) if n < batch_id]
+        if not earlier:
+            return spark.createDataFrame([], schema)
+        for old in sorted(earlier)[:-1]:
+            files.remove_folder(spark, folder("numbers", old))
+        return spark.read.schema(schema).parquet(folder("numbers", max(earlier)))
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        lines = batch.withColumn("line", F.monotonically_increasing_id())
+        parsed, unparsed = openmeteo.parse_payloads(lines)
+        before = last_numbers(spark, batch_id)
+        start = F.coalesce(F.col("_last"), F.lit(0))
+        numbered = (
+            openmeteo.assign_sequence(parsed, ["arrived", "line"])
+            .join(before, "stationId", "left")
+            .withColumn("sequenceNumber", F.col("sequenceNumber") + start)
+            .drop("_last")
+        )
+        good, untimed = openmeteo.to_readings(numbered)
+        good.drop("payload").write.mode("overwrite").parquet(folder("readings", batch_id))
+        rejected = unparsed.unionByName(untimed.select(*unparsed.columns))
+        rejected.write.mode("overwrite").parquet(folder("rejects", batch_id))
+        reached = numbered.groupBy("stationId").agg(F.max("sequenceNumber").alias("_last"))
+        (
+            reached.unionByName(before)
+            .groupBy("stationId")
+            .agg(F.max("_last").alias("_last"))
+            .write.mode("overwrite")
+            .parquet(folder("numbers", batch_id))
+        )
+
+    return payloads.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -26,3 +26,12 @@ def test_central_ingest_and_views(spark, tmp_path, capsys):
     assert main(ingest) == 0 and main(ingest) == 0
     table = document_table(spark, documents).current()
     assert table.count() == 300 and table.agg(F.count_distinct("doc_id")).first()[0] == 300
+
+
+def test_payloads(spark, tmp_path):
+    (tmp_path / "landed").mkdir()
+    (tmp_path / "landed" / "1.txt").write_text('{"current":{"time":"2024-01-01T10:15"}}\n')
+    data = str(tmp_path / "data")
+    assert main(["payloads", "--payloads", str(tmp_path / "landed"), "--data", data, "--once"]) == 0
+    row = spark.read.parquet(f"{data}/readings").first()
+    assert (row.stationId, row.sequenceNumber, row.batteryStatus) == (100, 1, "NOT_AVAILABLE")

@@ -9,7 +9,7 @@ from station_telemetry.sinks.archive import write_archive
 from station_telemetry.sinks.documents import document_table
 from station_telemetry.sinks.topics import file_writer
 from station_telemetry.sources.archive import archive_scan, archive_stream
-from station_telemetry.sources.status import landed_messages
+from station_telemetry.sources.status import landed_messages, landed_payloads
 from station_telemetry.streaming import feeds
 from station_telemetry.streaming.runs import Central, run_once, start, watch
 
@@ -224,3 +224,36 @@ def test_watch_retries_after_a_failure(spark, landed, tmp_path):
 
     watch(make_writer, "watched", interval=1, stop=copied)
     assert len(tries) >= 2 and copied()
+
+
+def test_payload_numbers_go_on_across_batches(spark, tmp_path):
+    landed, root, checkpoint = tmp_path / "landed", str(tmp_path / "root"), str(tmp_path / "c")
+    landed.mkdir()
+
+    def land(name, *times):
+        lines = [t if t == "bad" else '{"current":{"time":"%s","temperature_2m":1.5}}' % t for t in times]
+        (landed / name).write_text("\n".join(lines) + "\n")
+
+    def one_pass(at=checkpoint):
+        stream = landed_payloads(spark, str(landed), 100, streaming=True)
+        run_once(feeds.payload_feed(stream, root, at), "payloads")
+
+    def numbers():
+        got = spark.read.parquet(f"{root}/readings")
+        return sorted((r.statusTimeStamp - MS, r.sequenceNumber) for r in got.collect())
+
+    land("a.txt", "2024-01-01T00:00", "bad", "noon", "2024-01-01T00:01")
+    one_pass()
+    assert numbers() == [(0, 1), (60_000, 3)]
+    land("b.txt", "2024-01-01T00:02", "2024-01-01T00:03")
+    one_pass()
+    one_pass()
+    want = [(0, 1), (60_000, 3), (120_000, 4), (180_000, 5)]
+    assert numbers() == want
+    rejects = spark.read.parquet(f"{root}/rejects")
+    assert sorted(r.payload for r in rejects.collect())[0] == "bad" and rejects.count() == 2
+    # A batch that failed after writing is run again: same start, same numbers.
+    for mark in ("1", ".1.crc"):
+        (tmp_path / "c" / "commits" / mark).unlink()
+    one_pass()
+    assert numbers() == want
