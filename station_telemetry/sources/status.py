@@ -56,10 +56,13 @@ STATUS_AVRO = json.dumps(
 )
 
 
-def kafka_options(servers: str, topic: str = STATUS_TOPIC, flush_policy: bool = False) -> dict[str, str]:
+def kafka_options(
+    servers: str, topic: str = STATUS_TOPIC, flush_policy: bool = False, **extra: str
+) -> dict[str, str]:
     """Options of the Kafka source, from the earliest message.
 
     `flush_policy` starts a micro-batch at FLUSH_RECORDS waiting messages or after FLUSH_DELAY.
+    Pass `maxOffsetsPerTrigger` to bound the batches that work off a long backlog.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -68,7 +71,7 @@ def kafka_options(servers: str, topic: str = STATUS_TOPIC, flush_policy: bool =
     }
     if flush_policy:
         options |= {"minOffsetsPerTrigger": str(FLUSH_RECORDS), "maxTriggerDelay": FLUSH_DELAY}
-    return options
+    return options | extra
 
 
 def subscribe(spark: SparkSession, options: dict[str, str], streaming: bool = True) -> DataFrame:
