@@ -3,7 +3,7 @@
     python -m station_telemetry central  --messages DIR | --servers HOST:PORT  --data DIR [--once]
     python -m station_telemetry ingest   --archive DIR --documents DIR --checkpoint DIR (--once | --watch)
     python -m station_telemetry payloads --payloads DIR --data DIR (--once | --watch)
-    python -m station_telemetry compact  --data DIR
+    python -m station_telemetry compact  (--data DIR | --documents DIR) [--vacuum]
     python -m station_telemetry view     --data DIR --key KEY
     python -m station_telemetry view-all --data DIR --out DIR
 """
@@ -75,7 +75,12 @@ def ingest(spark, args) -> int:
     table = document_table(spark, args.documents)
 
     def writer():
-        rows = archive_stream(spark, args.archive, time_in_name=args.time_in_name)
+        rows = archive_stream(
+            spark,
+            args.archive,
+            files_per_batch=args.files_per_batch,
+            time_in_name=args.time_in_name,
+        )
         return feeds.ingest_feed(rows, table, args.checkpoint, args.generation)
 
     run_once(writer(), "ingest") if args.once else watch(writer, "ingest", args.interval)
@@ -94,8 +99,15 @@ def payloads(spark, args) -> int:
 
 
 def compact(spark, args) -> int:
-    """Rewrites the latest readings as one row per station."""
-    feeds.latest_table(spark, f"{args.data}/latest").compact()
+    """Rewrites a table as one row per key; --vacuum then removes what that replaces."""
+    table = (
+        document_table(spark, args.documents)
+        if args.documents
+        else feeds.latest_table(spark, f"{args.data}/latest")
+    )
+    table.compact()
+    if args.vacuum:
+        table.vacuum()
     return 0
 
 
@@ -149,9 +161,15 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
     sub = command("ingest", ingest, "archive", "documents", "checkpoint")
     once_or_watch(sub, DEFAULT_INTERVAL_SECONDS)
     sub.add_argument("--generation", type=int, default=0, help="raise it with a new checkpoint")
+    sub.add_argument("--files-per-batch", type=int, help="1: progress stops at the bad file")
     sub.add_argument("--time-in-name", action="store_true", help="files carry their flush time")
 
-    command("compact", compact, "data")
+    sub = command("compact", compact)
+    which = sub.add_mutually_exclusive_group(required=True)
+    which.add_argument("--data", help="data folder of central, for its latest readings")
+    which.add_argument("--documents", help="document table")
+    sub.add_argument("--vacuum", action="store_true")
+
     command("view", view, "data", "key")
     command("view-all", export, "data", "out")
     return parser.parse_args(argv)

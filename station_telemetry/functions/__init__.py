@@ -4,6 +4,7 @@ from station_telemetry.functions.columns import (  # noqa: F401
     epoch_seconds,
     file_timestamp,
     frame_payload,
+    framed,
     iso_to_millis,
     known_battery,
     printable_text,

@@ -14,7 +14,8 @@ MILLIS_ABOVE = 100_000_000_000
 ARCHIVE_FILE_NAME = r"^part-(\d+)-.*\.parquet$"
 ISO_LOCAL_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
 
-# Registry framing puts one magic byte and a four-byte schema id before the payload.
+# Registry framing puts a zero byte and a four-byte schema id before the payload.
+REGISTRY_MAGIC = "00"
 REGISTRY_PREFIX_BYTES = 5
 
 
@@ -85,3 +86,8 @@ def file_timestamp(name: Column) -> Column:
 def frame_payload(value: Column) -> Column:
     """The Avro body of a registry-framed message."""
     return F.substring(value, REGISTRY_PREFIX_BYTES + 1, 2_147_483_647)
+
+
+def framed(payload: Column, schema_id: int) -> Column:
+    """An Avro body with the registry prefix before it."""
+    return F.concat(F.unhex(F.lit(f"{REGISTRY_MAGIC}{schema_id:08x}")), payload)

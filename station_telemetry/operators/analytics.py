@@ -38,18 +38,23 @@ def archive_manifest(readings: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("records"))
 
 
-def dropped_per_station(documents: DataFrame, by: tuple[str, ...] = ("station_id",)) -> DataFrame:
+def dropped_per_station(
+    documents: DataFrame, by: tuple[str, ...] = ("station_id",), unique: bool = False
+) -> DataFrame:
     """Messages lost per station, from gaps in numbers that start at 1.
 
-    The distinct count shuffles by (station, number), which spreads a hot station. Losses after
-    the last received number are invisible, and a restarted counter hides losses unless rows are
-    grouped by epoch too (`with_epoch`, then `by=("station_id", "epoch")`).
+    The distinct count shuffles by (station, number), which spreads a hot station. Say `unique`
+    when no number occurs twice, as in the document table: a plain count then needs no shuffle
+    of the rows at all. Losses after the last received number are invisible, and a restarted
+    counter hides losses unless rows are grouped by epoch too (`with_epoch`, then
+    `by=("station_id", "epoch")`).
     """
     expected, received = F.col("expected"), F.col("received")
+    numbers = F.count("s_no") if unique else F.count_distinct("s_no")
     return (
         documents.where(F.col("s_no").isNotNull())
         .groupBy(*by)
-        .agg(F.max("s_no").alias("expected"), F.count_distinct("s_no").alias("received"))
+        .agg(F.max("s_no").alias("expected"), numbers.alias("received"))
         .withColumn("dropped", expected - received)
         .withColumn("drop_rate", F.col("dropped").cast("double") / expected)
     )
@@ -68,16 +73,18 @@ def sequence_gaps(
     documents: DataFrame,
     by: tuple[str, ...] = ("station_id",),
     number: str = "s_no",
+    unique: bool = False,
     bits: int = slices.SLICE_BITS,
 ) -> DataFrame:
     """Runs of missing numbers: (…by, missing_from, missing_to, missing).
 
-    Copies are removed before the shuffle into slices, so each slice is bounded. Within a slice
-    `lag` finds the previous number; across slices it is the last number of the slice before.
+    Copies are removed before the shuffle into slices, so each slice is bounded; say `unique`
+    when there are none. Within a slice `lag` finds the previous number; across slices it is the
+    last number of the slice before.
     """
     keys = list(by)
     known = documents.select(*keys, number).dropna()
-    numbers = slices.cut(known.distinct(), number, bits)
+    numbers = slices.cut(known if unique else known.distinct(), number, bits)
     previous_end = F.lag("_last", 1, 0).over(slices.across(keys))
     ends = (
         slices.cut(known, number, bits)

@@ -8,14 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from station_telemetry import functions as fn
-from station_telemetry.operators import analytics, openmeteo, state, wire
+from station_telemetry.operators import analytics, openmeteo, rain, state, wire
 from station_telemetry.operators.documents import (
     decode_battery,
     normalize,
     replace_by_id,
     required_fields,
 )
-from station_telemetry.operators.rain import rain_events as rain
 from station_telemetry.plans import readings as r
 from station_telemetry.schemas import STATUS
 from station_telemetry.session import new_folder
@@ -31,9 +30,12 @@ from station_telemetry.streaming.runs import run_once
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
-    return build
+def query(name: str):
+    def register(build: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[name] = build
+        return build
+
+    return register
 
 
 def flat_status(df: DataFrame, *first: str, record: str | None = None) -> DataFrame:
@@ -63,7 +65,7 @@ def flat_documents(df: DataFrame) -> DataFrame:
 # Sources
 
 
-@query
+@query("status_stream")
 def status_stream(spark, sf_dir):
     """Landed messages through the streaming source."""
     landed = r.land(r.messages(spark, sf_dir), "messages")
@@ -72,20 +74,20 @@ def status_stream(spark, sf_dir):
     return flat_status(spark.read.parquet(out), "key", "offset", record="value")
 
 
-@query
+@query("json_roundtrip")
 def json_roundtrip(spark, sf_dir):
     encoded = wire.encode_json(r.messages(spark, sf_dir)).select("offset", "json")
     return flat_status(wire.decode_json(encoded), "offset", "json", record="value")
 
 
-@query
+@query("archive_scan")
 def archive_scan(spark, sf_dir):
     root = new_folder(spark, "archive")
     write_archive(r.readings(spark, sf_dir), root)
     return flat_status(scan(spark, root), "station_id", F.col("date").cast("string").alias("date"))
 
 
-@query
+@query("incremental_ingest")
 def incremental_ingest(spark, sf_dir):
     """The archive grows between two passes; a third pass finds nothing new."""
     rows = r.readings(spark, sf_dir)
@@ -104,7 +106,7 @@ def incremental_ingest(spark, sf_dir):
     return flat_documents(table.current())
 
 
-@query
+@query("file_timestamp")
 def file_timestamp(spark, sf_dir):
     """Names as a foreign archive writer gives them, beside unfinished and foreign files."""
     millis, number = F.col("millis").cast("string"), F.col("event_id").cast("string")
@@ -121,7 +123,7 @@ def file_timestamp(spark, sf_dir):
 # Sinks
 
 
-@query
+@query("archive_write")
 def archive_write(spark, sf_dir):
     """What a batch write left in each folder, from reading it back."""
     root = new_folder(spark, "archive")
@@ -133,7 +135,7 @@ def archive_write(spark, sf_dir):
     )
 
 
-@query
+@query("archive_stream")
 def archive_stream(spark, sf_dir):
     """The same through the streaming archive writer."""
     landed = r.land(r.messages(spark, sf_dir), "messages")
@@ -143,7 +145,7 @@ def archive_stream(spark, sf_dir):
     return flat_status(scan(spark, root), "station_id", F.col("date").cast("string").alias("date"))
 
 
-@query
+@query("doc_upsert")
 def doc_upsert(spark, sf_dir):
     """A second batch corrects the documents of click events; a retry of it changes nothing."""
     table = document_table(spark, new_folder(spark, "documents"))
@@ -163,7 +165,7 @@ def doc_upsert(spark, sf_dir):
     return flat_documents(table.current())
 
 
-@query
+@query("ensure_target")
 def ensure_target(spark, sf_dir):
     """A table created twice keeps the rows that were added in between."""
     path = new_folder(spark, "target")
@@ -174,14 +176,14 @@ def ensure_target(spark, sf_dir):
     return spark.table(name).groupBy("station_id").agg(F.count(F.lit(1)).alias("documents"))
 
 
-@query
+@query("snapshot_csv")
 def snapshot_csv(spark, sf_dir):
     snapshot = state.latest_status(r.messages(spark, sf_dir, key="user_id"))
     path = export_csv(state.view_all(snapshot), new_folder(spark, "export"))
     return read_csv(spark, path)
 
 
-@query
+@query("publish_frame")
 def publish_frame(spark, sf_dir):
     return wire.publish_frame(r.messages(spark, sf_dir))
 
@@ -189,12 +191,12 @@ def publish_frame(spark, sf_dir):
 # Projections and filters
 
 
-@query
+@query("rain_events")
 def rain_events(spark, sf_dir):
-    return rain(r.messages(spark, sf_dir, numbered=False))
+    return rain.rain_events(r.messages(spark, sf_dir, numbered=False))
 
 
-@query
+@query("rain_stream")
 def rain_stream(spark, sf_dir):
     """Rain events as topic frames through the streaming query."""
     landed = r.land(r.messages(spark, sf_dir, numbered=False), "messages")
@@ -204,7 +206,7 @@ def rain_stream(spark, sf_dir):
     return spark.read.schema("key string, value string").parquet(out)
 
 
-@query
+@query("to_wire")
 def to_wire(spark, sf_dir):
     """Producer-side readings carry whole numbers for temperature and wind."""
     weather = F.col("weatherStatus")
@@ -215,14 +217,14 @@ def to_wire(spark, sf_dir):
     return flat_status(wire.to_wire(produced), "offset", record="value")
 
 
-@query
+@query("openmeteo_to_status")
 def openmeteo_to_status(spark, sf_dir):
     parsed, _ = openmeteo.parse_payloads(r.payloads(spark, sf_dir))
     mapped, _ = openmeteo.to_readings(openmeteo.assign_sequence(parsed, ["payload_id"]))
     return flat_status(mapped, "payload_id")
 
 
-@query
+@query("assign_sequence")
 def assign_sequence(spark, sf_dir):
     """Numbers by time, then payload: an order that is not one whole number."""
     parsed, _ = openmeteo.parse_payloads(r.payloads(spark, sf_dir))
@@ -230,13 +232,13 @@ def assign_sequence(spark, sf_dir):
     return openmeteo.assign_sequence(timed, ["time", "payload_id"])
 
 
-@query
+@query("normalize_status")
 def normalize_status(spark, sf_dir):
     return flat_documents(r.documents(spark, sf_dir))
 
 
-@query
-def required_fields_split(spark, sf_dir):
+@query("required_fields")
+def required_fields_query(spark, sf_dir):
     """Error events lose their station, view events their number."""
     kind = F.col("event_type")
     holed = r.readings(spark, sf_dir).select(
@@ -248,21 +250,15 @@ def required_fields_split(spark, sf_dir):
     return good.withColumn("kept", F.lit(True)).unionByName(rejected.withColumn("kept", F.lit(False)))
 
 
-QUERIES["required_fields"] = QUERIES.pop("required_fields_split")
-
-
-@query
-def decode_battery_bytes(spark, sf_dir):
+@query("decode_battery")
+def decode_battery_query(spark, sf_dir):
     stored = r.readings(spark, sf_dir, numbered=False).select(
         "offset", F.encode("batteryStatus", "UTF-8").alias("batteryStatus")
     )
     return stored.select("offset", decode_battery(stored, "batteryStatus").alias("battery_status"))
 
 
-QUERIES["decode_battery"] = QUERIES.pop("decode_battery_bytes")
-
-
-@query
+@query("classify_battery")
 def classify_battery(spark, sf_dir):
     return r.events(spark, sf_dir).select(
         "event_id", fn.battery_from_fraction(F.col("k") / 100).alias("battery_status")
@@ -272,12 +268,12 @@ def classify_battery(spark, sf_dir):
 # Keyed state
 
 
-@query
+@query("latest_status")
 def latest_status(spark, sf_dir):
     return state.latest_status(r.messages(spark, sf_dir)).select("key", "value", "offset")
 
 
-@query
+@query("latest_status_stream")
 def latest_status_stream(spark, sf_dir):
     """Continuously maintained snapshot, read from its table."""
     landed = r.land(r.messages(spark, sf_dir), "messages")
@@ -287,36 +283,36 @@ def latest_status_stream(spark, sf_dir):
     return table.current().select("key", "value", "offset")
 
 
-@query
+@query("get_status")
 def get_status(spark, sf_dir):
     """Asks for fifteen station keys, ten of which exist."""
     asked = r.events(spark, sf_dir).select((F.col("user_id") % 15 + 1).cast("string").alias("key"))
     return state.get_many(asked.distinct(), state.latest_status(r.messages(spark, sf_dir)))
 
 
-@query
+@query("get_one_status")
 def get_one_status(spark, sf_dir):
     return state.get_status(state.latest_status(r.messages(spark, sf_dir)), "3")
 
 
-@query
+@query("view_all")
 def view_all(spark, sf_dir):
     return state.view_all(state.latest_status(r.messages(spark, sf_dir, key="user_id")))
 
 
-@query
+@query("compact_latest")
 def compact_latest(spark, sf_dir):
     live = state.compact(r.messages(spark, sf_dir, key="user_id"))
     return flat_status(live, "key", "offset", record="value")
 
 
-@query
+@query("overwrite_stats")
 def overwrite_stats(spark, sf_dir):
     log = r.messages(spark, sf_dir)
     return state.overwrite_stats(log, fn.record_json(F.col("value")))
 
 
-@query
+@query("reconcile_snapshot")
 def reconcile_snapshot(spark, sf_dir):
     """A snapshot that never saw error events, against the full one, per user."""
     rows = r.readings(spark, sf_dir)
@@ -328,51 +324,51 @@ def reconcile_snapshot(spark, sf_dir):
 # Analyses
 
 
-@query
+@query("archive_manifest")
 def archive_manifest(spark, sf_dir):
     rows, _ = archive_rows(r.readings(spark, sf_dir, numbered=False))
     return analytics.archive_manifest(rows).withColumn("date", F.col("date").cast("string"))
 
 
-@query
+@query("battery_distribution")
 def battery_distribution(spark, sf_dir):
     docs = r.readings(spark, sf_dir, numbered=False).withColumnRenamed("batteryStatus", "battery_status")
     return analytics.battery_distribution(docs)
 
 
-@query
+@query("dropped_per_station")
 def dropped_per_station(spark, sf_dir):
     return analytics.dropped_per_station(r.documents(spark, sf_dir))
 
 
-@query
+@query("dropped_per_epoch")
 def dropped_per_epoch(spark, sf_dir):
     docs = r.restarted(r.documents(spark, sf_dir))
     return analytics.dropped_per_station(analytics.with_epoch(docs), by=("station_id", "epoch"))
 
 
-@query
+@query("sequence_gaps")
 def sequence_gaps(spark, sf_dir):
     return analytics.sequence_gaps(r.documents(spark, sf_dir))
 
 
-@query
+@query("missing_numbers")
 def missing_numbers(spark, sf_dir):
     return analytics.missing_numbers(analytics.sequence_gaps(r.documents(spark, sf_dir)))
 
 
-@query
+@query("drop_rate_total")
 def drop_rate_total(spark, sf_dir):
     return analytics.drop_rate_total(analytics.dropped_per_station(r.documents(spark, sf_dir)))
 
 
-@query
+@query("measurement_summary")
 def measurement_summary(spark, sf_dir):
     summary = analytics.measurement_summary(r.events(spark, sf_dir), "event_type", "value")
     return summary.withColumn("mean", F.round("mean", 6))
 
 
-@query
+@query("rate_per_window")
 def rate_per_window(spark, sf_dir):
     timed = r.events(spark, sf_dir).withColumn("event_time", F.col("ts").cast("timestamp"))
     return analytics.rate_per_window(timed, "event_time", "value").select(
@@ -384,7 +380,7 @@ def rate_per_window(spark, sf_dir):
     )
 
 
-@query
+@query("dedup_documents")
 def dedup_documents(spark, sf_dir):
     """Every file is delivered twice."""
     docs = r.documents(spark, sf_dir)

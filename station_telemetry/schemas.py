@@ -1,5 +1,7 @@
 """Fixed schemas of the station feed, its archive and its documents."""
 
+import json
+
 from pyspark.sql import types as T
 
 # The battery states a station can report.
@@ -94,3 +96,33 @@ OPENMETEO = T.StructType(
         ),
     ]
 )
+
+
+def _avro_record(name: str, **fields) -> dict:
+    """An Avro record; fields given as a list are a union with null and default to null."""
+    return {
+        "type": "record",
+        "name": name,
+        "fields": [
+            {"name": n, "type": ["null", *kind], "default": None}
+            if isinstance(kind, list)
+            else {"name": n, "type": kind}
+            for n, kind in fields.items()
+        ],
+    }
+
+
+# Avro schemas of the messages, for registry-framed streams.
+STATUS_AVRO = json.dumps(
+    _avro_record(
+        "StationStatus",
+        stationId=["long"],
+        sequenceNumber=["long"],
+        batteryStatus=[{"type": "enum", "name": "Battery", "symbols": list(BATTERY_STATES)}],
+        statusTimeStamp="long",
+        weatherStatus=_avro_record(
+            "Weather", humidity="int", temperature="double", windSpeed="double"
+        ),
+    )
+)
+RAIN_AVRO = json.dumps(_avro_record("Rain", stationId=["long"], humidity="int"))

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from station_telemetry import files
+
 # UTC makes timestamps and calendar dates independent of the machine. AQE sizes partitions at
 # run time and splits skewed ones; the state store keeps large keyed state off the heap.
 DEFAULTS = {
@@ -46,13 +50,33 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of `df` as a written table.
 
     Cuts the lineage at a durable copy: values that depend on how rows were spread, such as
     positions, stay the same when an executor is lost, and later reads prune columns.
+    The copy stays in the shared folder, as checkpoints do, unless made inside `scratch`.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    open_scratch = _scratch.get()
+    if open_scratch is not None:
+        open_scratch.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes the tables that `written` makes inside the block when the block ends."""
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            files.remove_folder(spark, path)

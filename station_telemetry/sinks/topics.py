@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from station_telemetry.functions import record_json
+from station_telemetry.functions import framed, record_json
 from station_telemetry.schemas import RAIN, RAIN_TOPIC, STATUS_TOPIC
 
 # The publisher does not wait for brokers and does not retry.
@@ -19,6 +19,13 @@ def rain_frame(rain: DataFrame, encoded: Column | None = None) -> DataFrame:
     return rain.select("key", (record_json(record) if encoded is None else encoded).alias("value"))
 
 
+def avro_encoded(record: Column, avro_schema: str, schema_id: int) -> Column:
+    """A record as registry-framed Avro. Needs the spark-avro module on the class path."""
+    from pyspark.sql.avro.functions import to_avro
+
+    return framed(to_avro(record, avro_schema), schema_id)
+
+
 def topic_options(servers: str, topic: str, **options: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, **options}
 

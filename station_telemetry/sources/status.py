@@ -6,56 +6,17 @@ where messages come from. Each streaming query has its own checkpoint and sees e
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from station_telemetry.functions import frame_payload
-from station_telemetry.schemas import BATTERY_STATES, STATUS, STATUS_TOPIC, STREAM
+from station_telemetry.schemas import STATUS, STATUS_AVRO, STATUS_TOPIC, STREAM
 
 # A flush happens at this many records or after this delay, whichever is first.
 FLUSH_RECORDS = 10_000
 FLUSH_DELAY = "30s"
 
 
-def _optional(kind) -> list:
-    return ["null", kind]
-
-
-# Writer schema of the status records, for registry-framed Avro.
-STATUS_AVRO = json.dumps(
-    {
-        "type": "record",
-        "name": "StationStatus",
-        "fields": [
-            {"name": "stationId", "type": _optional("long"), "default": None},
-            {"name": "sequenceNumber", "type": _optional("long"), "default": None},
-            {
-                "name": "batteryStatus",
-                "type": _optional(
-                    {"type": "enum", "name": "BatteryStatus", "symbols": list(BATTERY_STATES)}
-                ),
-                "default": None,
-            },
-            {"name": "statusTimeStamp", "type": "long"},
-            {
-                "name": "weatherStatus",
-                "type": {
-                    "type": "record",
-                    "name": "Weather",
-                    "fields": [
-                        {"name": "humidity", "type": "int"},
-                        {"name": "temperature", "type": "double"},
-                        {"name": "windSpeed", "type": "double"},
-                    ],
-                },
-            },
-        ],
-    }
-)
-
-
 def kafka_options(
     servers: str, topic: str = STATUS_TOPIC, flush_policy: bool = False, **extra: str
 ) -> dict[str, str]:

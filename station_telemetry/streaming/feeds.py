@@ -20,6 +20,7 @@ from station_telemetry.operators.documents import (
 from station_telemetry.operators.rain import rain_events
 from station_telemetry.operators.state import keyed_messages, latest
 from station_telemetry.schemas import SNAPSHOT
+from station_telemetry.session import scratch
 from station_telemetry.sinks.archive import archive_writer
 from station_telemetry.sinks.keyed import KeyedTable
 from station_telemetry.sinks.topics import rain_frame
@@ -119,6 +120,10 @@ def payload_feed(payloads: DataFrame, root: str, checkpoint: str) -> DataStreamW
         return spark.read.schema(schema).parquet(folder("numbers", max(earlier)))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        with scratch(batch.sparkSession):
+            number_and_write(batch, batch_id)
+
+    def number_and_write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         lines = batch.withColumn("line", F.monotonically_increasing_id())
         parsed, unparsed = openmeteo.parse_payloads(lines)

@@ -89,16 +89,18 @@ class Central:
 
     def run(self) -> None:
         """Waits until one query ends or fails, then stops the others."""
-        try:
-            self.spark.streams.awaitAnyTermination()
-        finally:
-            self.stop()
+        self._until(self.spark.streams.awaitAnyTermination)
 
     def finish(self) -> None:
         """Waits for queries that end by themselves."""
+        self._until(lambda: [query.awaitTermination() for query in self.queries])
+
+    def _until(self, done: Callable[[], object]) -> None:
         try:
-            for query in self.queries:
-                query.awaitTermination()
+            done()
+        except Exception:
+            log.exception("a query failed, stopping all")
+            raise
         finally:
             self.stop()
 

@@ -24,6 +24,7 @@ def test_central_ingest_and_views(spark, tmp_path, capsys):
     ingest = ["ingest", "--archive", f"{data}/archive", "--documents", documents,
               "--checkpoint", str(tmp_path / "c"), "--once"]
     assert main(ingest) == 0 and main(ingest) == 0
+    assert main(["compact", "--documents", documents, "--vacuum"]) == 0
     table = document_table(spark, documents).current()
     assert table.count() == 300 and table.agg(F.count_distinct("doc_id")).first()[0] == 300
 

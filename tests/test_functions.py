@@ -67,6 +67,20 @@ def test_frame_payload_drops_registry_prefix(spark):
     ]
 
 
+def test_framing_adds_magic_and_schema_id(spark):
+    got = values(spark, [bytearray(b"body")], "binary", lambda v: fn.framed(v, 258))
+    assert got == [bytearray(b"\x00\x00\x00\x01\x02body")]
+    assert values(spark, got, "binary", fn.frame_payload) == [bytearray(b"body")]
+
+
+def test_avro_schemas_are_valid(spark):
+    from station_telemetry.schemas import RAIN, RAIN_AVRO, STATUS, STATUS_AVRO
+
+    for text, schema in ((STATUS_AVRO, STATUS), (RAIN_AVRO, RAIN)):
+        parsed = spark._jvm.org.apache.avro.Schema.Parser().parse(text)
+        assert [f.name() for f in parsed.getFields()] == schema.names
+
+
 @pytest.mark.parametrize("state,known", [("LOW", True), (None, True), ("FULL", False)])
 def test_known_battery(spark, state, known):
     assert values(spark, [state], "string", fn.known_battery) == [known]

@@ -69,6 +69,9 @@ def test_gaps_match_missing_numbers(spark, rows):
     assert len(got) == len(want) and set(got) == want
     dropped = analytics.dropped_per_station(df).agg(F.sum("dropped")).first()[0]
     assert dropped == len(want)
+    once = spark.createDataFrame(sorted(set(rows)), df.schema)
+    assert analytics.dropped_per_station(once, unique=True).agg(F.sum("dropped")).first()[0] == len(want)
+    assert analytics.sequence_gaps(once, unique=True, bits=3).agg(F.sum("missing")).first()[0] in (None, len(want))
 
 
 def test_gap_example(spark):
@@ -107,3 +110,15 @@ def test_both_sequence_orders_agree(spark):
     by_id = {r.id: r.sequenceNumber for r in assign_sequence(df, ["id"]).collect()}
     by_time = {r.id: r.sequenceNumber for r in assign_sequence(df, ["time", "id"]).collect()}
     assert by_id == by_time == {i: i + 1 for i in range(40)}
+
+
+def test_scratch_removes_written_tables(spark):
+    from station_telemetry.files import child_names
+    from station_telemetry.session import scratch, shared_dir
+
+    before = set(child_names(spark, shared_dir(spark)))
+    df = spark.range(20).selectExpr("id % 2 k", "id o")
+    with scratch(spark):
+        assert ordered.number_rows(df, ["k"], ["o"], "n").count() == 20
+        assert set(child_names(spark, shared_dir(spark))) != before
+    assert set(child_names(spark, shared_dir(spark))) == before

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,6 +209,22 @@ def test_central_stops_running_queries(spark, landed, tmp_path):
     assert not query.isActive and central.queries == []
 
 
+def test_failures_are_logged(spark, tmp_path, caplog):
+    source = tmp_path / "source"
+    source.mkdir()
+    (source / "part-1-a.parquet").write_bytes(b"not parquet")
+    central = Central(spark)
+    with caplog.at_level("INFO", logger="station_telemetry"):
+        stream = landed_messages(spark, str(source), streaming=True)
+        central.add(start(file_writer(stream, str(tmp_path / "o"), str(tmp_path / "c")), "failing", once=True))
+        with pytest.raises(Exception):
+            central.finish()
+        deadline = time.time() + 20
+        while "failed" not in caplog.text and time.time() < deadline:
+            time.sleep(0.2)
+    assert "query failing started" in caplog.text and "failed" in caplog.text
+
+
 def test_watch_retries_after_a_failure(spark, landed, tmp_path):
     tries = []
 
