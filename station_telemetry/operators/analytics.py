@@ -187,21 +187,22 @@ def measurement_summary(
         )
 
     counted = known.groupBy(series, value).agg(F.count(F.lit(1)).alias("_copies"))
-    placed = ordered.running_sum(counted, [series], [value], "_copies", "_upto")
-    summary = known.groupBy(F.col(series).alias("_of")).agg(*totals)
+    placed = ordered.running_sum(counted, [series], [value], "_copies", "_upto", "_all")
 
     # Whole-number ceil(p * n / 100), so the rank is exact for any count.
     def rank(percent: int) -> Column:
-        return F.call_function("div", F.col("count") * percent + 99, F.lit(100))
+        return F.call_function("div", F.col("_all") * percent + 99, F.lit(100))
 
-    picked = [
-        F.min(F.when(F.col("_upto") >= rank(p), F.col(value))).alias(name)
-        for name, p in PERCENTILES.items()
-    ]
+    picked = placed.groupBy(F.col(series).alias("_of")).agg(
+        *[
+            F.min(F.when(F.col("_upto") >= rank(p), F.col(value))).alias(name)
+            for name, p in PERCENTILES.items()
+        ]
+    )
     return (
-        placed.join(summary, F.col(series).eqNullSafe(F.col("_of")))
-        .groupBy(series, "count", "mean", "max")
-        .agg(*picked)
+        known.groupBy(series)
+        .agg(*totals)
+        .join(picked, F.col(series).eqNullSafe(F.col("_of")))
         .select(series, "count", "mean", *PERCENTILES, "max")
     )
 

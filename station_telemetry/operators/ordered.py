@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from station_telemetry.session import written
 
+_HELPERS = ("_position", "_part", "_first", "_before", "_total")
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -32,19 +33,24 @@ def _placed(df: DataFrame, keys: list[str], order_by: list[str], partitions: int
 
 
 def _carried(placed: DataFrame, keys: list[str], amount: Column) -> DataFrame:
-    """Per (key, partition): the key's total in earlier partitions, and its first position."""
-    earlier = (
-        Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
+    """Per (key, partition): the key's total before and overall, and its first position here.
+
+    Written, so that its size is known: Spark broadcasts it when small instead of shuffling the
+    rows once more.
+    """
+    key = Window.partitionBy(*keys)
+    earlier = key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return written(
         placed.groupBy(*keys, "_part")
-        .agg(F.sum(amount).alias("_total"), F.min("_position").alias("_first"))
+        .agg(F.sum(amount).alias("_here"), F.min("_position").alias("_first"))
         .select(
             *[F.col(k).alias(f"_c_{k}") for k in keys],
             F.col("_part").alias("_c_part"),
             "_first",
-            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
-        )
+            F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_here").over(key).alias("_total"),
+        ),
+        "carried",
     )
 
 
@@ -64,7 +70,7 @@ def number_rows(
     return (
         _with_carried(placed, carried, keys)
         .withColumn(into, F.col("_before") + F.col("_position") - F.col("_first") + 1)
-        .drop("_position", "_part", "_first", "_before")
+        .drop(*_HELPERS)
     )
 
 
@@ -74,9 +80,13 @@ def running_sum(
     order_by: list[str],
     amount: str,
     into: str,
+    total: str,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Sum of `amount` over this row and all before it within `keys` (`order_by`: a total order)."""
+    """Sum of `amount` over this row and all before it within `keys`, and over the whole key.
+
+    `order_by` must be a total order.
+    """
     placed = _placed(df, keys, order_by, partitions)
     carried = _carried(placed, keys, F.col(amount))
     upto = (
@@ -87,5 +97,6 @@ def running_sum(
     return (
         _with_carried(placed.withColumn("_local", F.sum(amount).over(upto)), carried, keys)
         .withColumn(into, F.col("_before") + F.col("_local"))
-        .drop("_position", "_part", "_first", "_before", "_local")
+        .withColumn(total, F.col("_total"))
+        .drop("_local", *_HELPERS)
     )

@@ -32,6 +32,21 @@ def build_session(app_name: str = "station-telemetry", **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Batch settings for an input of this size: `build_session(**sized_for(100 * 2**40))`.
+
+    One shuffle partition per GiB of input: shuffles carry a few narrow columns, so that is a
+    fraction of it per task. AQE merges what turns out small. Streaming state keeps
+    `spark.sql.shuffle.partitions`, which a checkpoint fixes.
+    """
+    partitions = min(max(input_bytes // 2**30, 200), 100_000)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor reaches: `spark.checkpoint.dir`, or a temporary one in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

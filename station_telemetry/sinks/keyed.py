@@ -47,12 +47,14 @@ class KeyedTable:
             .parquet(f"{self.root}/changes/position={position}")
         )
 
+    def _positions(self, folder: str, prefix: str) -> list[int]:
+        names = files.child_names(self.spark, f"{self.root}/{folder}")
+        return [int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
+
     def _newest(self, folder: str, prefix: str) -> int:
         """Highest finished position in a folder, -1 if none. Unfinished writes do not count."""
-        path = f"{self.root}/{folder}"
-        found = [n for n in files.child_names(self.spark, path) if n.startswith(prefix)]
-        for position in sorted((int(n.removeprefix(prefix)) for n in found), reverse=True):
-            if files.exists(self.spark, f"{path}/{prefix}{position}/_SUCCESS"):
+        for position in sorted(self._positions(folder, prefix), reverse=True):
+            if files.exists(self.spark, f"{self.root}/{folder}/{prefix}{position}/_SUCCESS"):
                 return position
         return -1
 
@@ -60,15 +62,18 @@ class KeyedTable:
         """(position of the snapshot, position of the last change)."""
         return self._newest("snapshot", "through="), self._newest("changes", "position=")
 
-    def _read(self, path: str, extra: T.StructType | None = None) -> DataFrame:
-        schema = T.StructType([*self.columns.fields, *(extra.fields if extra else [])])
-        return self.spark.read.schema(schema).parquet(path)
-
     def _changes(self, after: int, upto: int) -> DataFrame:
-        """The last change of each key in a range of positions."""
-        place = T.StructType([T.StructField("position", T.LongType())])
-        rows = self._read(f"{self.root}/changes", place).where(
-            (F.col("position") > after) & (F.col("position") <= upto)
+        """The last change of each key in a range of positions.
+
+        Only those folders are opened, so Spark plans with their size, not the whole log's.
+        """
+        log = f"{self.root}/changes"
+        found = [p for p in self._positions("changes", "position=") if after < p <= upto]
+        place = T.StructField("position", T.LongType())
+        rows = (
+            self.spark.read.schema(T.StructType([*self.columns.fields, place]))
+            .option("basePath", log)
+            .parquet(*[f"{log}/position={p}" for p in found])
         )
         ranked = rows.withColumn("_arrived", F.struct("position", self.order))
         return latest(ranked, self.key, "_arrived").select(*self.columns.names)
@@ -76,9 +81,9 @@ class KeyedTable:
     def current(self) -> DataFrame:
         """The live rows.
 
-        Changes since the snapshot are reduced first; the snapshot keeps the rows they do not
-        replace. When they are few, Spark broadcasts their keys by measured size and the
-        snapshot is not shuffled.
+        The snapshot keeps the rows that later changes do not replace. When these are few,
+        Spark broadcasts their keys, from the size of their files, and the snapshot is not
+        shuffled; otherwise both are shuffled by key.
         """
         return self._live(*self._extent())
 
@@ -87,7 +92,9 @@ class KeyedTable:
             return self.spark.createDataFrame([], self.columns)
         if through < 0:
             return self._changes(through, upto)
-        settled = self._read(f"{self.root}/snapshot/through={through}")
+        settled = self.spark.read.schema(self.columns).parquet(
+            f"{self.root}/snapshot/through={through}"
+        )
         if upto <= through:
             return settled
         replaced = self._changes(through, upto)
@@ -112,6 +119,5 @@ class KeyedTable:
             ("changes", "position=", lambda p: p <= through),
             ("snapshot", "through=", lambda p: p < through),
         ):
-            for name in files.child_names(self.spark, f"{self.root}/{folder}"):
-                if name.startswith(prefix) and old(int(name.removeprefix(prefix))):
-                    files.remove_folder(self.spark, f"{self.root}/{folder}/{name}")
+            for position in filter(old, self._positions(folder, prefix)):
+                files.remove_folder(self.spark, f"{self.root}/{folder}/{prefix}{position}")

@@ -12,7 +12,7 @@ from station_telemetry.sinks.export import export_csv, read_csv
 from station_telemetry.sinks.keyed import KeyedTable
 from station_telemetry.sources import status
 from station_telemetry.sources.archive import archive_scan
-from station_telemetry.session import new_folder, shared_dir
+from station_telemetry.session import new_folder, shared_dir, sized_for
 from pyspark.sql import types as T
 
 MS = 1_704_153_599_999  # one millisecond before 2024-01-02
@@ -123,9 +123,25 @@ def test_few_changes_leave_the_snapshot_unshuffled(spark, table):
     table.compact()
     table.upsert(spark.createDataFrame([("1", -1, 0)], COLUMNS), 1)
     current = table.current()
+    plan = plan_of(current)  # before AQE: planned so from the start
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    snapshot_side = plan.split("BroadcastHashJoin")[1].split("BroadcastExchange")[0]
+    assert "FileScan" in snapshot_side and "Exchange" not in snapshot_side
     assert len(current.collect()) == 50_000
-    final = plan_of(current).split("Initial Plan")[0]
-    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+
+
+def test_many_changes_are_joined_by_shuffle(spark, table):
+    table.upsert(spark.range(5_000).selectExpr("cast(id as string) k", "id v", "id o"), 0)
+    table.compact()
+    table.upsert(spark.range(4_000).selectExpr("cast(id as string) k", "-id v", "id o"), 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        current = table.current()
+        assert "SortMergeJoin" in plan_of(current)
+        rows = {r.k: r.v for r in current.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == 5_000 and rows["3999"] == -3_999 and rows["4000"] == 4_000
 
 
 def test_vacuum_keeps_the_live_rows(spark, table, tmp_path):
@@ -169,6 +185,11 @@ def test_decode_of_raw_records(spark):
     assert (row.key, row.value.stationId, row.value.weatherStatus.humidity, row.offset) == ("1", 1, 71, 5)
 
 
+def test_sizing_grows_with_the_input():
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert [sized_for(n * 2**40)[name] for n in (0, 1, 100, 10_000)] == ["200", "1024", "100000", "100000"]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")

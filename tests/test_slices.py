@@ -48,12 +48,14 @@ def test_running_sum_by_ranges(spark):
     rng = random.Random(3)
     rows = [(rng.choice("aab"), i, rng.randint(1, 9)) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, o long, w long")
-    got = {(r.k, r.o): r.s for r in ordered.running_sum(df, ["k"], ["o"], "w", "s", 6).collect()}
+    summed = ordered.running_sum(df, ["k"], ["o"], "w", "s", "all", partitions=6)
+    got = {(r.k, r.o): r.s for r in summed.collect()}
     sums, want = {}, {}
     for k, o, w in rows:
         sums[k] = sums.get(k, 0) + w
         want[(k, o)] = sums[k]
     assert got == want
+    assert {(r.k, r["all"]) for r in summed.collect()} == set(sums.items())
 
 
 @FEW
