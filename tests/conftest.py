@@ -41,7 +41,3 @@ def status_rows(spark):
         return spark.createDataFrame(full, STATUS)
 
     return make
-
-
-def column(df, name):
-    return [row[name] for row in df.collect()]

@@ -1,5 +1,6 @@
 import csv
 import glob
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,6 +111,19 @@ def test_keyed_table_upserts_and_compacts(spark, table):
     assert live(table) == {"a": 4, "b": 7, "c": 4}
 
 
+def test_keyed_table_equals_a_dictionary(spark, table):
+    rng, want = random.Random(5), {}
+    for position in range(6):
+        rows = [(rng.choice("abcdef"), rng.randint(0, 99), order) for order in range(rng.randint(1, 6))]
+        table.upsert(spark.createDataFrame(rows, COLUMNS), position)
+        want.update({k: v for k, v, _ in rows})
+        if rng.random() < 0.5:
+            table.compact()
+        if rng.random() < 0.3:
+            table.vacuum()
+        assert live(table) == want
+
+
 def test_unfinished_writes_do_not_count(spark, table, tmp_path):
     table.upsert(spark.createDataFrame([("a", 1, 1)], COLUMNS), 0)
     table.compact()
