@@ -26,8 +26,9 @@ def assign_sequence(
 
     Payloads that did not parse take no number; those that parse but cannot be mapped do. All
     payloads usually belong to one station, so neither way keeps a station in one task: a single
-    whole-number order is cut into slices, any other order is range-partitioned. Both read their
-    input twice, so the parsed rows are written first: parsing again would cost more.
+    whole-number order (dense, such as an offset) is cut into slices, any other order is
+    range-partitioned. Both read their input twice, so the parsed rows are written first: parsing
+    again would cost more.
     """
     parsed = written(parsed, "parsed")
     one_number = len(order_by) == 1 and dict(parsed.dtypes)[order_by[0]] in ("int", "bigint")

@@ -8,7 +8,9 @@ offset, a sequence number), the key is cut into slices of consecutive numbers in
 2. one summary row per slice is carried across slices by a window over the summaries.
 
 The rows and the summaries are hash-partitioned by the same (key, slice), and a key's slices
-spread over the cluster. Keys and order values must not be null.
+spread over the cluster. Keys and order values must not be null. The numbers should be dense, as
+offsets and sequence numbers are: far apart, they make as many slices as rows, and `ordered` is
+the better tool.
 """
 
 from __future__ import annotations
