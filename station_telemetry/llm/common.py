@@ -48,6 +48,12 @@ def picked(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] for n in names])
 
 
+def with_row(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Columns row (those named, or all) and text: whatever the columns are called, none clashes."""
+    kept = [df[c] for c in (df.columns if columns is None else columns)]
+    return df.select(F.struct(*kept).alias("row"), df["text"].alias("text"))
+
+
 def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows of about `limit` bytes: first row, row after the last, bytes, row offsets.
 

@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from station_telemetry.llm.common import prepare
+from station_telemetry.llm.decontamination import op3_benchmark_decontamination
+from station_telemetry.llm.packing import op1_best_fit_packing
+from station_telemetry.llm.quality_classifier import op5_quality_classifier
+from station_telemetry.llm.quality_rules import op7_quality_rules
+from station_telemetry.llm.simhash_pivots import op10_simhash_near_dedup
 from station_telemetry.llm.suffix_array_dedup import op6_suffix_array_dedup
 from station_telemetry.llm.suffix_tree_dedup import op9_substring_dedup
+from station_telemetry.llm.token_counts import op8_token_counts
+from station_telemetry.llm.toxicity import op2_toxicity
+from station_telemetry.llm.warc import op4_warc
 
 
 def _prepared(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,8 +30,16 @@ def _prepared(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
 QUERIES = {
     build.__name__: _prepared(build)
     for build in (
+        op1_best_fit_packing,
+        op2_toxicity,
+        op3_benchmark_decontamination,
+        op4_warc,
+        op5_quality_classifier,
         op6_suffix_array_dedup,
+        op7_quality_rules,
+        op8_token_counts,
         op9_substring_dedup,
+        op10_simhash_near_dedup,
     )
 }
 

@@ -4,13 +4,14 @@ Shared by the two substring operators, which differ in their units (bytes or wor
 group of contexts is searched, and in which of several equal windows stays.
 
 1. Every text is cut into runs of windows with one anchor (`winnow`); anchors are counted.
-2. Runs whose anchor may repeat are written with their place and, once for each Arrow batch, the
-   units they cover: their context.
+2. Runs whose anchor may repeat are written with their place and, once for each task, the units
+   they cover: their context.
 3. Equal contexts are counted, summed per task before the shuffle, however often they occur. Where
-   an anchor has several different contexts, one copy of each goes to the anchor's group, and
-   groups are searched by a suffix array or suffix tree. A group above `GROUP_UNITS` is split by
-   further anchors, taken with other hashes, which equal windows share as well.
-4. The verdicts are joined back to the places, as ranges of units for each document.
+   an anchor has several different contexts, they go to the anchor's group, a copy from each task
+   at most, and groups are searched by a suffix array or suffix tree. A group above `GROUP_UNITS`
+   is split by further anchors, taken with other hashes, which equal windows share as well.
+4. The verdicts are joined back to the places, as ranges of units for each document. Texts cross
+   the network once, compressed.
 
 Documents are told apart by doc_id and a hash of the text, so repeated doc_ids are no problem.
 """
@@ -22,6 +23,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,8 @@ GROUP_UNITS = 4_000_000
 SPLITS = 3
 #: Bytes of contexts searched together.
 SHARD_BYTES = 1 << 20
+#: Contexts whose text a task remembers to have sent.
+SENT = 2_000_000
 
 _RUNS = "anchor long, digest long, doc long, tkey long, start int, windows int, text binary"
 _CONTEXTS = "route long, anchor long, digest long, base int, windows int, doc long, start int, text binary"
@@ -84,10 +89,12 @@ def _anchors(cut: Cut):
 def _runs(cut: Cut, shared):
     def scan(batches):
         table = shared.value
+        sent: set[int] = set()
         for batch in batches:
             docs = batch.column(0).to_numpy(zero_copy_only=False)
             keys = batch.column(1).to_numpy(zero_copy_only=False)
-            sent: set[int] = set()
+            if len(sent) > SENT:
+                sent.clear()
             for first, _, data, offsets in pieces(batch.column(2)):
                 hashes, bounds, sums, text_of = cut.units(data, offsets)
                 anchors, rows, begin, stop = winnow.runs(hashes, bounds, cut.width, cut.gram)
@@ -115,6 +122,18 @@ def _runs(cut: Cut, shared):
     return scan
 
 
+def _among(shared):
+    """Rows whose anchor may have several contexts."""
+
+    def scan(batches):
+        table = shared.value
+        for batch in batches:
+            anchors = batch.column("anchor").to_numpy().view(np.uint64)
+            yield batch.filter(pa.array(winnow.may_repeat(table, anchors)))
+
+    return scan
+
+
 def _split(cut: Cut, seed: int):
     """Contexts of crowded groups, cut again by anchors with another hash."""
 
@@ -149,13 +168,35 @@ def _split(cut: Cut, seed: int):
 Search = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
+def one_each(table: pa.Table) -> pa.Table:
+    """A row for each context and base: the first text, and the place of the counted row."""
+    keys = [table.column(n).to_numpy() for n in ("route", "anchor", "digest", "base")]
+    text = table.column("text").combine_chunks()
+    with_text = ~text.is_null().to_numpy(zero_copy_only=False)
+    counted = ~table.column("doc").combine_chunks().is_null().to_numpy(zero_copy_only=False)
+    fresh = np.ones(table.num_rows, bool)
+    fresh[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    group = np.cumsum(fresh) - 1
+    n = int(group[-1]) + 1
+    source, place = np.full(n, -1), np.full(n, -1)
+    source[group[with_text][::-1]] = np.flatnonzero(with_text)[::-1]
+    place[group[counted][::-1]] = np.flatnonzero(counted)[::-1]
+    whole = (source >= 0) & (place >= 0)
+    taken = table.take(pa.array(place[whole]))
+    return taken.set_column(taken.schema.get_field_index("text"), "text", text.take(pa.array(source[whole])))
+
+
 def _searched(search: Search, shard_bytes: int):
     """Runs `search` on whole groups, several at a time; rows come sorted by route."""
 
     def ranges(rows: list[pa.RecordBatch]):
-        table = pa.Table.from_batches(rows).combine_chunks()
+        table = one_each(pa.Table.from_batches(rows).combine_chunks())
         get = lambda n: table.column(n).to_numpy()
         windows = get("windows")
+        if not table.num_rows:
+            return pa.RecordBatch.from_pydict(
+                {n: pa.array([], t) for n, t in (("anchor", pa.int64()), ("digest", pa.int64()), ("from", pa.int32()), ("to", pa.int32()))}
+            )
         hit = search(table.column("text").to_pylist(), windows, get("doc"), get("start"))
         bounds = np.concatenate([[0], np.cumsum(windows)])
         edge = np.zeros(len(hit) + 1, np.int8)
@@ -193,7 +234,7 @@ def _searched(search: Search, shard_bytes: int):
                         yield ranges(waiting)
                         waiting, size = [], 0
                     continue
-                lengths = np.cumsum(pa.compute.binary_length(batch.column("text")).to_numpy())
+                lengths = np.cumsum(pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy())
                 fits = min(int(np.searchsorted(lengths, shard_bytes - size)) + 1, batch.num_rows)
                 waiting.append(batch.slice(0, fits))
                 size += int(lengths[fits - 1])
@@ -234,30 +275,37 @@ def repeated_ranges(
         .where("k >= 2"),
         "contested",
     )
-    texts = (
-        found.where("text is not null")
-        .join(contested.select("anchor"), "anchor", "left_semi")
-        .groupBy("anchor", "digest")
-        .agg(F.max("text").alias("text"))
-    )
-    contexts = texts.join(counts, ["anchor", "digest"]).select(
-        F.col("anchor").alias("route"),
+    several, _ = winnow.repeated_table(contested.select("anchor"))
+    shared_several = spark.sparkContext.broadcast(several)
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("doc", "long"), ("start", "int"))]
+    texts = found.where("text is not null").select("anchor", "digest", "windows", *nothing, "text")
+    known = counts.select(
         "anchor",
         "digest",
-        F.lit(0).alias("base"),
         "windows",
         F.col("earliest.doc").alias("doc"),
         F.col("earliest.start").alias("start"),
-        "text",
+        F.lit(None).cast("binary").alias("text"),
+    )
+    contexts = (
+        texts.unionByName(known)
+        .mapInArrow(_among(shared_several), texts.schema)
+        .select(F.col("anchor").alias("route"), "anchor", "digest", F.lit(0).alias("base"), "windows", "doc", "start", "text")
     )
     crowded = contested.where(F.col("units") > group_units).select(F.col("anchor").alias("route"))
     for seed in range(1, SPLITS + 1):
         if crowded.isEmpty():
             break
         contexts = stored(contexts, "groups")
-        calm = contexts.join(crowded, "route", "left_anti")
-        split = contexts.join(crowded, "route", "left_semi").mapInArrow(_split(cut, seed), _CONTEXTS)
-        split = stored(split, "split")
+        calm = contexts.join(crowded, "route", "left_anti").select(contexts.columns)
+        # A context of a crowded group is put together before it is cut, summed per task first.
+        whole = (
+            contexts.join(crowded, "route", "left_semi")
+            .groupBy("route", "anchor", "digest", "base", "windows")
+            .agg(F.max("doc").alias("doc"), F.max("start").alias("start"), F.max("text").alias("text"))
+            .where("text is not null and doc is not null")
+        )
+        split = stored(whole.mapInArrow(_split(cut, seed), _CONTEXTS), "split")
         crowded = (
             split.groupBy("route")
             .agg(F.sum(F.col("windows") + cut.width - 1).alias("units"))
@@ -267,7 +315,7 @@ def repeated_ranges(
         contexts = calm.unionByName(split)
     verdicts = (
         contexts.repartition("route")
-        .sortWithinPartitions("route")
+        .sortWithinPartitions("route", "anchor", "digest", "base")
         .mapInArrow(_searched(search, SHARD_BYTES), "anchor long, digest long, from int, to int")
         .groupBy("anchor", "digest")
         .agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
@@ -278,6 +326,7 @@ def repeated_ranges(
         again = F.struct("doc", "start") != F.col("earliest")
     known = counts.join(verdicts, ["anchor", "digest"], "left")
     known = known.where("n > 1 or ranges is not null").select("anchor", "digest", "n", "earliest", "ranges")
+    known = stored(known, "verdicts")  # with both sides as tables, a crowded context's join can be split
     return (
         places.join(known, ["anchor", "digest"])
         .select(
@@ -297,17 +346,30 @@ def repeated_ranges(
     )
 
 
-def with_spans(documents: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Columns row (all of a document's columns), doc_id, text and spans (null: nothing to remove)."""
+def _squeezed(batches):
+    for batch in batches:
+        press = zstandard.ZstdCompressor(level=1).compress
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        columns = [batch.column(n) for n in ("row", "doc", "tkey")]
+        yield pa.RecordBatch.from_arrays(
+            [*columns, pa.array([press(t or b"") for t in texts], pa.binary())],
+            names=["row", "doc", "tkey", "squeezed"],
+        )
+
+
+def unsqueezed(batch: pa.RecordBatch) -> list[bytes]:
+    return [zstandard.decompress(t) for t in batch.column("squeezed").to_pylist()]
+
+
+def with_spans(documents: DataFrame, ranges: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns row (the named columns), squeezed (the text's bytes) and spans (null: none)."""
+    order = F.coalesce(documents["doc_id"].cast("long"), F.lit((1 << 63) - 1))
     rows = documents.select(
-        F.struct(*[documents[c] for c in documents.columns]).alias("row"),
-        documents["doc_id"].alias("doc_id"),
-        documents["text"].alias("text"),
-    )
-    keyed = rows.withColumn("tkey", text_key()).withColumn(
-        "doc", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))
-    )
-    return keyed.join(ranges, ["doc", "tkey"], "left").select("row", "doc_id", "text", "spans")
+        F.struct(*[documents[c] for c in columns]).alias("row"), order.alias("doc"), documents["text"].alias("text")
+    ).withColumn("tkey", text_key())
+    row = rows.schema["row"].dataType.simpleString()
+    small = rows.mapInArrow(_squeezed, f"row {row}, doc long, tkey long, squeezed binary")
+    return small.join(ranges, ["doc", "tkey"], "left").select("row", "squeezed", "spans")
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from station_telemetry.llm import repeats
-from station_telemetry.llm.common import picked
 from station_telemetry.llm.induced import permuted_common_prefixes, suffix_array
 
 WIDTH = 200
@@ -48,9 +47,7 @@ def twins(width: int):
 def _removed(batches):
     for batch in batches:
         out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept": []}
-        texts = batch.column("text").to_pylist()
-        for text, spans in zip(texts, batch.column("spans").to_pylist()):
-            data = (text or "").encode("utf-8", "surrogatepass")
+        for data, spans in zip(repeats.unsqueezed(batch), batch.column("spans").to_pylist()):
             spans = repeats.merged(spans)
             kept, at = [], 0
             for a, b in spans:
@@ -71,8 +68,19 @@ def _removed(batches):
         )
 
 
-def removed(documents: DataFrame, width: int = WIDTH, group_units: int = repeats.GROUP_UNITS) -> DataFrame:
-    """For each document: row (its columns), n_bytes, n_removed, n_spans and kept (the bytes left).
+def _decoded(batches):
+    for batch in batches:
+        texts = [kept.decode("utf-8", "ignore") for kept in batch.column("kept").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+
+
+def removed(
+    documents: DataFrame,
+    width: int = WIDTH,
+    group_units: int = repeats.GROUP_UNITS,
+    columns: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """For each document: row (the columns named), n_bytes, n_removed, n_spans and kept (the bytes left).
 
     A byte goes if a `width`-byte string that covers it also starts anywhere else, in the same
     document or another. Null counts as empty, an empty or short text stays as it is. Documents
@@ -82,7 +90,7 @@ def removed(documents: DataFrame, width: int = WIDTH, group_units: int = repeats
     gram = 1 << ((width // 4).bit_length() - 1)
     cut = repeats.Cut(width, max(8, min(32, gram)), words=False)
     ranges = repeats.repeated_ranges(documents, cut, twins(width), False, group_units)
-    joined = repeats.with_spans(documents, ranges)
+    joined = repeats.with_spans(documents, ranges, list(columns))
     row = joined.schema["row"].dataType.simpleString()
     schema = f"row {row}, n_bytes long, n_removed long, n_spans long, kept binary"
     return joined.mapInArrow(_removed, schema)
@@ -93,16 +101,14 @@ def deduplicated(documents: DataFrame, width: int = WIDTH) -> DataFrame:
 
     Where a cut falls inside a character, the rest of that character goes as well.
     """
-    found = removed(documents, width)
-    clean = F.udf(lambda kept: bytes(kept).decode("utf-8", "ignore"), "string")
-    text = F.when(F.col("n_removed") > 0, clean("kept")).otherwise(F.col("row.text"))
-    return found.select(
-        *[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in documents.columns]
-    )
+    others = [c for c in documents.columns if c != "text"]
+    found = removed(documents, width, columns=tuple(others))
+    clean = found.mapInArrow(_decoded, f"row {found.schema['row'].dataType.simpleString()}, text string")
+    return clean.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in documents.columns])
 
 
 def op6_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
-    documents = picked(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return removed(documents).select(
         F.col("row.doc_id").alias("doc_id"),
         "n_bytes",

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from station_telemetry.llm import repeats
-from station_telemetry.llm.common import picked
 
 WIDTH = 20
 _BITS = 21
@@ -80,8 +79,8 @@ def later_ones(width: int):
 def _removed(batches):
     for batch in batches:
         n_words, n_removed, kept = [], [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-            words = (text or "").encode("utf-8", "surrogatepass").split()
+        for data, spans in zip(repeats.unsqueezed(batch), batch.column("spans").to_pylist()):
+            words = data.split()
             n_words.append(len(words))
             gone = 0
             for a, b in reversed(repeats.merged(spans)):
@@ -100,8 +99,13 @@ def _removed(batches):
         )
 
 
-def removed(documents: DataFrame, width: int = WIDTH, group_units: int = repeats.GROUP_UNITS) -> DataFrame:
-    """For each document: row (its columns), n_words, n_removed and kept (words left, UTF-8).
+def removed(
+    documents: DataFrame,
+    width: int = WIDTH,
+    group_units: int = repeats.GROUP_UNITS,
+    columns: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """For each document: row (the columns named), n_words, n_removed and kept (words left, UTF-8).
 
     A word goes if a window of `width` words that covers it has an equal one that starts earlier:
     in a document with a smaller doc_id or earlier in the same. A null doc_id counts as larger
@@ -110,13 +114,13 @@ def removed(documents: DataFrame, width: int = WIDTH, group_units: int = repeats
     """
     cut = repeats.Cut(width, max(1, 1 << (width // 5).bit_length() - 1) if width > 4 else 1, words=True)
     ranges = repeats.repeated_ranges(documents, cut, later_ones(width), True, group_units)
-    joined = repeats.with_spans(documents, ranges)
+    joined = repeats.with_spans(documents, ranges, list(columns))
     row = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(_removed, f"row {row}, n_words long, n_removed long, kept binary")
 
 
 def op9_substring_dedup(spark, sf_dir: str) -> DataFrame:
-    documents = picked(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return removed(documents).select(
         F.col("row.doc_id").alias("doc_id"),
         "n_words",

@@ -44,3 +44,95 @@ def word_repeats(rows, width=20):
                 gone.update(range(i, i + width))
         out[d] = (len(w), len(gone), sha(b" ".join(x for k, x in enumerate(w) if k not in gone)))
     return out
+
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def contract_words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def contamination(rows, items, window=13):
+    """op3: doc_id -> (n_words, n_hit, n_items, sha, contaminated)."""
+    windows = defaultdict(set)
+    for item, text in items:
+        words = contract_words(text)
+        size = min(window, len(words))
+        for i in range(len(words) - size + 1 if words else 0):
+            windows[tuple(words[i : i + size])].add(str(item))
+    sizes = sorted({len(w) for w in windows})
+    out = {}
+    for d, text in rows:
+        words, hit, names = contract_words(text), set(), set()
+        for size in sizes:
+            for i in range(len(words) - size + 1):
+                found = windows.get(tuple(words[i : i + size]))
+                if found:
+                    hit.update(range(i, i + size))
+                    names |= found
+        n = len(hit)
+        out[d] = (len(words), n, len(names), sha(",".join(sorted(names)).encode()), n > 0 and 20 * n >= len(words))
+    return out
+
+
+def fingerprint(text):
+    import xxhash
+
+    words = [w.lower() for w in SPACE.findall((text or "").encode())]
+    grams = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [b" ".join(words)]
+    if not words:
+        return 0
+    ones = [0] * 64
+    for g in grams:
+        h = xxhash.xxh64_intdigest(g, 42)
+        for k in range(64):
+            ones[k] += h >> k & 1
+    return sum(1 << k for k in range(64) if 2 * ones[k] > len(grams))
+
+
+def near_duplicates(rows, radius=3):
+    """op10: doc_id -> (fingerprint, component_id) for unique doc_ids."""
+    fps = {d: fingerprint(t) for d, t in rows}
+    root = {f: f for f in fps.values()}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    distinct = sorted(root)
+    for i, a in enumerate(distinct):
+        for b in distinct[:i]:
+            if (a ^ b).bit_count() <= radius:
+                root[find(a)] = find(b)
+    least = {}
+    for d, f in fps.items():
+        r = find(f)
+        least[r] = min(least.get(r, d), d)
+    return {d: (f"{f:016x}", least[find(f)]) for d, f in fps.items()}
+
+
+def rule_counts(text):
+    """op7: (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed)."""
+    split = re.compile(r"[^\x20\x09-\x0D]+")
+    text = text or ""
+    words = split.findall(text)
+    three = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {i + k for i in range(len(words) - 2) if three[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if split.search(line):
+            dup += line in seen
+            seen.add(line)
+    n = len(words)
+    failed = n < 50 or 100 * len(covered) > 50 * n
+    return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed
+
+
+def token_ids(texts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
