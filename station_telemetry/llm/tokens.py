@@ -9,9 +9,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-#: Words remembered in a Python worker; beyond, memory is emptied and filled anew.
-MEMORY_WORDS = 400_000
+#: Words remembered in a Python worker; beyond, those not seen since the last turn are forgotten.
+MEMORY_WORDS = 600_000
 _LONG_WORD = 64
+_TOGETHER = 400
 
 _MEMORIES: dict[str, "WordTokens"] = {}
 
@@ -33,6 +34,9 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.lowers = self._one("A") == self._one("a")
+        self.marks = {m: self._one(m.decode()) for m in (b",", b".")} if self._parts() else {}
 
     @classmethod
     def of(cls, path: str) -> "WordTokens":
@@ -41,27 +45,65 @@ class WordTokens:
             _MEMORIES[path] = cls(path)
         return _MEMORIES[path]
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _parts(self) -> bool:
+        """Whether letters and a mark after them are separate pieces to this tokenizer."""
+        return self.tokenizer.encode("ab,", add_special_tokens=False).word_ids[-1] == 1
+
+    def _learn_letters(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Words of letters only, many in one text; each must come back as one piece."""
+        out = {}
+        for k in range(0, len(words), _TOGETHER):
+            own = words[k : k + _TOGETHER]
+            found = self.tokenizer.encode(b" ".join(own).decode(), add_special_tokens=False)
+            piece = np.array(found.word_ids, np.int64)
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(np.diff(piece, prepend=-1))
+            if len(cuts) != len(own) or (len(piece) and piece[-1] != len(own) - 1):
+                out.update(self._learn_any(own))
+                continue
+            data, stops = ids.tobytes(), np.append(cuts[1:], len(ids)) * 4
+            out.update((w, data[a:b]) for w, a, b in zip(own, (cuts * 4).tolist(), stops.tolist()))
+        return out
+
+    def _learn_any(self, words: list[bytes]) -> dict[bytes, bytes]:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
 
+    def _stem(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word without capitals and a last mark, where these make no difference, and the mark."""
+        mark = b""
+        if word[-1:] in self.marks and word[-2:-1].isalnum():
+            word, mark = word[:-1], word[-1:]
+        return (word.lower() if self.lowers and b"<|" not in word else word), mark
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        stems = {w: self._stem(w) for w in words}
+        found = {}
+        for stem, _ in stems.values():
+            ids = self.known.get(stem) or self.older.get(stem)
+            if ids is not None:
+                found[stem] = ids
+        fresh = {stem for stem, _ in stems.values()} - found.keys()
+        letters = [s for s in fresh if len(s) <= _LONG_WORD and s.decode().isalpha()] if self.marks else []
+        found.update(self._learn_letters(letters))
+        rest = list(fresh.difference(letters))
+        found.update(self._learn_any(rest) if rest else {})
+        out = {w: found[stem] + self.marks.get(mark, b"") for w, (stem, mark) in stems.items()}
+        return out
+
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         split = [t.split() if t else [] for t in texts]
-        fresh = {w for words in split for w in words} - self.known.keys()
-        own = self._learn(list(fresh)) if fresh else {}
-        if len(self.known) + len(own) > MEMORY_WORDS:
-            self.known.clear()
+        if len(self.known) > MEMORY_WORDS:
+            self.older, self.known = self.known, {}
         known = self.known
-        known.update((w, ids) for w, ids in own.items() if len(w) <= _LONG_WORD)
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join([known[w] for w in words]))
-            except KeyError:
-                missing = list({w for w in words if w not in known and w not in own})
-                own.update(self._learn(missing) if missing else {})
-                out.append(b"".join([known[w] if w in known else own[w] for w in words]))
-        return out
+        missing = set().union(*split).difference(known)
+        again = {w: self.older[w] for w in missing if w in self.older}
+        known.update(again)
+        known.update(self._learn(missing.difference(again)))
+        return [b"".join([known[w] for w in words]) for words in split]
 
 
 def texts_of(column: pa.Array) -> list[bytes | None]:
