@@ -3,20 +3,22 @@
 Revisits are resolved on headers alone: page id, digest and sizes are shuffled by digest, the row
 with the largest page id of each becomes the response, and the others are joined to it. Payloads
 meet their resolved headers once, when the archives are written with fresh headers; a revisit has
-no payload. Archives are written by Spark's text writer and so to any store: a record's last line
-feed is the writer's line end.
+no payload. Archives are written by Spark's text writer, with gzip, and so to any store: a
+record's last line feed is the writer's line end.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from station_telemetry.llm.common import stored, with_row
+from station_telemetry.llm.common import stored
 from station_telemetry.session import new_folder
 
 #: Bytes of an archive file that records are dealt for; a longer record has a file of its own size.
@@ -34,16 +36,17 @@ def payload_digest(payload: bytes) -> str:
 
 def _headed(batches):
     for batch in batches:
-        html = batch.column("html").cast(pa.binary()).to_pylist()
-        payloads = [h or b"" for h in html]
+        press = zstandard.ZstdCompressor(level=3).compress
+        payloads = [h or b"" for h in batch.column("html").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("uid"),
                 batch.column("page_id"),
+                batch.column("url"),
                 pa.array([len(p) for p in payloads], pa.int64()),
                 pa.array([payload_digest(p) for p in payloads]),
+                pa.array([press(p) for p in payloads], pa.binary()),
             ],
-            names=["uid", "page_id", "payload_bytes", "payload_digest"],
+            names=["page_id", "url", "payload_bytes", "payload_digest", "squeezed"],
         )
 
 
@@ -120,7 +123,7 @@ def record(
 def _recorded(batches):
     for batch in batches:
         got = batch.to_pydict()
-        payloads = [h or b"" for h in batch.column("html").cast(pa.binary()).to_pylist()]
+        payloads = [b"" if z is None else zstandard.decompress(z) for z in batch.column("squeezed").to_pylist()]
         # The writer ends each row with the record's last line feed.
         yield pa.RecordBatch.from_pydict(
             {
@@ -146,20 +149,20 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
         pages["url"].cast("string").alias("url"),
         pages["html"].alias("html"),
     )
-    rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "pages")
-    headers = stored(
-        rows.select("uid", "page_id", "html").mapInArrow(
-            _headed, "uid long, page_id long, payload_bytes long, payload_digest string"
-        ),
-        "headers",
+    rows = rows.mapInArrow(
+        _headed, "page_id long, url string, payload_bytes long, payload_digest string, squeezed binary"
     )
-    found = resolved(headers, least_bytes).select("uid", "payload_bytes", "payload_digest", "target")
+    rows = stored(rows.withColumn("uid", F.monotonically_increasing_id()), "pages")
+    headers = rows.select("uid", "page_id", "payload_bytes", "payload_digest")
+    found = resolved(headers, least_bytes).select("uid", "target")
     n, total, most = headers.agg(F.count(F.lit(1)), F.sum("payload_bytes"), F.max("payload_bytes")).first()
     mean = (total or 0) // max(1, n) + 700
     per_file = max(1, min(FILE_BYTES // mean, 8 * FILE_BYTES // ((most or 0) + 700)))
-    joined = rows.join(found, "uid").withColumn("html", F.when(F.col("target").isNull(), F.col("html")))
+    joined = rows.join(found, "uid").withColumn("squeezed", F.when(F.col("target").isNull(), F.col("squeezed")))
     values = joined.mapInArrow(_recorded, "value binary").select(F.col("value").cast("string").alias("value"))
-    values.write.option("lineSep", "\n").option("maxRecordsPerFile", per_file).text(path)
+    values.write.option("lineSep", "\n").option("maxRecordsPerFile", per_file).option(
+        "compression", "gzip"
+    ).text(path)
 
 
 def parsed(data: bytes):
@@ -183,7 +186,7 @@ def _read(batches):
     for batch in batches:
         for content in batch.column("content"):
             out = {n: [] for n in ("uid", "page_id", "url", "record_type", "target", "digest", "payload")}
-            for headers, block in parsed(content.as_py()):
+            for headers, block in parsed(gzip.decompress(content.as_py())):
                 payload = block.split(b"\r\n\r\n", 1)[1]
                 revisit = headers["WARC-Type"] == "revisit"
                 digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
