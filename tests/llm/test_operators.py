@@ -1,0 +1,329 @@
+"""Each operator against its rule in plain Python, on the small tables and on odd rows."""
+
+import random
+import struct
+import zlib
+from collections import Counter
+
+import brute
+import numpy as np
+import pytest
+from conftest import ODD
+from pyspark.sql import functions as F
+
+from station_telemetry.llm import (
+    decontamination,
+    induced,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash_pivots,
+    suffix_array_dedup,
+    suffix_tree_dedup,
+    toxicity,
+    token_counts,
+    warc,
+)
+from station_telemetry.llm.components import components
+from station_telemetry.llm.queries import QUERIES
+
+
+def by_id(df):
+    rows = df.collect()
+    out = {r[0]: tuple(r)[1:] for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def empty(df):
+    return df.where("false")
+
+
+@pytest.mark.parametrize("small", [1 << 13, 0])
+def test_suffix_arrays_and_common_prefixes(monkeypatch, small):
+    monkeypatch.setattr(induced, "_SMALL_ALPHABET", small)
+    rng = random.Random(1)
+    for _ in range(300):
+        k = rng.choice([1, 2, 3, 200])
+        text = [rng.randint(1, k) for _ in range(rng.randint(0, 50))] + [0]
+        order = induced.suffix_array(np.array(text, np.uint16))
+        want = sorted(range(len(text)), key=lambda i: text[i:])
+        assert order.tolist() == want
+        before, common = induced.permuted_common_prefixes(np.array(text, np.uint16), order)
+        for a, b in zip(want, want[1:]):
+            same = next(n for n in range(99) if text[a + n : a + n + 1] != text[b + n : b + n + 1])
+            assert (before[b], common[b]) == (a, same)
+
+
+def test_byte_repeats(spark, sf, docs):
+    assert by_id(QUERIES["op6_suffix_array_dedup"](spark, sf)) == brute.byte_repeats(docs)
+
+
+@pytest.mark.parametrize("group", [4_000_000, 300])
+def test_byte_repeats_of_odd_rows(odd, group):
+    """A small group limit makes crowded groups split."""
+    found = suffix_array_dedup.removed(odd, group_units=group)
+    got = by_id(found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)))
+    assert got == brute.byte_repeats(ODD)
+
+
+def test_repeated_rows_are_copies(spark, sf):
+    rows = spark.createDataFrame([(1, "abc " * 100), (1, "abc " * 100), (None, "q" * 250)], "doc_id long, text string")
+    got = sorted(tuple(r) for r in suffix_array_dedup.removed(rows).select("n_bytes", "n_removed").collect())
+    assert got == [(250, 250), (400, 400), (400, 400)]
+    assert suffix_array_dedup.removed(empty(rows)).count() == 0
+
+
+def test_cut_texts_are_valid(odd):
+    texts = {r.doc_id: r.text for r in suffix_array_dedup.deduplicated(odd).collect()}
+    assert texts[9] == dict(ODD)[9] and texts[5] == "" and texts[1] == ""
+    assert suffix_array_dedup.deduplicated(odd).columns == odd.columns
+
+
+def test_word_repeats(spark, sf, docs):
+    assert by_id(QUERIES["op9_substring_dedup"](spark, sf)) == brute.word_repeats(docs)
+
+
+@pytest.mark.parametrize("group", [4_000_000, 100])
+def test_word_repeats_of_odd_rows(odd, group):
+    found = suffix_tree_dedup.removed(odd, group_units=group)
+    assert by_id(found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == brute.word_repeats(ODD)
+    assert suffix_tree_dedup.removed(empty(odd)).count() == 0
+
+
+def test_contamination(spark, sf, docs):
+    items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
+    assert by_id(QUERIES["op3_benchmark_decontamination"](spark, sf)) == brute.contamination(docs, items)
+
+
+@pytest.mark.parametrize("block", [400_000, 3])
+def test_contamination_of_odd_rows(spark, odd, block):
+    """A small block makes several automata and passes."""
+    items = [(1, "Plain TEXT with a"), (2, "again, and: again"), (3, None), (4, ""), (5, "one"), (6, "ä ö ü " * 9), (1, "nothing")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.judged(decontamination.matches(odd, benchmark, block_words=block))
+    got = by_id(found.select("row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"))
+    assert got == brute.contamination(ODD, items)
+    assert decontamination.matches(empty(odd), benchmark).count() == 0
+    kept = decontamination.decontaminated(odd, empty(benchmark))
+    assert kept.columns == odd.columns and kept.count() == len(ODD)
+
+
+def test_fingerprints_and_components(spark, sf, docs):
+    assert by_id(QUERIES["op10_simhash_near_dedup"](spark, sf)) == brute.near_duplicates(docs)
+
+
+def test_near_duplicates_of_odd_rows(odd):
+    found = simhash_pivots.near_duplicates(odd)
+    got = by_id(found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id"))
+    assert got == brute.near_duplicates(ODD)
+    kept = simhash_pivots.representatives(odd)
+    assert kept.columns == odd.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in got.values()})
+    assert simhash_pivots.near_duplicates(empty(odd)).count() == 0
+
+
+def test_links_in_crowded_buckets(spark, sf):
+    """Fingerprints around a few centres: pairs in small buckets, spanning links in large ones."""
+    rng = random.Random(2)
+    centres = [rng.getrandbits(64) for _ in range(3)]
+    fps = {c ^ sum(1 << b for b in rng.sample(range(20), rng.randint(0, 3))) for c in centres for _ in range(200)}
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
+    edges = simhash_pivots.links(spark.createDataFrame(signed, "fp long"))
+    got = {r.node: r.root for r in components(edges).collect()}
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    ordered = sorted(fps)
+    for i, a in enumerate(ordered):
+        for b in ordered[:i]:
+            if (a ^ b).bit_count() <= 3:
+                root[find(a)] = find(b)
+    sets = Counter(find(f) for f in fps)
+    assert sorted(Counter(got.values()).values()) == sorted(n for n in sets.values() if n > 1)
+
+
+def test_components_of_a_chain(spark, sf):
+    edges = spark.range(1, 60).selectExpr("id a", "id - 1 b")
+    assert {r.root for r in components(edges).collect()} == {0}
+    assert components(edges.where("false")).count() == 0
+
+
+def test_rule_counts(spark, sf, docs):
+    got = by_id(QUERIES["op7_quality_rules"](spark, sf))
+    assert {d: v[:6] for d, v in got.items()} == {d: brute.rule_counts(t) for d, t in docs}
+    assert all(not v[6] for v in got.values() if v[5])
+
+
+def test_rules_of_odd_rows(odd, labels):
+    got = by_id(quality_rules.judged(odd, labels).select("row.doc_id", *quality_rules.COUNTS, "base_failed", "kept"))
+    assert {d: v[:6] for d, v in got.items()} == {d: brute.rule_counts(t) for d, t in ODD}
+    assert quality_rules.judged(empty(odd), labels).count() == 0
+    alone = quality_rules.judged(odd, empty(labels)).select("base_failed", "kept").collect()
+    assert all(r.kept != r.base_failed for r in alone)
+
+
+def test_forest_finds_what_sticks_out():
+    rng = np.random.default_rng(1)
+    words = rng.integers(100, 900, 500)
+    clean = np.stack([words, words * 5, words * 0, words * 0, words // 20], axis=1)
+    odd = clean[:40].copy()
+    odd[:, 2] = odd[:, 0] * 2
+    trees = quality_rules.forest(np.concatenate([clean, odd]))
+    assert quality_rules.mean_paths(odd, trees).max() < quality_rules.mean_paths(clean, trees).min()
+
+
+def accuracy(spark, name, label):
+    """(recall of 1, recall of 0) on labelled rows that training didn't see, at sf0.1."""
+    sf = "/root/testdata/sf0.1"
+    known = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in QUERIES[name](spark, sf).collect() if r.held_out and r.doc_id in known]
+    share = lambda k: np.mean([r.predicted == k for r in rows if known[r.doc_id] == k])
+    assert all(0 <= r.score <= 1 for r in rows)
+    return share(1), share(0)
+
+
+def test_toxicity_on_held_out_rows(spark, sf):
+    hit, clean = accuracy(spark, "op2_toxicity", "toxic")
+    assert hit > 0.6 and clean > 0.98  # a fifth of the labels are noise
+
+
+def test_quality_on_held_out_rows(spark, sf):
+    good, bad = accuracy(spark, "op5_quality_classifier", "quality")
+    assert good > 0.98 and bad > 0.65
+
+
+@pytest.mark.parametrize("scores", [toxicity.toxicity_scores, quality_classifier.quality_scores])
+def test_scores_of_odd_rows(odd, labels, scores):
+    got = by_id(scores(odd, labels).select("row.doc_id", "score", "predicted"))
+    assert set(got) == {d for d, _ in ODD} and got[1] == got[2]
+    assert {v[0] for v in by_id(scores(odd, empty(labels)).select("row.doc_id", "score")).values()} == {0.5}
+    assert scores(empty(odd), labels).count() == 0
+
+
+def packing_faults(rows, texts, capacity=4096):
+    ids = {d: i + [1] for (d, _), i in zip(texts, brute.token_ids([t for _, t in texts]))}
+    faults, sequences, seen = [], {}, Counter()
+    for doc, piece, start, length, crc, sequence, offset in rows:
+        own = ids[doc][start : start + length]
+        if (len(own), start, zlib.crc32(struct.pack(f"<{len(own)}I", *own))) != (length, piece * capacity, crc):
+            faults.append(doc)
+        seen[doc] += length
+        sequences.setdefault(sequence, []).append((offset, length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            if offset != at:
+                faults.append(parts)
+            at += length
+        if at > capacity:
+            faults.append(parts)
+    assert seen == {d: len(i) for d, i in ids.items()} and not faults
+    return len(sequences), -(-sum(seen.values()) // capacity)
+
+
+def test_packing(spark, sf, docs):
+    rows = [tuple(r) for r in QUERIES["op1_best_fit_packing"](spark, sf).collect()]
+    used, least = packing_faults(rows, docs)
+    assert used <= 1.03 * least + 1
+
+
+def test_packing_of_odd_rows(odd):
+    found = packing.packed_pieces(odd, columns=["doc_id"])
+    packing_faults([(r.row.doc_id, *tuple(r)[1:]) for r in found.collect()], ODD)
+    assert packing.packed_pieces(empty(odd)).count() == 0
+
+
+def test_packing_of_equal_lengths(spark, sf):
+    items = spark.range(200).selectExpr("id uid", "1000L length")
+    places = packing.packed(items).collect()
+    assert len(places) == 200 and len({p.bin for p in places}) == 50
+
+
+def test_word_by_word_ids_are_the_tokenizers(sf):
+    from station_telemetry.llm.tokens import WordTokens, tokenizer_path
+
+    texts = ["don't STOP <|startoftext|> x<|endoftext|>y <|STARTOFTEXT|>", "İstanbul ß ﬁ Ǆ", "a,b., c!, d.. e.", ", .",
+             "", " nbsp　wide x", "é café, É.", "12,345. a1, 1a.", "日本語, テスト。", "x" * 300 + ", " + "y" * 5000,
+             "Σας ΣΑΣ, ς.", "à́ ,", "²³, ½.", "!?., ,."]
+    got = WordTokens(tokenizer_path(packing.TOKENIZER)).encode([t.encode() for t in texts * 2])
+    want = [np.array(i, "<u4").tobytes() for i in brute.token_ids(texts)]
+    assert got == want * 2
+
+
+def test_archives(spark, sf, tmp_path):
+    pages = [(1, "u", "same"), (2, "u", "same"), (3, None, None), (4, "v\n", ""), (5, "w", "WARC/1.1\r\n\r\n"),
+             (None, "x", "same"), (6, "y", "long " * 100_000), (2, "z", "other")]
+    rows = spark.createDataFrame([(*p, 1) for p in pages], "page_id long, url string, html string, uid int")
+    path = str(tmp_path / "archives")
+    warc.write_archives(rows, path)
+    records = warc.read_archives(spark, path)
+    payloads = {r.page_id: r.payload for r in records.where("page_id in (5, 6)").collect()}
+    assert payloads == {5: b"WARC/1.1\r\n\r\n", 6: b"long " * 100_000}
+    got = sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in warc.originals(records).collect())
+    assert got == sorted([
+        ("1", 4, "revisit", 2), ("2", 4, "response", None), ("3", 0, "revisit", 4), ("4", 0, "response", None),
+        ("5", 12, "response", None), ("None", 4, "revisit", 2), ("6", 500_000, "response", None), ("2", 5, "response", None),
+    ])
+    warc.write_archives(rows.where("false"), str(tmp_path / "none"))
+
+
+def test_pages(spark, sf):
+    got = by_id(QUERIES["op4_warc"](spark, sf))
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    newest = {}
+    for p in pages:
+        newest[p.html or ""] = max(newest.get(p.html or "", -1), p.page_id)
+    for p in pages:
+        data, first = (p.html or "").encode(), newest[p.html or ""]
+        kind = ("response", None) if first == p.page_id else ("revisit", first)
+        assert got[p.page_id] == (len(data), warc.payload_digest(data), *kind)
+
+
+def test_token_totals(spark, sf, tmp_path):
+    rollup = token_counts.TokenRollup(spark, str(tmp_path / "rollup"))
+    names = "op string, doc_id long, text string, source string, lang string"
+
+    def commit(batch, *rows):
+        rollup.commit(batch, spark.createDataFrame(rows, names))
+
+    def totals():
+        return {(r.source, r.lang): (r.tokens, r.documents) for r in rollup.totals().collect()}
+
+    def n(text):
+        return len(brute.token_ids([text])[0])
+
+    first = [("insert", 1, "a b c", "s", "en"), ("insert", 2, None, "s", None), ("insert", 3, "words here", "t", "en"),
+             ("insert", 3, "words here", "t", "en")]
+    commit(0, *first)
+    want = {("s", "en"): (n("a b c"), 1), ("s", None): (0, 1), ("t", "en"): (2 * n("words here"), 2)}
+    assert totals() == want
+    commit(0, *first)
+    assert totals() == want
+    second = [("revise", 1, "a longer text now", "t", "en"), ("delete", 3, None, None, None), ("delete", 77, None, None, None)]
+    commit(1, *second)
+    commit(1, *second)
+    assert totals() == {("s", None): (0, 1), ("t", "en"): (n("a longer text now"), 1)}
+    commit(2, ("delete", 1, None, None, None), ("delete", 2, None, None, None))
+    assert totals() == {}
+
+
+def test_counts_of_the_history(spark, sf):
+    import re
+
+    rows = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    first = {}
+    for r in rows:
+        first[r.text or ""] = min(first.get(r.text or "", r.doc_id), r.doc_id)
+    live = [r for r in rows if first[r.text or ""] == r.doc_id]
+    tokens = brute.token_ids([re.sub("[ \t]+\n", "\n", (r.text or "").strip(" ")) for r in live])
+    want = {}
+    for r, ids in zip(live, tokens):
+        had = want.get((r.source, r.lang), (0, 0))
+        want[(r.source, r.lang)] = (had[0] + len(ids), had[1] + 1)
+    got = QUERIES["op8_token_counts"](spark, sf).collect()
+    assert {(r.source, r.lang): (r.tokens, r.documents) for r in got} == want
