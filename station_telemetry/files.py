@@ -29,3 +29,20 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, p = _open(spark, path)
     fs.delete(p, True)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Removes an existing folder when the driver's JVM ends."""
+    fs, p = _open(spark, path)
+    fs.deleteOnExit(p)
+
+
+def age_folder(spark: SparkSession, root: str, name: str, days: int) -> None:
+    """Puts the times of the files in folders called `name` below `root` back, as a restore may."""
+    fs, p = _open(spark, root)
+    listing = fs.listFiles(p, True)
+    while listing.hasNext():
+        status = listing.next()
+        if status.getPath().getParent().getName() == name:
+            then = status.getModificationTime() - days * 86_400_000
+            fs.setTimes(status.getPath(), then, -1)

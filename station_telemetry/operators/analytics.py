@@ -110,15 +110,18 @@ def sequence_gaps(
 def missing_numbers(gaps: DataFrame) -> DataFrame:
     """Every missing number of `sequence_gaps`, one row each.
 
-    Long gaps are cut into steps first, so no row carries a long array.
+    Gaps are cut into ever smaller steps, so no row carries more than EXPLODE_STEP of them however
+    long a gap is. A corrupt number far ahead still means as many rows as it leaves out; the gaps
+    themselves are the bounded form.
     """
     keys = [c for c in gaps.columns if not c.startswith("missing")]
-    step_end = F.least(F.col("_from") + (EXPLODE_STEP - 1), F.col("missing_to"))
-    return gaps.select(
-        *keys,
-        "missing_to",
-        F.explode(F.sequence("missing_from", "missing_to", F.lit(EXPLODE_STEP).cast("bigint"))).alias("_from"),
-    ).select(*keys, F.explode(F.sequence(F.col("_from"), step_end)).alias("s_no"))
+    pieces = gaps.select(*keys, F.col("missing_from").alias("_from"), F.col("missing_to").alias("_to"))
+    for step in (EXPLODE_STEP**3, EXPLODE_STEP**2, EXPLODE_STEP, 1):
+        begin = F.explode(F.sequence(F.col("_from"), F.col("_to"), F.lit(step).cast("bigint"))).alias("_begin")
+        pieces = pieces.select(*keys, "_to", begin).select(
+            *keys, F.col("_begin").alias("_from"), F.least(F.col("_begin") + (step - 1), F.col("_to")).alias("_to")
+        )
+    return pieces.select(*keys, F.col("_from").alias("s_no"))
 
 
 def with_epoch(

@@ -59,7 +59,7 @@ def normalize(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """camelCase or snake_case archive rows to documents; rows without an id are left out.
 
     Ids fall back to the other name when null; the other fields only when the column is absent.
-    That is decided from the schema, so read archives of mixed schemas one schema at a time.
+    That is decided from the schema; for files of both spellings see `normalize_mixed`.
     `keep` names further columns to carry along.
     """
     station, number = (_first_non_null(df, names) for names in _IDS)
@@ -81,6 +81,37 @@ def normalize(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def normalize_mixed(df: DataFrame, file: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """`normalize` for rows of files that spell their columns either way, read with all columns.
+
+    Ids fall back when null, as in `normalize`. For the other fields a file has the snake_case
+    column if any of its rows has a value there; a file that has it keeps its nulls. `file` names
+    the column that tells files apart. The per-file marks are one row a file.
+    """
+    pairs = [("battery_status", "batteryStatus"), ("status_timestamp", "statusTimeStamp"), ("weather", "weatherStatus")]
+    both = [p for p in pairs if p[0] in df.columns and p[1] in df.columns]
+    if not both:
+        return normalize(df, keep)
+    marks = df.groupBy(F.col(file).alias("_file")).agg(
+        *[F.bool_or(F.col(snake).isNotNull()).alias(f"_has_{snake}") for snake, _ in both]
+    )
+    known = df.withColumn("_of", F.col(file)).join(marks, F.col("_of") == F.col("_file"), "left")
+    for snake, camel in both:
+        chosen, other = F.col(snake), F.col(camel)
+        if snake == "weather":
+            chosen = F.when(chosen.isNotNull(), F.struct("weather.humidity", "weather.temperature", "weather.wind_speed"))
+            other = F.when(
+                other.isNotNull(),
+                F.struct(
+                    F.col(f"{camel}.humidity").alias("humidity"),
+                    F.col(f"{camel}.temperature").alias("temperature"),
+                    F.col(f"{camel}.windSpeed").alias("wind_speed"),
+                ),
+            )
+        known = known.withColumn(snake, F.when(F.col(f"_has_{snake}"), chosen).otherwise(other))
+    return normalize(known.drop(*[camel for _, camel in both]), keep)
+
+
 def replace_by_id(documents: DataFrame, order: str) -> DataFrame:
     """One document per id: the one that came last by `order` replaces the others whole."""
     return latest(documents, "doc_id", order)

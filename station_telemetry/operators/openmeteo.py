@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from station_telemetry.functions import iso_to_millis
 from station_telemetry.operators import ordered, slices
-from station_telemetry.operators.wire import decode_json_split
+from station_telemetry.operators.wire import decode_json_marked, decode_json_split
 from station_telemetry.schemas import OPENMETEO
-from station_telemetry.session import written
 
 OPENMETEO_STATION = 100  # fixed value: the adapter's station id
 
@@ -19,20 +18,24 @@ def parse_payloads(payloads: DataFrame, text: str = "payload") -> tuple[DataFram
     return decode_json_split(payloads, text, "message", OPENMETEO)
 
 
+def mark_payloads(payloads: DataFrame, text: str = "payload") -> DataFrame:
+    """All payloads with the record in `message` and `ok`, which tells whether it parsed."""
+    return decode_json_marked(payloads, text, "message", OPENMETEO)
+
+
 def assign_sequence(
-    parsed: DataFrame, order_by: list[str], station: str = "stationId"
+    parsed: DataFrame, order_by: list[str], station: str = "stationId", dense: bool = False
 ) -> DataFrame:
     """Numbers every parsed payload of a station from 1, in `order_by` (a total order).
 
     Payloads that did not parse take no number; those that parse but cannot be mapped do. All
-    payloads usually belong to one station, so neither way keeps a station in one task: a single
-    whole-number order (dense, such as an offset) is cut into slices, any other order is
-    range-partitioned. Both read their input twice, so the parsed rows are written first: parsing
-    again would cost more.
+    payloads usually belong to one station, so neither way keeps a station in one task: rows are
+    range-partitioned by the order. Where the caller knows the order to be one dense whole number,
+    such as an offset, `dense` cuts it into slices instead, which needs no written copy.
     """
-    parsed = written(parsed, "parsed")
-    one_number = len(order_by) == 1 and dict(parsed.dtypes)[order_by[0]] in ("int", "bigint")
-    if one_number:
+    if dense:
+        if len(order_by) != 1:
+            raise ValueError("a dense order is one column")
         return slices.number_rows(parsed, [station], order_by[0], "sequenceNumber")
     return ordered.number_rows(parsed, [station], order_by, "sequenceNumber")
 

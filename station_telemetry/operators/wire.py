@@ -64,15 +64,22 @@ def decode_json(
     return df.withColumn(into, F.from_json(F.col(text), schema, {"mode": "FAILFAST"}))
 
 
-def decode_json_split(
-    df: DataFrame, text: str = "json", into: str = "value", schema: T.StructType = STATUS
-) -> tuple[DataFrame, DataFrame]:
-    """The same without failing: (decoded rows, rows whose text is null, empty or malformed)."""
+def decode_json_marked(
+    df: DataFrame, text: str = "json", into: str = "value", schema: T.StructType = STATUS, mark: str = "ok"
+) -> DataFrame:
+    """The same without failing: `mark` tells records from text that is null, empty or malformed."""
     probed = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     record = F.from_json(F.col(text), probed, {"columnNameOfCorruptRecord": _CORRUPT})
     # Unpacked from a one-element array, the record is parsed once per row. As a plain column it
     # would be parsed again in each filter that Spark pushes below it.
     parsed = df.select(*[c for c in df.columns if c != into], F.explode(F.array(record)).alias(into))
     ok = F.col(into).isNotNull() & F.col(f"{into}.{_CORRUPT}").isNull()
-    decoded = parsed.where(ok).withColumn(into, F.col(into).dropFields(_CORRUPT))
-    return decoded, parsed.where(~ok).drop(into)
+    return parsed.withColumn(mark, ok).withColumn(into, F.col(into).dropFields(_CORRUPT))
+
+
+def decode_json_split(
+    df: DataFrame, text: str = "json", into: str = "value", schema: T.StructType = STATUS
+) -> tuple[DataFrame, DataFrame]:
+    """(decoded rows, rows whose text is null, empty or malformed)."""
+    marked = decode_json_marked(df, text, into, schema, "_ok")
+    return marked.where("_ok").drop("_ok"), marked.where("not _ok").drop("_ok", into)

@@ -3,10 +3,10 @@
 _SENT = """
 WITH sent AS (
     SELECT event_id, user_id, event_type, ts, value,
-           user_id % 10 + 1 AS "stationId",
+           event_id % 10 + 1 AS "stationId",
            CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
            CAST(epoch_us(ts) // 1000 AS BIGINT) AS millis,
-           row_number() OVER (PARTITION BY user_id % 10 + 1 ORDER BY event_id) AS n
+           event_id // 10 + 1 AS n
     FROM events
 ),
 reading AS (
@@ -15,9 +15,9 @@ reading AS (
            CASE WHEN k < 30 THEN 'LOW' WHEN k < 70 THEN 'MID' ELSE 'HIGH' END AS "batteryStatus",
            millis AS "statusTimeStamp",
            CAST(event_id * 37 % 101 AS INTEGER) AS humidity,
-           CAST(event_id * 53 % 151 - 50 AS DOUBLE) AS temperature,
+           value AS temperature,
            CAST(event_id * 29 % 101 AS DOUBLE) AS "windSpeed"
-    FROM sent WHERE event_id % 10 <> 3
+    FROM sent
 ),
 message AS (
     SELECT *, CAST("stationId" AS VARCHAR) AS key,
@@ -37,6 +37,9 @@ document AS (
 )
 """
 
+# The feed that the analyses of drops and gaps read has lost one number in ten.
+_LOSSY = _SENT.replace("FROM sent\n)", "FROM sent WHERE n % 10 <> 3\n)")
+
 _STATUS = '"stationId", "sequenceNumber", "batteryStatus", "statusTimeStamp", humidity, temperature, "windSpeed"'
 _DOCUMENT = (
     "doc_id, station_id, s_no, battery_status, status_timestamp, event_millis, "
@@ -44,7 +47,7 @@ _DOCUMENT = (
 )
 _DATE = """strftime(make_timestamp("statusTimeStamp" * 1000), '%Y-%m-%d')"""
 
-_BY_STATION = _SENT + """,
+_BY_STATION = _LOSSY + """,
 dropped AS (
     SELECT station_id, max(s_no) AS expected, count(DISTINCT s_no) AS received,
            max(s_no) - count(DISTINCT s_no) AS dropped,
@@ -53,7 +56,7 @@ dropped AS (
 )
 """
 
-_GAPS = _SENT + """,
+_GAPS = _LOSSY + """,
 stepped AS (
     SELECT station_id, s_no,
            lag(s_no, 1, 0) OVER (PARTITION BY station_id ORDER BY s_no) AS previous
@@ -71,7 +74,7 @@ WITH parsed AS (
     SELECT event_id AS payload_id, CAST(100 AS BIGINT) AS "stationId",
            date_trunc('minute', ts) AS minute,
            CAST(event_id * 37 % 101 AS INTEGER) AS humidity,
-           CAST(event_id * 53 % 151 - 50 AS DOUBLE) + 0.5 AS temperature
+           value AS temperature
     FROM events WHERE event_type <> 'error'
 )
 """
@@ -89,6 +92,7 @@ ORACLES: dict[str, str] = {
     "archive_scan": _SENT
     + f'SELECT "stationId" AS station_id, {_DATE} AS date, {_STATUS} FROM reading',
     "incremental_ingest": _SENT + f"SELECT {_DOCUMENT} FROM document",
+    "mixed_ingest": _SENT + f"SELECT {_DOCUMENT} FROM document",
     "file_timestamp": _SENT + """
 SELECT CASE event_type
            WHEN 'error' THEN 'part-' || millis || '-' || event_id || '.parquet.tmp'
@@ -110,13 +114,19 @@ SELECT doc_id, station_id, s_no, battery_status, status_timestamp, event_millis,
 FROM document""",
     "ensure_target": _SENT
     + "SELECT station_id, count(*) AS documents FROM document GROUP BY station_id",
-    "snapshot_csv": _LATEST_BY_USER + "SELECT key, value FROM live",
+    "snapshot_csv": _LATEST_BY_USER + """
+SELECT key, CASE CAST(key AS INTEGER) % 5 WHEN 0 THEN '  a,' || key || '"b" '
+                 WHEN 1 THEN key || chr(10) || ' second line' WHEN 2 THEN '' WHEN 3 THEN NULL
+                 ELSE value END AS value
+FROM live""",
     "publish_frame": _SENT + "SELECT key, json AS value FROM message",
     "rain_events": _SENT + 'SELECT key, "stationId", humidity FROM message WHERE humidity > 70',
     "rain_stream": _SENT + """
 SELECT key, '{"stationId":' || "stationId" || ',"humidity":' || humidity || '}' AS value
 FROM message WHERE humidity > 70""",
-    "to_wire": _SENT + f'SELECT "offset", {_STATUS} FROM reading',
+    "to_wire": _SENT + f"""
+SELECT "offset", {_STATUS.replace('temperature', 'CAST(trunc(temperature) AS DOUBLE) AS temperature')}
+FROM reading""",
     "openmeteo_to_status": _PAYLOADS + """
 SELECT payload_id, "stationId", row_number() OVER (ORDER BY payload_id) AS "sequenceNumber",
        'NOT_AVAILABLE' AS "batteryStatus",
@@ -144,6 +154,18 @@ FROM message GROUP BY key""",
     "latest_status_stream": _SENT + """
 SELECT key, arg_max(json, "offset") AS value, max("offset") AS "offset"
 FROM message GROUP BY key""",
+    "feed_rejects": _SENT + """
+SELECT key, substr(json, 1, 20) AS text, "offset" FROM message WHERE event_type = 'error'""",
+    "latest_of_texts": _SENT + """
+SELECT key, arg_max(json, "offset") AS value, max("offset") AS "offset"
+FROM message WHERE event_type <> 'error' GROUP BY key""",
+    "payload_stream": _PAYLOADS + """,
+numbered AS (SELECT *, row_number() OVER (ORDER BY payload_id) AS n FROM parsed)
+SELECT '100' AS key, '{"stationId":100,"sequenceNumber":' || n
+       || ',"batteryStatus":"NOT_AVAILABLE","statusTimeStamp":' || CAST(epoch_us(minute) // 1000 AS BIGINT)
+       || ',"weatherStatus":{"humidity":' || humidity || ',"temperature":' || CAST(temperature AS VARCHAR)
+       || ',"windSpeed":12.5}}' AS value, n AS "offset"
+FROM numbered QUALIFY n = max(n) OVER ()""",
     "get_status": _SENT + """,
 live AS (SELECT key, arg_max(json, "offset") AS value FROM message GROUP BY key),
 asked AS (SELECT DISTINCT CAST(user_id % 15 + 1 AS VARCHAR) AS key FROM events)
@@ -180,7 +202,7 @@ SELECT battery_status, count(*) AS readings,
        CAST(count(*) AS DOUBLE) * 100 / (SELECT count(*) FROM document) AS share_pct
 FROM document GROUP BY battery_status""",
     "dropped_per_station": _BY_STATION + "SELECT * FROM dropped",
-    "dropped_per_epoch": _SENT + """,
+    "dropped_per_epoch": _LOSSY + """,
 restarted AS (
     SELECT station_id, "offset", CASE WHEN s_no > 400 THEN s_no - 400 ELSE s_no END AS s_no
     FROM document

@@ -1,16 +1,16 @@
 """Station readings derived from the `events` table (see FIXTURES.md).
 
-Each event is one reading of one of ten stations. The station numbers all its readings; one in
-ten is lost on the way, which is the loss that the drop-rate analyses must find.
+Each event is one reading of one of ten stations, which numbers its readings from 1. The
+analyses of drops and gaps ask for a feed that lost one number in ten; all other queries read
+every event.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from station_telemetry.functions import battery_from_fraction
-from station_telemetry.operators import slices
 from station_telemetry.operators.documents import normalize
 from station_telemetry.schemas import STATUS
 from station_telemetry.session import new_folder
@@ -26,40 +26,34 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.regexp_extract("props", r'"k": *(\d+)', 1).cast("int")
     return (
         spark.read.parquet(f"{sf_dir}/events.parquet")
-        .withColumn("stationId", F.col("user_id") % 10 + 1)
+        .withColumn("stationId", F.col("event_id") % 10 + 1)
+        .withColumn("sequenceNumber", F.call_function("div", F.col("event_id"), F.lit(10)) + 1)
         .withColumn("k", k)
         .withColumn("millis", F.unix_millis(F.col("ts").cast("timestamp")))
     )
 
 
-def _arrives() -> Column:
-    return F.col("event_id") % 10 != 3
+def readings(spark: SparkSession, sf_dir: str, lossy: bool = False) -> DataFrame:
+    """Received readings as STATUS columns plus `offset`, `user_id` and `event_type`; one scan.
 
-
-def readings(spark: SparkSession, sf_dir: str, numbered: bool = True) -> DataFrame:
-    """Received readings as STATUS columns plus `offset`, `user_id` and `event_type`.
-
-    Without numbers the query is one scan; numbering needs a shuffle.
+    `lossy` drops one sequence number in ten of every station.
     """
     sent = events(spark, sf_dir)
-    if numbered:
-        sent = slices.number_rows(sent, ["stationId"], "event_id", "sequenceNumber")
-    else:
-        sent = sent.withColumn("sequenceNumber", F.lit(None).cast("bigint"))
+    if lossy:
+        sent = sent.where(F.col("sequenceNumber") % 10 != 3)
     humidity = F.col("event_id") * 37 % 101
-    temperature = F.col("event_id") * 53 % 151 - 50
     wind = F.col("event_id") * 29 % 101
-    return sent.where(_arrives()).select(
+    return sent.select(
         F.col("event_id").alias("offset"),
         "user_id",
         "event_type",
         "stationId",
-        F.col("sequenceNumber").cast("bigint").alias("sequenceNumber"),
+        "sequenceNumber",
         battery_from_fraction(F.col("k") / 100).alias("batteryStatus"),
         F.col("millis").alias("statusTimeStamp"),
         F.struct(
             humidity.cast("int").alias("humidity"),
-            temperature.cast("double").alias("temperature"),
+            F.col("value").alias("temperature"),
             wind.cast("double").alias("windSpeed"),
         ).alias("weatherStatus"),
     )
@@ -71,13 +65,13 @@ def as_messages(status: DataFrame, key: str = "stationId") -> DataFrame:
     )
 
 
-def messages(spark: SparkSession, sf_dir: str, numbered: bool = True, key: str = "stationId") -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, key: str = "stationId") -> DataFrame:
     """The readings as (key, value, offset)."""
-    return as_messages(readings(spark, sf_dir, numbered), key)
+    return as_messages(readings(spark, sf_dir), key)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize(readings(spark, sf_dir), keep=("offset",))
+def documents(spark: SparkSession, sf_dir: str, lossy: bool = False) -> DataFrame:
+    return normalize(readings(spark, sf_dir, lossy), keep=("offset",))
 
 
 def restarted(documents: DataFrame, after: int = 400) -> DataFrame:
@@ -98,7 +92,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = F.struct(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
         F.lit(900).alias("interval"),
-        (F.col("event_id") * 53 % 151 - 50 + F.lit(0.5)).cast("double").alias("temperature_2m"),
+        F.col("value").alias("temperature_2m"),
         (F.col("event_id") * 37 % 101).cast("int").alias("relative_humidity_2m"),
         F.lit(12.5).cast("double").alias("wind_speed_10m"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from station_telemetry import functions as fn
+from station_telemetry.files import age_folder
 from station_telemetry.operators import analytics, openmeteo, rain, state, wire
 from station_telemetry.operators.documents import (
     decode_battery,
@@ -16,14 +17,19 @@ from station_telemetry.operators.documents import (
     required_fields,
 )
 from station_telemetry.plans import readings as r
-from station_telemetry.schemas import STATUS
-from station_telemetry.session import new_folder
+from station_telemetry.schemas import ARCHIVE_MIXED, STATUS
+from station_telemetry.session import new_folder, written
 from station_telemetry.sinks.archive import archive_rows, write_archive
 from station_telemetry.sinks.documents import document_table, ensure_target as create_target
 from station_telemetry.sinks.export import export_csv, read_csv
-from station_telemetry.sinks.topics import file_writer
+from station_telemetry.sinks.topics import file_writer, read_files
 from station_telemetry.sources.archive import archive_scan as scan, archive_stream as stream_archive
-from station_telemetry.sources.status import landed_messages
+from station_telemetry.sources.status import (
+    decode_texts,
+    landed_messages,
+    landed_payloads,
+    landed_texts,
+)
 from station_telemetry.streaming import feeds
 from station_telemetry.streaming.runs import run_once
 
@@ -71,7 +77,7 @@ def status_stream(spark, sf_dir):
     landed = r.land(r.messages(spark, sf_dir), "messages")
     out, checkpoint = new_folder(spark, "status"), new_folder(spark, "checkpoint")
     run_once(file_writer(landed_messages(spark, landed, streaming=True), out, checkpoint), "status")
-    return flat_status(spark.read.parquet(out), "key", "offset", record="value")
+    return flat_status(read_files(spark, out), "key", "offset", record="value")
 
 
 @query("json_roundtrip")
@@ -89,20 +95,61 @@ def archive_scan(spark, sf_dir):
 
 @query("incremental_ingest")
 def incremental_ingest(spark, sf_dir):
-    """The archive grows between two passes; a third pass finds nothing new."""
+    """The archive grows between passes, once by copies that carry an old time.
+
+    After a compaction a new checkpoint takes everything again, and ends with the same documents.
+    """
     rows = r.readings(spark, sf_dir)
-    middle = 1_705_363_200_000  # 2024-01-16, the middle of the month of events
+    middle, late = 1_705_363_200_000, 1_706_400_000_000  # 2024-01-16 and 2024-01-28, in a month of events
+    stamp = F.col("statusTimeStamp")
     root, checkpoint = new_folder(spark, "archive"), new_folder(spark, "checkpoint")
     table = document_table(spark, new_folder(spark, "documents"))
 
-    def one_pass():
-        run_once(feeds.ingest_feed(stream_archive(spark, root), table, checkpoint), "ingest")
+    def one_pass(at=checkpoint):
+        run_once(feeds.ingest_feed(stream_archive(spark, root), table, at), "ingest")
 
-    write_archive(rows.where(F.col("statusTimeStamp") < middle), root)
+    write_archive(rows.where(stamp < middle), root)
     one_pass()
-    write_archive(rows.where(F.col("statusTimeStamp") >= middle), root)
+    write_archive(rows.where((stamp >= middle) & (stamp < late)), root)
     one_pass()
+    write_archive(rows.where(stamp >= late), root, batch="restored")
+    age_folder(spark, root, "batch=restored", days=30)
     one_pass()
+    table.compact()
+    one_pass(new_folder(spark, "checkpoint"))
+    return flat_documents(table.current())
+
+
+@query("mixed_ingest")
+def mixed_ingest(spark, sf_dir):
+    """An archive whose files of view events are spelled in snake case."""
+    rows = r.readings(spark, sf_dir)
+    root, checkpoint = new_folder(spark, "archive"), new_folder(spark, "checkpoint")
+    table = document_table(spark, new_folder(spark, "documents"))
+    write_archive(rows.where("event_type <> 'view'"), root)
+    snake, _ = archive_rows(rows.where("event_type = 'view'"))
+    weather = F.col("weatherStatus")
+    (
+        snake.select(
+            F.col("sequenceNumber").alias("s_no"),
+            F.col("batteryStatus").alias("battery_status"),
+            F.col("statusTimeStamp").alias("status_timestamp"),
+            F.struct(
+                weather["humidity"].alias("humidity"),
+                weather["temperature"].alias("temperature"),
+                weather["windSpeed"].alias("wind_speed"),
+            ).alias("weather"),
+            "station_id",
+            "date",
+            F.lit("snake").alias("batch"),
+        )
+        .hint("rebalance", "station_id", "date")
+        .write.mode("append")
+        .partitionBy("station_id", "date", "batch")
+        .parquet(root)
+    )
+    stream = stream_archive(spark, root, ARCHIVE_MIXED)
+    run_once(feeds.ingest_feed(stream, table, checkpoint, mixed=True), "ingest")
     return flat_documents(table.current())
 
 
@@ -137,11 +184,15 @@ def archive_write(spark, sf_dir):
 
 @query("archive_stream")
 def archive_stream(spark, sf_dir):
-    """The same through the streaming archive writer."""
-    landed = r.land(r.messages(spark, sf_dir), "messages")
-    root, checkpoint = new_folder(spark, "archive"), new_folder(spark, "checkpoint")
-    stream = landed_messages(spark, landed, streaming=True)
-    run_once(feeds.archive_feed(stream, root, checkpoint), "archive")
+    """Two streamed parts, the second with a new checkpoint, and one written by a batch job."""
+    rows = r.messages(spark, sf_dir)
+    root, part = new_folder(spark, "archive"), F.col("offset") % 3
+
+    for k in (0, 1):
+        landed = r.land(rows.where(part == k), "messages")
+        stream = landed_messages(spark, landed, streaming=True)
+        run_once(feeds.archive_feed(stream, root, new_folder(spark, "checkpoint")), "archive")
+    write_archive(rows.where(part == 2).select("value.*"), root)
     return flat_status(scan(spark, root), "station_id", F.col("date").cast("string").alias("date"))
 
 
@@ -173,13 +224,24 @@ def ensure_target(spark, sf_dir):
     create_target(spark, name, path)
     r.documents(spark, sf_dir).drop("offset").write.insertInto(name)
     create_target(spark, name, path)
-    return spark.table(name).groupBy("station_id").agg(F.count(F.lit(1)).alias("documents"))
+    counted = written(spark.table(name).groupBy("station_id").agg(F.count(F.lit(1)).alias("documents")), "counted")
+    spark.sql(f"DROP TABLE {name}")
+    return counted
 
 
 @query("snapshot_csv")
 def snapshot_csv(spark, sf_dir):
-    snapshot = state.latest_status(r.messages(spark, sf_dir, key="user_id"))
-    path = export_csv(state.view_all(snapshot), new_folder(spark, "export"))
+    """Snapshot values among texts with blanks at their ends, quotes, line ends, nothing, and null."""
+    live = state.view_all(state.latest_status(r.messages(spark, sf_dir, key="user_id")))
+    kind = F.col("key").cast("int") % 5
+    odd = (
+        F.when(kind == 0, F.concat(F.lit("  a,"), F.col("key"), F.lit('"b" ')))
+        .when(kind == 1, F.concat(F.col("key"), F.lit("\n second line")))
+        .when(kind == 2, F.lit(""))
+        .when(kind == 3, F.lit(None).cast("string"))
+        .otherwise(F.col("value"))
+    )
+    path = export_csv(live.select("key", odd.alias("value")), new_folder(spark, "export"))
     return read_csv(spark, path)
 
 
@@ -193,17 +255,17 @@ def publish_frame(spark, sf_dir):
 
 @query("rain_events")
 def rain_events(spark, sf_dir):
-    return rain.rain_events(r.messages(spark, sf_dir, numbered=False))
+    return rain.rain_events(r.messages(spark, sf_dir))
 
 
 @query("rain_stream")
 def rain_stream(spark, sf_dir):
     """Rain events as topic frames through the streaming query."""
-    landed = r.land(r.messages(spark, sf_dir, numbered=False), "messages")
+    landed = r.land(r.messages(spark, sf_dir), "messages")
     out, checkpoint = new_folder(spark, "rain"), new_folder(spark, "checkpoint")
     stream = feeds.rain_feed(landed_messages(spark, landed, streaming=True))
     run_once(file_writer(stream, out, checkpoint), "rain")
-    return spark.read.schema("key string, value string").parquet(out)
+    return read_files(spark, out)
 
 
 @query("to_wire")
@@ -220,7 +282,7 @@ def to_wire(spark, sf_dir):
 @query("openmeteo_to_status")
 def openmeteo_to_status(spark, sf_dir):
     parsed, _ = openmeteo.parse_payloads(r.payloads(spark, sf_dir))
-    mapped, _ = openmeteo.to_readings(openmeteo.assign_sequence(parsed, ["payload_id"]))
+    mapped, _ = openmeteo.to_readings(openmeteo.assign_sequence(parsed, ["payload_id"], dense=True))
     return flat_status(mapped, "payload_id")
 
 
@@ -252,7 +314,7 @@ def required_fields_query(spark, sf_dir):
 
 @query("decode_battery")
 def decode_battery_query(spark, sf_dir):
-    stored = r.readings(spark, sf_dir, numbered=False).select(
+    stored = r.readings(spark, sf_dir).select(
         "offset", F.encode("batteryStatus", "UTF-8").alias("batteryStatus")
     )
     return stored.select("offset", decode_battery(stored, "batteryStatus").alias("battery_status"))
@@ -283,6 +345,51 @@ def latest_status_stream(spark, sf_dir):
     return table.current().select("key", "value", "offset")
 
 
+def _texts(spark, sf_dir):
+    """The feed as raw text; error events carry text that is cut short."""
+    whole = wire.publish_frame(r.messages(spark, sf_dir)).columns
+    rows = r.readings(spark, sf_dir)
+    text = fn.record_json(F.struct(*STATUS.names))
+    value = F.when(F.col("event_type") == "error", F.substring(text, 1, 20)).otherwise(text)
+    return rows.select(F.col("stationId").cast("string").alias(whole[0]), value.alias(whole[1]), "offset")
+
+
+@query("feed_rejects")
+def feed_rejects(spark, sf_dir):
+    """Broken texts of the feed, kept apart by the streaming query."""
+    landed = r.land(_texts(spark, sf_dir), "texts")
+    good, bad = decode_texts(landed_texts(spark, landed, streaming=True))
+    out = new_folder(spark, "rejects")
+    run_once(feeds.rejects_feed(bad, good, out, new_folder(spark, "checkpoint")), "rejects")
+    return read_files(spark, out)
+
+
+@query("latest_of_texts")
+def latest_of_texts(spark, sf_dir):
+    """The latest readings of the same feed: a broken text never replaces a reading."""
+    landed = r.land(_texts(spark, sf_dir), "texts")
+    good, _ = decode_texts(landed_texts(spark, landed, streaming=True))
+    table = feeds.latest_table(spark, new_folder(spark, "latest"))
+    run_once(feeds.latest_table_feed(good, table, new_folder(spark, "checkpoint")), "latest")
+    return table.current().select("key", "value", "offset")
+
+
+@query("payload_stream")
+def payload_stream(spark, sf_dir):
+    """From landed payload texts to the latest reading of their station, through both feeds."""
+    landed, root = new_folder(spark, "payloads"), new_folder(spark, "openmeteo")
+    # One file in the order of the events, since numbers follow the order of lines.
+    r.payloads(spark, sf_dir).repartitionByRange(1, "payload_id").sortWithinPartitions("payload_id").select(
+        "payload"
+    ).write.text(landed)
+    stream = landed_payloads(spark, landed, 100, streaming=True)
+    run_once(feeds.payload_feed(stream, root, new_folder(spark, "checkpoint")), "payloads")
+    table = feeds.latest_table(spark, new_folder(spark, "latest"))
+    messages = landed_messages(spark, f"{root}/messages", streaming=True)
+    run_once(feeds.latest_table_feed(messages, table, new_folder(spark, "checkpoint")), "latest")
+    return table.current().select("key", "value", "offset")
+
+
 @query("get_status")
 def get_status(spark, sf_dir):
     """Asks for fifteen station keys, ten of which exist."""
@@ -326,40 +433,40 @@ def reconcile_snapshot(spark, sf_dir):
 
 @query("archive_manifest")
 def archive_manifest(spark, sf_dir):
-    rows, _ = archive_rows(r.readings(spark, sf_dir, numbered=False))
+    rows, _ = archive_rows(r.readings(spark, sf_dir))
     return analytics.archive_manifest(rows).withColumn("date", F.col("date").cast("string"))
 
 
 @query("battery_distribution")
 def battery_distribution(spark, sf_dir):
-    docs = r.readings(spark, sf_dir, numbered=False).withColumnRenamed("batteryStatus", "battery_status")
+    docs = r.readings(spark, sf_dir).withColumnRenamed("batteryStatus", "battery_status")
     return analytics.battery_distribution(docs)
 
 
 @query("dropped_per_station")
 def dropped_per_station(spark, sf_dir):
-    return analytics.dropped_per_station(r.documents(spark, sf_dir))
+    return analytics.dropped_per_station(r.documents(spark, sf_dir, lossy=True))
 
 
 @query("dropped_per_epoch")
 def dropped_per_epoch(spark, sf_dir):
-    docs = r.restarted(r.documents(spark, sf_dir))
+    docs = r.restarted(r.documents(spark, sf_dir, lossy=True))
     return analytics.dropped_per_station(analytics.with_epoch(docs), by=("station_id", "epoch"))
 
 
 @query("sequence_gaps")
 def sequence_gaps(spark, sf_dir):
-    return analytics.sequence_gaps(r.documents(spark, sf_dir))
+    return analytics.sequence_gaps(r.documents(spark, sf_dir, lossy=True))
 
 
 @query("missing_numbers")
 def missing_numbers(spark, sf_dir):
-    return analytics.missing_numbers(analytics.sequence_gaps(r.documents(spark, sf_dir)))
+    return analytics.missing_numbers(analytics.sequence_gaps(r.documents(spark, sf_dir, lossy=True)))
 
 
 @query("drop_rate_total")
 def drop_rate_total(spark, sf_dir):
-    return analytics.drop_rate_total(analytics.dropped_per_station(r.documents(spark, sf_dir)))
+    return analytics.drop_rate_total(analytics.dropped_per_station(r.documents(spark, sf_dir, lossy=True)))
 
 
 @query("measurement_summary")

@@ -1,7 +1,5 @@
 """Fixed schemas of the station feed, its archive and its documents."""
 
-import json
-
 from pyspark.sql import types as T
 
 # The battery states a station can report.
@@ -66,15 +64,24 @@ DOCUMENT = T.StructType(
     ]
 )
 
-SNAPSHOT = T.StructType(
-    [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
+# An archive file of either spelling, with the folder of the batch that wrote it.
+ARCHIVE_MIXED = T.StructType(
+    [
+        *STATUS.fields,
+        T.StructField("s_no", T.LongType()),
+        T.StructField("battery_status", T.StringType()),
+        T.StructField("status_timestamp", T.LongType()),
+        T.StructField("weather", DOCUMENT["weather"].dataType),
+        T.StructField("station_id", T.LongType()),
+        T.StructField("date", T.DateType()),
+    ]
 )
 
-_current_fields = ("time", "interval", "temperature_2m", "relative_humidity_2m", "wind_speed_10m")
-_current_types = (
-    T.StringType(), T.IntegerType(), T.DoubleType(), T.IntegerType(), T.DoubleType(),
+SNAPSHOT = T.StructType(
+    [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
 )
 
+# The fields of a payload.
 OPENMETEO = T.StructType(
     [
         T.StructField("latitude", T.DoubleType()),
@@ -86,43 +93,47 @@ OPENMETEO = T.StructType(
         T.StructField("elevation", T.DoubleType()),
         T.StructField(
             "current_units",
-            T.StructType([T.StructField(n, T.StringType()) for n in _current_fields]),
+            T.StructType(
+                [
+                    T.StructField("time", T.StringType()),
+                    T.StructField("interval", T.StringType()),
+                    T.StructField("temperature_2m", T.StringType()),
+                    T.StructField("relative_humidity_2m", T.StringType()),
+                    T.StructField("wind_speed_10m", T.StringType()),
+                ]
+            ),
         ),
         T.StructField(
             "current",
             T.StructType(
-                [T.StructField(n, t) for n, t in zip(_current_fields, _current_types)]
+                [
+                    T.StructField("time", T.StringType()),
+                    T.StructField("interval", T.IntegerType()),
+                    T.StructField("temperature_2m", T.DoubleType()),
+                    T.StructField("relative_humidity_2m", T.IntegerType()),
+                    T.StructField("wind_speed_10m", T.DoubleType()),
+                ]
             ),
         ),
     ]
 )
 
 
-def _avro_record(name: str, **fields) -> dict:
-    """An Avro record; fields given as a list are a union with null and default to null."""
-    return {
-        "type": "record",
-        "name": name,
-        "fields": [
-            {"name": n, "type": ["null", *kind], "default": None}
-            if isinstance(kind, list)
-            else {"name": n, "type": kind}
-            for n, kind in fields.items()
-        ],
-    }
-
-
-# Avro schemas of the messages, for registry-framed streams.
-STATUS_AVRO = json.dumps(
-    _avro_record(
-        "StationStatus",
-        stationId=["long"],
-        sequenceNumber=["long"],
-        batteryStatus=[{"type": "enum", "name": "Battery", "symbols": list(BATTERY_STATES)}],
-        statusTimeStamp="long",
-        weatherStatus=_avro_record(
-            "Weather", humidity="int", temperature="double", windSpeed="double"
-        ),
-    )
-)
-RAIN_AVRO = json.dumps(_avro_record("Rain", stationId=["long"], humidity="int"))
+# Avro schemas of the messages, for registry-framed streams.
+STATUS_AVRO = """
+{"type": "record", "name": "AvroWeatherStatusMessage", "fields": [
+  {"name": "stationId", "type": ["null", "long"], "default": null},
+  {"name": "sequenceNumber", "type": ["null", "long"], "default": null},
+  {"name": "batteryStatus", "default": null, "type": ["null",
+    {"type": "enum", "name": "BatteryStatus", "symbols": ["LOW", "MID", "HIGH", "NOT_AVAILABLE"]}]},
+  {"name": "statusTimeStamp", "type": "long"},
+  {"name": "weatherStatus", "type": {"type": "record", "name": "WeatherStatus", "fields": [
+    {"name": "humidity", "type": "int"},
+    {"name": "temperature", "type": "double"},
+    {"name": "windSpeed", "type": "double"}]}}]}
+"""
+RAIN_AVRO = """
+{"type": "record", "name": "AvroRainMessage", "fields": [
+  {"name": "stationId", "type": ["null", "long"], "default": null},
+  {"name": "humidity", "type": "int"}]}
+"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -39,7 +38,7 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     fraction of it per task. AQE merges what turns out small. Streaming state keeps
     `spark.sql.shuffle.partitions`, which a checkpoint fixes.
     """
-    partitions = min(max(input_bytes // 2**30, 200), 100_000)
+    partitions = max(input_bytes // 2**30, 200)
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -48,21 +47,25 @@ def sized_for(input_bytes: int) -> dict[str, str]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor reaches: `spark.checkpoint.dir`, or a temporary one in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="station-telemetry-"))
-    return context.getCheckpointDir().rstrip("/")
+    """Folder every executor reaches: `spark.checkpoint.dir`, or the context's checkpoint folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return found.rstrip("/")
+
+
+def work_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder, which goes when the driver ends."""
+    path = f"{shared_dir(spark)}/station-telemetry-{spark.sparkContext.applicationId}"
+    if not files.exists(spark, path):
+        files.make_folder(spark, path)
+        files.remove_at_exit(spark, path)
+    return path
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path in the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path for intermediate tables."""
+    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 _scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
@@ -73,7 +76,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
     Cuts the lineage at a durable copy: values that depend on how rows were spread, such as
     positions, stay the same when an executor is lost, and later reads prune columns.
-    The copy stays in the shared folder, as checkpoints do, unless made inside `scratch`.
+    The copy goes when the driver ends, or at the end of the `scratch` block it is made in.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)

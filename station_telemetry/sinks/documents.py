@@ -27,8 +27,8 @@ def ensure_target(
     spark: SparkSession, name: str, path: str, schema: T.StructType = DOCUMENT
 ) -> None:
     """Creates an external table with the declared types; an existing one is left as it is."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet LOCATION '{path}'")
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
 
 
 def index_writer(documents: DataFrame, index: str, **options: str):

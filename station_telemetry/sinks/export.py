@@ -9,15 +9,25 @@ from pyspark.sql import functions as F
 
 from station_telemetry.functions import printable_text
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+# Blanks stay, an empty text is written quoted, and a null as nothing: both read back as they were.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N",
+    "emptyValue": "",
+    "quoteAll": "true",
+}
 
 
 def export_csv(snapshot: DataFrame, folder: str) -> str:
-    """Writes key,value as CSV below `folder`, named by epoch seconds; returns the path.
+    """Writes key,value as CSV below `folder`, named by epoch milliseconds; returns the path.
 
     One part file per task: the snapshot is not gathered into one.
     """
-    path = f"{folder.rstrip('/')}/{int(time.time())}.csv"
+    path = f"{folder.rstrip('/')}/{time.time_ns() // 1_000_000}.csv"
     text = [printable_text(F.col(c)).alias(c) for c in ("key", "value")]
     snapshot.select(*text).write.options(**CSV_OPTIONS).csv(path)
     return path

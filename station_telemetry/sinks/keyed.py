@@ -1,11 +1,13 @@
 """A table with one live row per key, on plain Parquet.
 
-    <root>/changes/position=<n>/    rows of one batch, written as they came
-    <root>/snapshot/through=<n>/    one row per key, all changes up to position n applied
+    <root>/buckets=<n>                          how many buckets the keys are dealt to
+    <root>/generations/                         checkpoints that have written here
+    <root>/changes/position=<p>/                rows of one batch, written as they came
+    <root>/snapshot/through=<p>/bucket=<b>/     live rows of a bucket, all changes up to p applied
 
 An upsert costs as much as the batch, not as the table. A retried batch overwrites its own
-folder. Compaction writes a new snapshot next to the old one and never touches what is being
-read; a snapshot counts once its `_SUCCESS` marker exists.
+folder. Compaction rewrites the buckets that have changes, next to the old ones, and leaves the
+others as they are; a snapshot counts once its `_SUCCESS` marker exists.
 """
 
 from __future__ import annotations
@@ -16,28 +18,42 @@ from pyspark.sql import types as T
 
 from station_telemetry import files
 from station_telemetry.operators.state import latest
+from station_telemetry.sinks import generations
 
-_GENERATION_SIZE = 1_000_000_000
+BUCKETS = 32
 
 
 class KeyedTable:
-    """`columns` must contain the key and a comparable `order` column, the order within a batch."""
+    """`columns` must contain the key and a comparable `order` column, the order within a batch.
 
-    def __init__(self, spark: SparkSession, root: str, columns: T.StructType, key: str, order: str):
+    `buckets` counts when the table is new; an existing table keeps its number.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, columns: T.StructType, key: str, order: str, buckets: int = BUCKETS
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.columns = columns
         self.key = key
         self.order = order
+        self._wanted_buckets = buckets
 
-    @staticmethod
-    def position(batch_id: int, generation: int = 0) -> int:
-        """Place of a batch in the change log.
+    position = staticmethod(generations.position)
 
-        Batch numbers restart with a new checkpoint; raise `generation` then, so that the new
-        batches come after the old ones instead of replacing them.
-        """
-        return generation * _GENERATION_SIZE + batch_id
+    def place(self, batch: DataFrame, batch_id: int) -> int:
+        """Position of a micro-batch: after all batches of checkpoints that wrote here before."""
+        return generations.position_of(batch, batch_id, f"{self.root}/generations")
+
+    def _buckets(self) -> int:
+        found = [n for n in files.child_names(self.spark, self.root) if n.startswith("buckets=")]
+        if not found:
+            files.make_folder(self.spark, f"{self.root}/buckets={self._wanted_buckets}")
+            return self._wanted_buckets
+        return int(found[0].removeprefix("buckets="))
+
+    def _bucket(self, key) -> F.Column:
+        return F.pmod(F.hash(key), F.lit(self._buckets()))
 
     def upsert(self, rows: DataFrame, position: int) -> None:
         """Adds one batch; each row replaces the live row of its key whole."""
@@ -47,20 +63,27 @@ class KeyedTable:
             .parquet(f"{self.root}/changes/position={position}")
         )
 
-    def _positions(self, folder: str, prefix: str) -> list[int]:
+    def _numbers(self, folder: str, prefix: str) -> list[int]:
         names = files.child_names(self.spark, f"{self.root}/{folder}")
         return [int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
 
-    def _newest(self, folder: str, prefix: str) -> int:
-        """Highest finished position in a folder, -1 if none. Unfinished writes do not count."""
-        for position in sorted(self._positions(folder, prefix), reverse=True):
-            if files.exists(self.spark, f"{self.root}/{folder}/{prefix}{position}/_SUCCESS"):
-                return position
-        return -1
+    def _finished(self, folder: str, prefix: str) -> list[int]:
+        """Positions in a folder whose write has ended, in order."""
+        done = lambda p: files.exists(self.spark, f"{self.root}/{folder}/{prefix}{p}/_SUCCESS")
+        return [p for p in sorted(self._numbers(folder, prefix)) if done(p)]
 
     def _extent(self) -> tuple[int, int]:
-        """(position of the snapshot, position of the last change)."""
-        return self._newest("snapshot", "through="), self._newest("changes", "position=")
+        """(position of the newest snapshot, position of the last change), -1 where there is none."""
+        snapshots, changes = self._finished("snapshot", "through="), self._finished("changes", "position=")
+        return max(snapshots, default=-1), max(changes, default=-1)
+
+    def _newest_buckets(self) -> dict[int, int]:
+        """For each bucket the newest snapshot that holds it."""
+        newest: dict[int, int] = {}
+        for through in self._finished("snapshot", "through="):
+            for bucket in self._numbers(f"snapshot/through={through}", "bucket="):
+                newest[bucket] = through
+        return newest
 
     def _changes(self, after: int, upto: int) -> DataFrame:
         """The last change of each key in a range of positions.
@@ -68,7 +91,9 @@ class KeyedTable:
         Only those folders are opened, so Spark plans with their size, not the whole log's.
         """
         log = f"{self.root}/changes"
-        found = [p for p in self._positions("changes", "position=") if after < p <= upto]
+        found = [p for p in self._finished("changes", "position=") if after < p <= upto]
+        if not found:
+            return self.spark.createDataFrame([], self.columns)
         place = T.StructField("position", T.LongType())
         rows = (
             self.spark.read.schema(T.StructType([*self.columns.fields, place]))
@@ -78,6 +103,13 @@ class KeyedTable:
         ranked = rows.withColumn("_arrived", F.struct("position", self.order))
         return latest(ranked, self.key, "_arrived").select(*self.columns.names)
 
+    def _settled(self, buckets: dict[int, int]) -> DataFrame:
+        if not buckets:
+            return self.spark.createDataFrame([], self.columns)
+        root = f"{self.root}/snapshot"
+        paths = [f"{root}/through={through}/bucket={bucket}" for bucket, through in sorted(buckets.items())]
+        return self.spark.read.schema(self.columns).parquet(*paths)
+
     def current(self) -> DataFrame:
         """The live rows.
 
@@ -85,39 +117,61 @@ class KeyedTable:
         Spark broadcasts their keys, from the size of their files, and the snapshot is not
         shuffled; otherwise both are shuffled by key.
         """
-        return self._live(*self._extent())
-
-    def _live(self, through: int, upto: int) -> DataFrame:
-        if through < 0 and upto < 0:
-            return self.spark.createDataFrame([], self.columns)
-        if through < 0:
-            return self._changes(through, upto)
-        settled = self.spark.read.schema(self.columns).parquet(
-            f"{self.root}/snapshot/through={through}"
-        )
+        through, upto = self._extent()
+        settled = self._settled(self._newest_buckets())
         if upto <= through:
             return settled
-        replaced = self._changes(through, upto)
+        return self._with(settled, self._changes(through, upto))
+
+    def _with(self, settled: DataFrame, replaced: DataFrame) -> DataFrame:
         return settled.join(replaced.select(self.key), self.key, "left_anti").unionByName(replaced)
 
+    def lookup(self, key: str) -> DataFrame:
+        """The live row of one key: one bucket of the snapshot and the changes since are opened."""
+        through, upto = self._extent()
+        bucket = self.spark.range(1).select(self._bucket(F.lit(key)).alias("b")).first().b
+        newest = self._newest_buckets()
+        settled = self._settled({bucket: newest[bucket]} if bucket in newest else {})
+        mine = F.col(self.key) == key
+        return self._with(settled.where(mine), self._changes(through, upto).where(mine))
+
     def compact(self) -> int:
-        """Writes the live rows as a new snapshot and returns its position (-1: empty table)."""
+        """Applies the changes to the buckets they touch; returns the position (-1: empty table)."""
         through, upto = self._extent()
-        if upto > through:
-            self._live(through, upto).write.mode("overwrite").parquet(
-                f"{self.root}/snapshot/through={upto}"
-            )
-        return max(through, upto)
+        if upto <= through:
+            return through
+        changes = self._changes(through, upto)
+        touched = [r.b for r in changes.select(self._bucket(F.col(self.key)).alias("b")).distinct().collect()]
+        old = {b: t for b, t in self._newest_buckets().items() if b in set(touched)}
+        (
+            self._with(self._settled(old), changes)
+            .withColumn("bucket", self._bucket(F.col(self.key)))
+            .hint("rebalance", "bucket")
+            .write.mode("overwrite")
+            .partitionBy("bucket")
+            .parquet(f"{self.root}/snapshot/through={upto}")
+        )
+        return upto
 
-    def vacuum(self) -> None:
-        """Removes changes and snapshots that the newest snapshot replaces.
+    def vacuum(self, keep: int = 0) -> None:
+        """Removes changes and buckets that newer snapshots replace.
 
-        Queries that still read an older snapshot fail, so run it when none does.
+        With `keep`, the newest snapshots before the last stay readable. Queries that read older
+        ones fail, so run it when none does.
         """
-        through = self._newest("snapshot", "through=")
-        for folder, prefix, old in (
-            ("changes", "position=", lambda p: p <= through),
-            ("snapshot", "through=", lambda p: p < through),
-        ):
-            for position in filter(old, self._positions(folder, prefix)):
-                files.remove_folder(self.spark, f"{self.root}/{folder}/{prefix}{position}")
+        snapshots = self._finished("snapshot", "through=")
+        if len(snapshots) <= keep:
+            return
+        readable = snapshots[len(snapshots) - 1 - keep]
+        for position in self._numbers("changes", "position="):
+            if position <= readable:
+                files.remove_folder(self.spark, f"{self.root}/changes/position={position}")
+        newest: dict[int, int] = {}
+        for through in (s for s in snapshots if s <= readable):
+            for bucket in self._numbers(f"snapshot/through={through}", "bucket="):
+                if bucket in newest:
+                    files.remove_folder(self.spark, f"{self.root}/snapshot/through={newest[bucket]}/bucket={bucket}")
+                newest[bucket] = through
+        for through in (s for s in snapshots if s < readable):
+            if not self._numbers(f"snapshot/through={through}", "bucket="):
+                files.remove_folder(self.spark, f"{self.root}/snapshot/through={through}")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from station_telemetry.functions import framed, record_json
-from station_telemetry.schemas import RAIN, RAIN_TOPIC, STATUS_TOPIC
+from station_telemetry.schemas import RAIN, RAIN_AVRO, RAIN_TOPIC, STATUS_TOPIC
+from station_telemetry.sinks.generations import position_of
 
 # The publisher does not wait for brokers and does not retry.
 PUBLISH_OPTIONS = {"kafka.acks": "0", "kafka.retries": "0"}
@@ -26,6 +27,11 @@ def avro_encoded(record: Column, avro_schema: str, schema_id: int) -> Column:
     return framed(to_avro(record, avro_schema), schema_id)
 
 
+def rain_avro(schema_id: int) -> Column:
+    """A rain event as registry-framed Avro."""
+    return avro_encoded(F.struct(*RAIN.names), RAIN_AVRO, schema_id)
+
+
 def topic_options(servers: str, topic: str, **options: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic, **options}
 
@@ -47,9 +53,18 @@ def topic_writer(
 
 
 def file_writer(frame: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    return (
-        frame.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-    )
+    """Each micro-batch as a folder `batch=…` of its own, which a retry replaces.
+
+    A new checkpoint writes new folders, so nothing it reads is skipped.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        place = position_of(batch, batch_id, f"{path.rstrip('/')}-generations")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={place}")
+
+    return frame.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """What `file_writer` has written."""
+    return spark.read.parquet(path).drop("batch")

@@ -10,11 +10,15 @@ from station_telemetry.files import make_folder
 from station_telemetry.functions import file_timestamp
 from station_telemetry.functions.columns import ARCHIVE_FILE_NAME
 from station_telemetry.schemas import ARCHIVE
+from station_telemetry.sources.status import ANY_AGE
 
 
 def archive_scan(spark: SparkSession, root: str, schema: T.StructType = ARCHIVE) -> DataFrame:
-    """All rows of an archive. Filters on station_id and date select folders."""
-    return spark.read.schema(schema).parquet(root)
+    """All rows of an archive. Filters on station_id and date select folders.
+
+    Archives with and without a folder per batch are read alike.
+    """
+    return spark.read.schema(schema).parquet(root).select(schema.names)
 
 
 def archive_stream(
@@ -26,12 +30,18 @@ def archive_stream(
 ) -> DataFrame:
     """New archive files, each exactly once, with the arrival order of their rows in `arrived`.
 
-    The checkpoint remembers files, not a time, so files that share a stamp or arrive late are
-    not missed. Files with other names are skipped and a missing root counts as empty.
+    The checkpoint remembers files, not a time, so files that share a stamp, arrive late or carry
+    an old time are not missed. Files with other names are skipped, which `unexpected_files`
+    counts, and a missing root counts as empty.
     `time_in_name` orders files by the flush time in their name, for archives that carry it.
     """
     make_folder(spark, root)
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "part-*.parquet")
+    with_batch = T.StructType([*schema.fields, T.StructField("batch", T.StringType())])
+    reader = (
+        spark.readStream.schema(with_batch)
+        .option("pathGlobFilter", "part-*.parquet")
+        .option("maxFileAge", ANY_AGE)
+    )
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     name = F.col("_metadata.file_name")
@@ -48,3 +58,11 @@ def archive_stream(
             ),
         )
     )
+
+
+def unexpected_files(spark: SparkSession, root: str) -> DataFrame:
+    """(file) below an archive whose names no archive writer gives: unfinished or foreign ones."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
+    own = name.rlike(ARCHIVE_FILE_NAME) | name.startswith("_") | name.startswith(".")
+    return listed.select(F.col("path").alias("file")).where(~own)

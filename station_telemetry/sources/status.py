@@ -10,12 +10,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from station_telemetry.functions import frame_payload
+from station_telemetry.operators.wire import decode_json_split
 from station_telemetry.schemas import STATUS, STATUS_AVRO, STATUS_TOPIC, STREAM
 
 # A flush happens at this many records or after this delay, whichever is first.
 FLUSH_RECORDS = 10_000
 FLUSH_DELAY = "30s"
 
+# Spark passes over files that are this much older than the newest it has seen. Files may keep old
+# times when they are copied or restored, so the limit lies beyond any real age.
+ANY_AGE = "36500d"
+
 
 def kafka_options(
     servers: str, topic: str = STATUS_TOPIC, flush_policy: bool = False, **extra: str
@@ -41,10 +46,6 @@ def subscribe(spark: SparkSession, options: dict[str, str], streaming: bool = Tr
     return reader.format("kafka").options(**options).load()
 
 
-def json_value(raw: Column) -> Column:
-    return F.from_json(raw.cast("string"), STATUS)
-
-
 def avro_value(raw: Column) -> Column:
     """Registry-framed Avro. Needs the spark-avro module on the class path."""
     from pyspark.sql.avro.functions import from_avro
@@ -53,18 +54,57 @@ def avro_value(raw: Column) -> Column:
 
 
 def decode(raw: DataFrame, value: Column) -> DataFrame:
-    """Kafka records to messages. A key stays in one partition, so its offset is its order."""
-    return raw.select(F.col("key").cast("string").alias("key"), value.alias("value"), "offset")
+    """Kafka records to messages by an expression that fails on what it can't decode."""
+    return raw.select(F.col("key").cast("string").alias("key"), value.alias("value"), _arrival(raw))
+
+
+def decode_texts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Kafka records with JSON values: (messages, rejected (key, text, offset)).
+
+    A null value is a message without a reading. Text that is no such record is rejected; it
+    never becomes a reading of nulls.
+    """
+    keyed = raw.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("text"), _arrival(raw)
+    )
+    nothing = F.lit(None).cast(STATUS)
+    silent = keyed.where(F.col("text").isNull()).select("key", nothing.alias("value"), "offset")
+    good, bad = decode_json_split(keyed.where(F.col("text").isNotNull()), "text", "value", STATUS)
+    return good.select("key", "value", "offset").unionByName(silent), bad.select("key", "text", "offset")
+
+
+def _arrival(raw: DataFrame) -> Column:
+    """The order of a message as one number: its offset.
+
+    A key stays in one partition while the number of partitions does. Where it was changed,
+    `by_time` orders by the broker's time first.
+    """
+    return F.col("offset").cast("bigint").alias("offset")
+
+
+def by_time(raw: DataFrame) -> DataFrame:
+    """Raw records whose `offset` orders across partitions: by time in milliseconds, then offset.
+
+    Time takes the upper bits; the lower 20 tell messages of one millisecond apart.
+    """
+    millis = F.unix_millis(F.col("timestamp"))
+    return raw.withColumn("offset", F.shiftleft(millis, 20) + F.col("offset") % (1 << 20))
 
 
 def landed_messages(
     spark: SparkSession, path: str, streaming: bool = False, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Messages landed as Parquet files."""
-    reader = (spark.readStream if streaming else spark.read).schema(STREAM)
+    """Messages landed as Parquet files, in the folder or anywhere below it."""
+    reader = (spark.readStream.option("maxFileAge", ANY_AGE) if streaming else spark.read).schema(STREAM)
     if streaming and files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    return reader.option("recursiveFileLookup", "true").parquet(path)
+
+
+def landed_texts(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Raw records (key, value as text, offset) landed as Parquet files."""
+    reader = spark.readStream.option("maxFileAge", ANY_AGE) if streaming else spark.read
+    return reader.schema("key string, value string, offset bigint").parquet(path)
 
 
 def landed_payloads(
@@ -75,7 +115,7 @@ def landed_payloads(
     `arrived` orders them by file time, file and split. Within a split, lines are read in order
     by one task.
     """
-    reader = spark.readStream if streaming else spark.read
+    reader = spark.readStream.option("maxFileAge", ANY_AGE) if streaming else spark.read
     return reader.text(path).select(
         F.col("value").alias("payload"),
         F.lit(station_id).cast("bigint").alias("stationId"),

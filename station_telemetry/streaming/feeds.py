@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -15,27 +15,37 @@ from station_telemetry.operators import openmeteo
 from station_telemetry.operators.documents import (
     has_required_fields,
     normalize,
+    normalize_mixed,
     required_fields,
 )
 from station_telemetry.operators.rain import rain_events
 from station_telemetry.operators.state import keyed_messages, latest
-from station_telemetry.schemas import SNAPSHOT
-from station_telemetry.session import scratch
+from station_telemetry.schemas import SNAPSHOT, STATUS
+from station_telemetry.session import scratch, written
+from station_telemetry.sinks import generations
 from station_telemetry.sinks.archive import archive_writer
 from station_telemetry.sinks.keyed import KeyedTable
-from station_telemetry.sinks.topics import rain_frame
+from station_telemetry.sinks.topics import file_writer, rain_frame
 
 log = logging.getLogger(__name__)
 
+_GENERATION_BITS = 44  # of a payload message's offset: generation above, sequence number below
 
-def rain_feed(messages: DataFrame) -> DataFrame:
-    """Rain events as a topic frame; stateless."""
-    return rain_frame(rain_events(messages))
+
+def rain_feed(messages: DataFrame, encoded: Column | None = None) -> DataFrame:
+    """Rain events as a topic frame, JSON unless another encoding is passed; stateless."""
+    return rain_frame(rain_events(messages), encoded)
 
 
 def archive_feed(messages: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
-    """Every reading into the archive."""
-    return archive_writer(messages.select("value.*"), root, checkpoint)
+    """Every reading into the archive; messages without one are left out."""
+    return archive_writer(messages.where("value is not null").select("value.*"), root, checkpoint)
+
+
+def rejects_feed(rejected: DataFrame, messages: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
+    """What no feed can use, once for all of them: undecodable text and messages without a key."""
+    unkeyed = messages.where("key is null").select("key", record_json(F.col("value")).alias("text"), "offset")
+    return file_writer(rejected.unionByName(unkeyed), root, checkpoint)
 
 
 def latest_feed(messages: DataFrame) -> DataFrame:
@@ -53,8 +63,15 @@ def latest_table(spark: SparkSession, root: str) -> KeyedTable:
     return KeyedTable(spark, root, columns, "key", "offset")
 
 
+def _settle(table: KeyedTable, batch_id: int, compact_every: int | None) -> None:
+    """Bounds the change log: compacts after so many batches, and removes what two compactions replaced."""
+    if compact_every and batch_id % compact_every == compact_every - 1:
+        table.compact()
+        table.vacuum(keep=1)
+
+
 def latest_table_feed(
-    messages: DataFrame, table: KeyedTable, checkpoint: str, generation: int = 0
+    messages: DataFrame, table: KeyedTable, checkpoint: str, compact_every: int | None = None
 ) -> DataStreamWriter:
     """Latest reading per station into a keyed table; each batch adds one row per station seen."""
 
@@ -62,33 +79,42 @@ def latest_table_feed(
         kept, _ = keyed_messages(batch)
         newest = latest(kept.select("key", "value", "offset"), "key", "offset")
         table.upsert(
-            newest.withColumn("value", record_json(F.col("value"))),
-            table.position(batch_id, generation),
+            newest.withColumn("value", record_json(F.col("value"))), table.place(batch, batch_id)
         )
+        _settle(table, batch_id, compact_every)
 
     return messages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
 def ingest_feed(
-    rows: DataFrame, table: KeyedTable, checkpoint: str, generation: int = 0
+    rows: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    mixed: bool = False,
+    compact_every: int | None = None,
 ) -> DataStreamWriter:
     """Archive rows (with `arrived`) as documents into the table, rows without ids as rejects.
 
-    The rejects are counted while the documents are written, so files are read a second time
-    only for batches that have some. A batch is committed after both are written, and a retry
-    overwrites them.
+    `mixed` takes files of both spellings, read with all columns. The rejects are counted while
+    the documents are written, so files are read a second time only for batches that have some. A
+    batch is committed after both are written, and a retry overwrites them.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        position = table.position(batch_id, generation)
+        position = table.place(batch, batch_id)
         seen = Observation()
         missing = ~has_required_fields(batch)
         counted = batch.observe(seen, F.count_if(missing).alias("rejected"))
-        table.upsert(normalize(counted, keep=("arrived",)), position)
+        if mixed:
+            documents = normalize_mixed(counted, "arrived.file", keep=("arrived",))
+        else:
+            documents = normalize(counted, keep=("arrived",))
+        table.upsert(documents, position)
         if seen.get["rejected"]:
             path = f"{table.root}/rejects/position={position}"
             log.warning("%d rows without station or number: %s", seen.get["rejected"], path)
             required_fields(batch)[1].write.mode("overwrite").parquet(path)
+        _settle(table, batch_id, compact_every)
 
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
@@ -96,56 +122,80 @@ def ingest_feed(
 def payload_feed(payloads: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
     """Third-party payloads (payload, stationId, arrived) as numbered readings.
 
-        <root>/readings/position=<batch>/   readings
-        <root>/rejects/position=<batch>/    payloads that do not parse or have no time
-        <root>/numbers/position=<batch>/    last number per station after the batch
+        <root>/readings/generation=<g>/position=<batch>/   readings
+        <root>/messages/batch=<g>-<batch>/                 the same as messages, for the other feeds
+        <root>/rejects/generation=<g>/position=<batch>/    payloads that do not parse or have no time
+        <root>/numbers/generation=<g>/position=<batch>/    last number per station after the batch
 
     Numbers go on from the batch before. A retried batch starts from the same numbers and
-    overwrites its folders. Each batch is numbered in parallel, however few the stations are.
+    overwrites its folders. A new checkpoint reads all payloads again and begins a generation,
+    whose readings replace the earlier ones (`payload_readings`); its messages carry higher
+    offsets, so they come later for every feed. Each batch is numbered in parallel, however few
+    the stations are.
     """
 
-    def folder(kind: str, position: int) -> str:
-        return f"{root}/{kind}/position={position}"
-
-    def last_numbers(spark: SparkSession, batch_id: int) -> DataFrame:
+    def last_numbers(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
         schema = T.StructType(
             [T.StructField("stationId", T.LongType()), T.StructField("_last", T.LongType())]
         )
-        names = files.child_names(spark, f"{root}/numbers")
+        names = files.child_names(spark, folder)
         earlier = [n for n in (int(n.partition("=")[2]) for n in names) if n < batch_id]
         if not earlier:
             return spark.createDataFrame([], schema)
         for old in sorted(earlier)[:-1]:
-            files.remove_folder(spark, folder("numbers", old))
-        return spark.read.schema(schema).parquet(folder("numbers", max(earlier)))
+            files.remove_folder(spark, f"{folder}/position={old}")
+        return spark.read.schema(schema).parquet(f"{folder}/position={max(earlier)}")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        run = generations.generation(batch.sparkSession, f"{root}/generations", generations.run_of(batch))
         with scratch(batch.sparkSession):
-            number_and_write(batch, batch_id)
+            number_and_write(batch, batch_id, run)
 
-    def number_and_write(batch: DataFrame, batch_id: int) -> None:
+    def number_and_write(batch: DataFrame, batch_id: int, run: int) -> None:
         spark = batch.sparkSession
+
+        def folder(kind: str) -> str:
+            return f"{root}/{kind}/generation={run}"
+
         lines = batch.withColumn("line", F.monotonically_increasing_id())
-        parsed, unparsed = openmeteo.parse_payloads(lines)
-        before = last_numbers(spark, batch_id)
+        marked = written(openmeteo.mark_payloads(lines), "payloads")
+        before = last_numbers(spark, folder("numbers"), batch_id)
         start = F.coalesce(F.col("_last"), F.lit(0))
-        numbered = (
-            openmeteo.assign_sequence(parsed, ["arrived", "line"])
+        numbered = written(
+            openmeteo.assign_sequence(marked.where("ok").drop("ok"), ["arrived", "line"])
             .join(before, "stationId", "left")
             .withColumn("sequenceNumber", F.col("sequenceNumber") + start)
-            .drop("_last")
+            .drop("_last"),
+            "numbered",
         )
         good, untimed = openmeteo.to_readings(numbered)
-        good.drop("payload").write.mode("overwrite").parquet(folder("readings", batch_id))
+        good.drop("payload").write.mode("overwrite").parquet(f"{folder('readings')}/position={batch_id}")
+        (
+            good.select(
+                F.col("stationId").cast("string").alias("key"),
+                F.struct(*STATUS.names).alias("value"),
+                (F.lit(run << _GENERATION_BITS) + F.col("sequenceNumber")).alias("offset"),
+            )
+            .write.mode("overwrite")
+            .parquet(f"{root}/messages/batch={run}-{batch_id}")
+        )
+        unparsed = marked.where("not ok").drop("ok", "message")
         rejected = unparsed.unionByName(untimed.select(*unparsed.columns))
-        rejected.write.mode("overwrite").parquet(folder("rejects", batch_id))
+        rejected.write.mode("overwrite").parquet(f"{folder('rejects')}/position={batch_id}")
         reached = numbered.groupBy("stationId").agg(F.max("sequenceNumber").alias("_last"))
         (
             reached.unionByName(before)
             .groupBy("stationId")
             .agg(F.max("_last").alias("_last"))
             .write.mode("overwrite")
-            .parquet(folder("numbers", batch_id))
+            .parquet(f"{folder('numbers')}/position={batch_id}")
         )
 
     return payloads.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+
+
+def payload_readings(spark: SparkSession, root: str, kind: str = "readings") -> DataFrame:
+    """The readings (or rejects) of the newest generation of a payload feed."""
+    names = files.child_names(spark, f"{root}/{kind}")
+    newest = max(int(n.removeprefix("generation=")) for n in names if n.startswith("generation="))
+    return spark.read.parquet(f"{root}/{kind}/generation={newest}")

@@ -109,18 +109,38 @@ def test_epochs(spark, rows):
 def test_both_sequence_orders_agree(spark):
     df = spark.createDataFrame([(100, i, f"2024-01-01T00:{i:02d}") for i in range(40)],
                                "stationId long, id long, time string")
-    by_id = {r.id: r.sequenceNumber for r in assign_sequence(df, ["id"]).collect()}
+    by_id = {r.id: r.sequenceNumber for r in assign_sequence(df, ["id"], dense=True).collect()}
     by_time = {r.id: r.sequenceNumber for r in assign_sequence(df, ["time", "id"]).collect()}
     assert by_id == by_time == {i: i + 1 for i in range(40)}
 
 
 def test_scratch_removes_written_tables(spark):
     from station_telemetry.files import child_names
-    from station_telemetry.session import scratch, shared_dir
+    from station_telemetry.session import scratch, work_dir
 
-    before = set(child_names(spark, shared_dir(spark)))
+    before = set(child_names(spark, work_dir(spark)))
     df = spark.range(20).selectExpr("id % 2 k", "id o")
     with scratch(spark):
         assert ordered.number_rows(df, ["k"], ["o"], "n").count() == 20
-        assert set(child_names(spark, shared_dir(spark))) != before
-    assert set(child_names(spark, shared_dir(spark))) == before
+        assert set(child_names(spark, work_dir(spark))) != before
+    assert set(child_names(spark, work_dir(spark))) == before
+
+
+def test_a_sparse_order_is_spread_by_ranges(spark):
+    """Times in milliseconds, far apart, are numbered by ranges: no window holds the station."""
+    df = spark.range(3_000).selectExpr("100 stationId", "id * 600000 at")
+    numbered = assign_sequence(df, ["at"])
+    assert "_slice" not in numbered._jdf.queryExecution().analyzed().toString()
+    assert numbered.where("sequenceNumber = at div 600000 + 1").count() == 3_000
+
+
+def test_a_corrupt_number_far_ahead(spark):
+    df = spark.createDataFrame([(1, 1), (1, 10**15)], "station_id long, s_no long")
+    assert [g.missing for g in analytics.sequence_gaps(df).collect()] == [10**15 - 2]
+
+
+def test_gaps_are_cut_level_by_level(spark, monkeypatch):
+    monkeypatch.setattr(analytics, "EXPLODE_STEP", 4)
+    df = spark.createDataFrame([(1, 1), (1, 200)], "station_id long, s_no long")
+    missing = analytics.missing_numbers(analytics.sequence_gaps(df))
+    assert sorted(r.s_no for r in missing.collect()) == list(range(2, 200))

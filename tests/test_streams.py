@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from station_telemetry.operators.documents import drop_replays, normalize
 from station_telemetry.operators.rain import rain_events
 from station_telemetry.operators.state import latest_status
-from station_telemetry.schemas import ARCHIVE, STREAM
+from station_telemetry.schemas import STREAM
 from station_telemetry.sinks.archive import write_archive
 from station_telemetry.sinks.documents import document_table
-from station_telemetry.sinks.topics import file_writer
+from station_telemetry.sinks.topics import file_writer, read_files
 from station_telemetry.sources.archive import archive_scan, archive_stream
 from station_telemetry.sources.status import landed_messages, landed_payloads
 from station_telemetry.streaming import feeds
@@ -54,7 +54,7 @@ def test_rain_stream_equals_batch_over_several_batches(spark, landed, tmp_path):
     query = start(file_writer(feeds.rain_feed(stream), out, checkpoint), "rain", once=True)
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p.numInputRows]) == 4
-    got = spark.read.parquet(out)
+    got = read_files(spark, out)
     want = feeds.rain_feed(spark.read.schema(STREAM).parquet(landed))
     assert rows(got) == rows(want) and got.count() > 0
 
@@ -75,7 +75,7 @@ def test_restart_continues_without_loss_or_copies(spark, landed, tmp_path):
     make_messages(spark, 400, 450).coalesce(1).write.mode("append").parquet(landed)
     one_pass()
     one_pass()
-    assert sorted(r.offset for r in spark.read.parquet(out).collect()) == list(range(450))
+    assert sorted(r.offset for r in read_files(spark, out).collect()) == list(range(450))
 
 
 def test_latest_stream_and_table_equal_batch(spark, landed, tmp_path):
@@ -127,9 +127,9 @@ def test_ingest_of_a_foreign_archive(spark, tmp_path):
     root, checkpoint = tmp_path / "archive", str(tmp_path / "c")
     table = document_table(spark, str(tmp_path / "docs"))
 
-    def one_pass(generation=0, checkpoint=checkpoint):
+    def one_pass(checkpoint=checkpoint):
         stream = archive_stream(spark, str(root), time_in_name=True)
-        run_once(feeds.ingest_feed(stream, table, checkpoint, generation), "ingest")
+        run_once(feeds.ingest_feed(stream, table, checkpoint), "ingest")
 
     def humidity():
         return {r.doc_id: r.weather.humidity for r in table.current().collect()}
@@ -156,7 +156,7 @@ def test_ingest_of_a_foreign_archive(spark, tmp_path):
     want = {"1-1": 20, "1-2": 20, "1-3": 40, "1-4": 50}
     assert humidity() == want and table.current().count() == 4
     # A new checkpoint ingests everything again and ends with the same documents.
-    one_pass(generation=1, checkpoint=str(tmp_path / "c-new"))
+    one_pass(checkpoint=str(tmp_path / "c-new"))
     assert humidity() == want and table.current().count() == 4
 
 
@@ -183,10 +183,10 @@ def test_streaming_replay_dedup(spark, tmp_path):
     status = make_messages(spark, 0, 60).select("value.*")
     write_archive(status, root)
     write_archive(status, root)
-    stream = normalize(spark.readStream.schema(ARCHIVE).option("maxFilesPerTrigger", 2).parquet(root))
+    stream = normalize(archive_stream(spark, root, files_per_batch=2))
     out = str(tmp_path / "out")
     run_once(file_writer(drop_replays(stream, "1 day"), out, str(tmp_path / "c")), "dedup")
-    assert sorted(r.s_no for r in spark.read.parquet(out).collect()) == list(range(60))
+    assert sorted(r.s_no for r in read_files(spark, out).collect()) == list(range(60))
 
 
 def test_central_runs_all_queries_and_each_sees_everything(spark, landed, tmp_path):
@@ -196,7 +196,7 @@ def test_central_runs_all_queries_and_each_sees_everything(spark, landed, tmp_pa
         writer = file_writer(stream, str(tmp_path / name), str(tmp_path / f"c-{name}"))
         central.add(start(writer, name, once=True))
     central.finish()
-    assert all(spark.read.parquet(str(tmp_path / n)).count() == 400 for n in ("first", "second", "third"))
+    assert all(read_files(spark, str(tmp_path / n)).count() == 400 for n in ("first", "second", "third"))
     assert spark.streams.active == []
 
 
@@ -257,7 +257,7 @@ def test_payload_numbers_go_on_across_batches(spark, tmp_path):
         run_once(feeds.payload_feed(stream, root, at), "payloads")
 
     def numbers():
-        got = spark.read.parquet(f"{root}/readings")
+        got = feeds.payload_readings(spark, root)
         return sorted((r.statusTimeStamp - MS, r.sequenceNumber) for r in got.collect())
 
     land("a.txt", "2024-01-01T00:00", "bad", "noon", "2024-01-01T00:01")
@@ -268,10 +268,132 @@ def test_payload_numbers_go_on_across_batches(spark, tmp_path):
     one_pass()
     want = [(0, 1), (60_000, 3), (120_000, 4), (180_000, 5)]
     assert numbers() == want
-    rejects = spark.read.parquet(f"{root}/rejects")
+    rejects = feeds.payload_readings(spark, root, "rejects")
     assert sorted(r.payload for r in rejects.collect())[0] == "bad" and rejects.count() == 2
     # A batch that failed after writing is run again: same start, same numbers.
     for mark in ("1", ".1.crc"):
         (tmp_path / "c" / "commits" / mark).unlink()
     one_pass()
     assert numbers() == want
+    # A new checkpoint numbers everything again, and nothing appears twice.
+    one_pass(str(tmp_path / "c-new"))
+    assert numbers() == want
+    messages = landed_messages(spark, f"{root}/messages").where("offset >= 1L << 44")
+    assert sorted(r.value.sequenceNumber for r in messages.collect()) == [1, 3, 4, 5]
+
+
+def test_latest_survives_a_new_checkpoint_after_compaction(spark, tmp_path):
+    landed, table = str(tmp_path / "landed"), feeds.latest_table(spark, str(tmp_path / "latest"))
+
+    def one_pass(checkpoint):
+        stream = landed_messages(spark, landed, streaming=True)
+        run_once(feeds.latest_table_feed(stream, table, str(tmp_path / checkpoint)), "latest")
+
+    make_messages(spark, 0, 30).coalesce(1).write.mode("append").parquet(landed)
+    one_pass("c1")
+    table.compact()
+    make_messages(spark, 30, 40).coalesce(1).write.mode("append").parquet(landed)
+    one_pass("c2")
+    assert sorted(r.offset for r in table.current().collect()) == [37, 38, 39]
+    table.compact()
+    table.vacuum()
+    assert sorted(r.offset for r in table.current().collect()) == [37, 38, 39]
+
+
+def test_files_with_old_times_are_read(spark, tmp_path):
+    import os
+
+    landed, out = tmp_path / "landed", str(tmp_path / "out")
+    make_messages(spark, 0, 10).coalesce(1).write.parquet(str(landed))
+
+    def one_pass():
+        stream = landed_messages(spark, str(landed), streaming=True)
+        run_once(file_writer(stream, out, str(tmp_path / "c")), "copy")
+
+    one_pass()
+    before = set(landed.glob("part-*"))
+    make_messages(spark, 10, 20).coalesce(1).write.mode("append").parquet(str(landed))
+    for f in set(landed.glob("part-*")) - before:
+        os.utime(f, (1_500_000_000, 1_500_000_000))
+    one_pass()
+    assert sorted(r.offset for r in read_files(spark, out).collect()) == list(range(20))
+
+
+def test_archive_after_a_retry_a_batch_write_and_a_new_checkpoint(spark, tmp_path):
+    landed, root = str(tmp_path / "landed"), str(tmp_path / "archive")
+
+    def one_pass(checkpoint):
+        stream = landed_messages(spark, landed, streaming=True)
+        run_once(feeds.archive_feed(stream, root, str(tmp_path / checkpoint)), "archive")
+
+    def numbers():
+        return sorted(r.sequenceNumber for r in archive_scan(spark, root).collect())
+
+    make_messages(spark, 0, 30).coalesce(1).write.mode("append").parquet(landed)
+    one_pass("c")
+    for mark in ("0", ".0.crc"):
+        (tmp_path / "c" / "commits" / mark).unlink()
+    one_pass("c")
+    assert numbers() == list(range(30))
+    write_archive(make_messages(spark, 30, 40).select("value.*"), root)
+    assert numbers() == list(range(40))
+    make_messages(spark, 40, 50).coalesce(1).write.mode("append").parquet(landed)
+    one_pass("c")
+    assert numbers() == list(range(50))
+    # A new checkpoint reads everything again and loses nothing: what was there comes twice.
+    one_pass("c-new")
+    assert numbers() == sorted([*range(50), *range(30), *range(40, 50)])
+    per_folder = {}
+    for f in (tmp_path / "archive").glob("*/*/*/*.parquet"):
+        per_folder[f.parent] = per_folder.get(f.parent, 0) + 1
+    assert max(per_folder.values()) == 1
+
+
+def test_bad_text_reaches_neither_latest_nor_archive(spark, tmp_path):
+    from station_telemetry.sources.status import decode_texts, landed_texts
+
+    landed, data = str(tmp_path / "landed"), str(tmp_path)
+    good = make_messages(spark, 0, 1).select("key", F.to_json("value").alias("value"), "offset")
+    bad = spark.createDataFrame([("1", "bad", 5), (None, '{"stationId":1}', 6)], good.schema)
+    good.unionByName(bad).coalesce(1).write.parquet(landed)
+    messages, rejected = decode_texts(landed_texts(spark, landed, streaming=True))
+    table = feeds.latest_table(spark, f"{data}/latest")
+    run_once(feeds.latest_table_feed(messages, table, f"{data}/c1"), "latest")
+    run_once(feeds.archive_feed(messages, f"{data}/archive", f"{data}/c2"), "archive")
+    run_once(feeds.rejects_feed(rejected, messages, f"{data}/rejects", f"{data}/c3"), "rejects")
+    assert [(r.key, r.offset) for r in table.current().collect()] == [("1", 0)]
+    assert [r.sequenceNumber for r in archive_scan(spark, f"{data}/archive").collect()] == [0]
+    assert sorted(r.offset for r in read_files(spark, f"{data}/rejects").collect()) == [5, 6]
+
+
+def test_ingest_of_both_spellings(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from station_telemetry.schemas import ARCHIVE_MIXED
+
+    root, table = tmp_path / "archive", document_table(spark, str(tmp_path / "docs"))
+    day = root / "station_id=1" / "date=2024-01-01"
+    foreign_file(spark, day, "part-1-a.parquet", (1, 1, 10))
+    weather = {"humidity": 20, "temperature": 1.0, "wind_speed": 3.0}
+    rows = [
+        {"s_no": 2, "battery_status": "MID", "batteryStatus": "LOW", "status_timestamp": MS // 1000, "weather": weather},
+        {"s_no": 3, "battery_status": None, "batteryStatus": "LOW", "status_timestamp": MS // 1000, "weather": None},
+    ]
+    pq.write_table(
+        pa.Table.from_pylist(
+            rows,
+            schema=pa.schema(
+                [
+                    ("s_no", pa.int64()), ("battery_status", pa.string()), ("batteryStatus", pa.string()),
+                    ("status_timestamp", pa.int64()),
+                    ("weather", pa.struct([("humidity", pa.int32()), ("temperature", pa.float64()), ("wind_speed", pa.float64())])),
+                ]
+            ),
+        ),
+        day / "part-2-b.parquet",
+    )
+    stream = archive_stream(spark, str(root), ARCHIVE_MIXED)
+    run_once(feeds.ingest_feed(stream, table, str(tmp_path / "c"), mixed=True), "ingest")
+    got = {r.doc_id: (r.battery_status, r.weather.humidity, r.weather.wind_speed) for r in table.current().collect()}
+    assert got == {"1-1": ("LOW", 10, 2.0), "1-2": ("MID", 20, 3.0), "1-3": (None, None, None)}
