@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from station_telemetry.llm.common import prepare
 from station_telemetry.llm.decontamination import op3_benchmark_decontamination
+from station_telemetry.llm.oracles import ORACLES  # noqa: F401
 from station_telemetry.llm.packing import op1_best_fit_packing
 from station_telemetry.llm.quality_classifier import op5_quality_classifier
 from station_telemetry.llm.quality_rules import op7_quality_rules
@@ -42,5 +43,3 @@ QUERIES = {
         op10_simhash_near_dedup,
     )
 }
-
-ORACLES: dict[str, str] = {}
