@@ -53,7 +53,8 @@ def trained(sample: DataFrame, fit: Callable[[list[str], np.ndarray], bytes]) ->
             texts, labels = table.column("text").to_pylist(), table.column("label").to_numpy()
         yield pa.RecordBatch.from_pydict({"model": pa.array([fit(texts, labels)], pa.binary())})
 
-    return bytes(sample.coalesce(1).mapInArrow(scan, "model binary").first()["model"])
+    row = sample.coalesce(1).mapInArrow(scan, "model binary").first()
+    return bytes(row["model"]) if row else fit([], np.zeros(0, np.int64))  # no sample, no task
 
 
 Score = Callable[[np.ndarray, np.ndarray, object], np.ndarray]
