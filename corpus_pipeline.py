@@ -13,6 +13,10 @@ from station_telemetry.llm import suffix_array_dedup
 from station_telemetry.llm.common import prepare, stored
 
 
+#: Words the tokenizer remembers: fewer than it would alone, as workers hold memory of earlier stages.
+MEMORY_WORDS = 60_000
+
+
 def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
     prepare(spark)
@@ -40,7 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents left and their places in sequences of tokens."""
     prepare(spark)
-    found = packing.packed_pieces(docs, columns=["doc_id"])
+    found = packing.packed_pieces(docs, columns=["doc_id"], memory_words=MEMORY_WORDS)
     return found.select("row.doc_id", *found.columns[1:])
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from station_telemetry.llm.common import stored, with_row
-from station_telemetry.llm.tokens import WordTokens, texts_of, tokenizer_path
+from station_telemetry.llm.tokens import MEMORY_WORDS, WordTokens, texts_of, tokenizer_path
 from station_telemetry.operators.ordered import running_sum
 from station_telemetry.session import scratch
 
@@ -30,12 +30,12 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 
 
-def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
+def _cut(path: str, capacity: int, end_id: int, with_ids: bool, memory_words: int):
     end = end_id.to_bytes(4, "little")
 
     def scan(batches):
         for batch in batches:
-            tokens = WordTokens.of(path)
+            tokens = WordTokens.of(path, memory_words)
             rows, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
             for row, ids in enumerate(tokens.encode(texts_of(batch.column("text")))):
                 ids += end
@@ -65,16 +65,18 @@ def token_pieces(
     end_id: int = END_ID,
     with_ids: bool = False,
     columns: list[str] | None = None,
+    memory_words: int = MEMORY_WORDS,
 ) -> DataFrame:
     """Pieces of at most `capacity` ids: row (the document's columns), piece, start, length, ids_crc32.
 
-    `columns` are those of the document that row carries. A document's ids end with `end_id`, so null and empty texts have one. `with_ids` adds the ids
+    `columns` are those of the document that row carries; `memory_words`
+    bounds what a Python worker remembers. A document's ids end with `end_id`, so null and empty texts have one. `with_ids` adds the ids
     as little-endian unsigned 32-bit numbers. Repeated rows give their pieces each.
     """
     rows = with_row(documents, columns)
     row = rows.schema["row"].dataType.simpleString()
     schema = f"row {row}, piece int, start long, length long, ids_crc32 long"
-    return rows.mapInArrow(_cut(path, capacity, end_id, with_ids), schema + (", ids binary" if with_ids else ""))
+    return rows.mapInArrow(_cut(path, capacity, end_id, with_ids, memory_words), schema + (", ids binary" if with_ids else ""))
 
 
 def _matched(items: DataFrame, slots: DataFrame) -> DataFrame:
@@ -161,9 +163,10 @@ def packed_pieces(
     path: str | None = None,
     capacity: int = CAPACITY,
     columns: list[str] | None = None,
+    memory_words: int = MEMORY_WORDS,
 ) -> DataFrame:
     """`token_pieces` with sequence_id and offset: their place in sequences of at most `capacity` ids."""
-    pieces = token_pieces(documents, path or tokenizer_path(TOKENIZER), capacity, columns=columns)
+    pieces = token_pieces(documents, path or tokenizer_path(TOKENIZER), capacity, columns=columns, memory_words=memory_words)
     pieces = stored(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
     places = packed(pieces.select("uid", "length"), capacity)
     return pieces.join(places, "uid").select(

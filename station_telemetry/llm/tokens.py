@@ -26,23 +26,25 @@ def tokenizer_path(name: str) -> str:
 class WordTokens:
     """Ids of texts as little-endian unsigned 32-bit numbers in bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory_words: int = MEMORY_WORDS):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.memory_words = memory_words
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.lowers = self._one("A") == self._one("a")
         self.marks = {m: self._one(m.decode()) for m in (b",", b".")} if self._parts() else {}
 
     @classmethod
-    def of(cls, path: str) -> "WordTokens":
+    def of(cls, path: str, memory_words: int = MEMORY_WORDS) -> "WordTokens":
         """One for each Python worker, which keeps what it has learned over tasks."""
         if path not in _MEMORIES:
             _MEMORIES[path] = cls(path)
+        _MEMORIES[path].memory_words = memory_words
         return _MEMORIES[path]
 
     def _one(self, text: str) -> bytes:
@@ -96,7 +98,7 @@ class WordTokens:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         split = [t.split() if t else [] for t in texts]
-        if len(self.known) > MEMORY_WORDS:
+        if len(self.known) > self.memory_words:
             self.older, self.known = self.known, {}
         known = self.known
         missing = set().union(*split).difference(known)
