@@ -177,6 +177,22 @@ def test_forest_finds_what_sticks_out():
     assert quality_rules.mean_paths(odd, trees).max() < quality_rules.mean_paths(clean, trees).min()
 
 
+@pytest.mark.parametrize("column, per_word", [(1, 9.9), (2, 0.09), (3, 0.05)])
+def test_forest_finds_what_is_odd_only_beside_good_text(column, per_word):
+    """Less than any hand-set limit allows, but far from every good document."""
+    rng = np.random.default_rng(1)
+    words = rng.integers(60, 3_000, 2_000)
+    rows = np.stack([words, words * rng.normal(5, 0.2, 2_000), words * 0, words * 0, words * rng.uniform(0, 0.05, 2_000)], axis=1)
+    bad = np.arange(2_000) < 100
+    rows[bad, column] = rows[bad, 0] * per_word
+    rows = np.ceil(rows).astype(np.int64)
+    paths = quality_rules.mean_paths(rows, fitted := quality_rules.forest(rows, rows[~bad]))
+    gone = paths < quality_rules.calibrated(paths, ~bad)
+    assert gone[bad].mean() > 0.9 and gone[~bad].mean() <= quality_rules.MOST_LOST
+    twice = np.diff(quality_rules.mean_paths(np.array([[100, 500, 0, 0, 0], [2_900, 14_500, 0, 0, 0]]), fitted))
+    assert twice != 0  # unlike counts per word, lengths differ
+
+
 def accuracy(spark, name, label):
     """(recall of 1, recall of 0) on labelled rows that training didn't see, at sf0.1."""
     sf = "/root/testdata/sf0.1"
