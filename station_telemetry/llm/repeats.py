@@ -9,7 +9,8 @@ group of contexts is searched, and in which of several equal windows stays.
 3. Equal contexts are counted, summed per task before the shuffle, however often they occur. Where
    an anchor has several different contexts, they go to the anchor's group, a copy from each task
    at most, and groups are searched by a suffix array or suffix tree. A group above `GROUP_UNITS`
-   is split by further anchors, taken with other hashes, which equal windows share as well.
+   is split by further anchors, taken with other hashes, which equal windows share as well. Where
+   `SPLITS` of these leave a group of words above it, its windows are compared whole, by a shuffle.
 4. The verdicts are joined back to the places, as ranges of units for each document. Texts cross
    the network once, compressed.
 
@@ -165,6 +166,49 @@ def _split(cut: Cut, seed: int):
     return scan
 
 
+def _windows(width: int):
+    """The windows of contexts of words, one by one: their words, and their places."""
+
+    def scan(batches):
+        for batch in batches:
+            got = [batch.column(n).to_pylist() for n in ("text", "anchor", "digest", "base", "windows", "doc", "start")]
+            for text, anchor, digest, base, windows, doc, start in zip(*got):
+                words = text.split(b" ")
+                at = np.arange(windows, dtype=np.int32)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "window": pa.array([b" ".join(words[k : k + width]) for k in range(windows)], pa.binary()),
+                        "anchor": np.full(windows, anchor, np.int64),
+                        "digest": np.full(windows, digest, np.int64),
+                        "at": base + at,
+                        "doc": np.full(windows, doc, np.int64),
+                        "start": start + at,
+                    }
+                )
+
+    return scan
+
+
+_WINDOWS = "window binary, anchor long, digest long, at int, doc long, start int"
+
+
+def _compared(contexts: DataFrame, width: int, keep_first: bool) -> DataFrame:
+    """What `_searched` finds, for contexts of words in groups of any size: no task holds a group.
+
+    Equal windows are summed per task before the shuffle, and compared byte by byte.
+    """
+    each = stored(contexts.mapInArrow(_windows(width), _WINDOWS), "windows")
+    equal = (
+        each.groupBy("window")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start")).alias("earliest"))
+        .where("n > 1")
+    )
+    hits = each.join(stored(equal, "equal"), "window")
+    if keep_first:
+        hits = hits.where(F.struct("doc", "start") != F.col("earliest"))
+    return hits.select("anchor", "digest", F.col("at").alias("from"), (F.col("at") + 1).alias("to"))
+
+
 Search = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -293,6 +337,7 @@ def repeated_ranges(
         .select(F.col("anchor").alias("route"), "anchor", "digest", F.lit(0).alias("base"), "windows", "doc", "start", "text")
     )
     crowded = contested.where(F.col("units") > group_units).select(F.col("anchor").alias("route"))
+    compared = None
     for seed in range(1, SPLITS + 1):
         if crowded.isEmpty():
             break
@@ -312,14 +357,19 @@ def repeated_ranges(
             .where(F.col("units") > group_units)
             .select("route")
         )
+        if cut.words and seed == SPLITS and not crowded.isEmpty():
+            # Windows that share all these anchors are mostly equal: more splits would part few of them.
+            compared = _compared(split.join(crowded, "route", "left_semi"), cut.width, keep_first)
+            split = split.join(crowded, "route", "left_anti").select(contexts.columns)
         contexts = calm.unionByName(split)
-    verdicts = (
+    searched = (
         contexts.repartition("route")
         .sortWithinPartitions("route", "anchor", "digest", "base")
         .mapInArrow(_searched(search, SHARD_BYTES), "anchor long, digest long, from int, to int")
-        .groupBy("anchor", "digest")
-        .agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
     )
+    if compared is not None:
+        searched = searched.unionByName(compared)
+    verdicts = searched.groupBy("anchor", "digest").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
     whole = F.array(F.struct(F.lit(0).alias("from"), F.col("windows").alias("to")))
     again = F.col("n") > 1
     if keep_first:

@@ -1,7 +1,7 @@
 """Removal of word sequences that occur earlier, by suffix trees over groups of contexts.
 
 Groups of contexts come from `repeats`: a short prefix of words (an anchor) files a window, and
-groups too large for memory are split by further ones. Within a group the suffixes are split by
+groups too large for memory are split by further ones, and at last by all words of a window. Within a group the suffixes are split by
 their first words, each part again by the next ones, and so on: the nodes of the group's suffix
 tree, level by level. Parts of one suffix are leaves and go no further. What is still together at
 the depth of a window is an internal node whose label is a repeat.
@@ -17,22 +17,29 @@ from pyspark.sql import functions as F
 from station_telemetry.llm import repeats
 
 WIDTH = 20
-_BITS = 21
+#: Words of distinct contexts in one group above which it is split: what one task holds in memory.
+GROUP_WORDS = 1 << 20
+#: Bits of the numbers that stand for a node and its next words.
+_KEY_BITS = 63
 
 
 def deep_nodes(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes (indexes into `starts`) that share `depth` words with another, and their node.
 
-    `words` holds numbers below 2**21. A level adds two words to the labels of three.
+    A level adds as many words as fit into one number beside the node, one at least: a group with
+    2**31 words of text would still have room.
     """
     left = np.arange(len(starts))
     node = np.zeros(len(starts), np.int64)
-    at = 0
+    nodes, at = 1, 0
+    bits = max(1, int(words.max()).bit_length()) if len(words) else 1
     while at < depth and len(left):
-        take = min(2 if at else 3, depth - at)
+        take = min((_KEY_BITS - (nodes - 1).bit_length()) // bits, depth - at)
+        if not take:
+            raise OverflowError("nodes and words of a group don't fit into one number")
         key = node
         for k in range(take):
-            key = (key << _BITS) | words[starts[left] + at + k]
+            key = (key << bits) | words[starts[left] + at + k]
         by = np.argsort(key, kind="stable")
         key = key[by]
         first = np.flatnonzero(np.diff(key, prepend=-1))
@@ -40,6 +47,7 @@ def deep_nodes(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.nd
         shared = np.repeat(count > 1, count)
         left = left[by][shared]
         node = np.repeat(np.arange(len(first)), count)[shared]
+        nodes = len(first)
         at += take
     return left, node
 
@@ -55,8 +63,6 @@ def later_ones(width: int):
             own = text.split(b" ")
             lengths.append(len(own))
             words += [numbers.setdefault(w, len(numbers)) for w in own]
-        if len(numbers) >= 1 << _BITS:
-            raise ValueError("a group holds more distinct words than its tree can number")
         total = int(windows.sum())
         row = np.repeat(np.arange(len(texts)), windows)
         own = np.arange(total) - np.repeat(np.cumsum(windows) - windows, windows)
@@ -102,7 +108,7 @@ def _removed(batches):
 def removed(
     documents: DataFrame,
     width: int = WIDTH,
-    group_units: int = repeats.GROUP_UNITS,
+    group_units: int = GROUP_WORDS,
     columns: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """For each document: row (the columns named), n_words, n_removed and kept (words left, UTF-8).

@@ -91,6 +91,37 @@ def test_word_repeats_of_odd_rows(odd, group):
     assert suffix_tree_dedup.removed(empty(odd)).count() == 0
 
 
+def test_groups_of_very_many_words():
+    """More distinct words than 2**21, and numbers of which three don't fit into 63 bits."""
+    n = (1 << 21) + 5
+    text = b" ".join(b"%x" % i for i in range(n))
+    texts = [text, b"0 1 2 3 4"]
+    hit = suffix_tree_dedup.later_ones(4)(texts, np.array([n - 3, 2]), np.array([1, 2]), np.array([0, 0]))
+    assert np.flatnonzero(hit).tolist() == [n - 3, n - 2]
+    words = np.array([0, 0, 1 << 21, 0, 1, 0, 0, 0, 1 << 21])
+    assert sorted(suffix_tree_dedup.deep_nodes(words, np.array([0, 3, 6]), 3)[0].tolist()) == [0, 2]
+
+
+def test_no_group_of_words_is_above_the_limit(spark, sf, monkeypatch):
+    """One passage among other words everywhere: no anchor parts the windows inside it."""
+    from station_telemetry.llm import repeats
+
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = [(d, " ".join(f"a{d}x{k}" for k in range(25)) + f" {passage} " + " ".join(f"b{d}x{k}" for k in range(25))) for d in range(60)]
+    rows += [(60, rows[3][1]), (61, passage), (62, None)]
+    search, limit = suffix_tree_dedup.later_ones(20), 400
+
+    def bounded(texts, windows, docs, starts):
+        assert (windows + 19).sum() <= limit
+        return search(texts, windows, docs, starts)
+
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 1)
+    monkeypatch.setattr(suffix_tree_dedup, "later_ones", lambda width: bounded)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_tree_dedup.removed(frame, group_units=limit)
+    assert by_id(found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256))) == brute.word_repeats(rows)
+
+
 def test_contamination(spark, sf, docs):
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()]
     assert by_id(QUERIES["op3_benchmark_decontamination"](spark, sf)) == brute.contamination(docs, items)
