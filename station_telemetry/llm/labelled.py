@@ -43,17 +43,18 @@ def labelled_sample(
 
 
 def trained(sample: DataFrame, fit: Callable[[list[str], np.ndarray], bytes]) -> bytes:
-    """Runs `fit` on the sample in one task, in order of place, and fetches the model."""
+    """Runs `fit` on the sample in one task, in order of place, text and label, and fetches the model."""
 
     def scan(batches):
         got = [b for b in batches if b.num_rows]
         texts, labels = [], np.zeros(0, np.int64)
         if got:
-            table = pa.Table.from_batches(got).sort_by([("place", "ascending"), ("text", "ascending")])
+            table = pa.Table.from_batches(got).sort_by([(n, "ascending") for n in ("place", "text", "label")])
             texts, labels = table.column("text").to_pylist(), table.column("label").to_numpy()
         yield pa.RecordBatch.from_pydict({"model": pa.array([fit(texts, labels)], pa.binary())})
 
-    row = sample.coalesce(1).mapInArrow(scan, "model binary").first()
+    # A shuffle, so that only the sample comes to one task, and documents are read by many.
+    row = sample.repartition(1).mapInArrow(scan, "model binary").first()
     return bytes(row["model"]) if row else fit([], np.zeros(0, np.int64))  # no sample, no task
 
 

@@ -252,6 +252,24 @@ def test_scores_of_odd_rows(odd, labels, scores):
     assert scores(empty(odd), labels).count() == 0
 
 
+def test_training_reads_documents_in_many_tasks(spark, sf):
+    """The sample comes to one task, the scan before it stays spread."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    from station_telemetry.llm import labelled
+
+    def where(batches):
+        for batch in batches:
+            part, n = TaskContext.get().partitionId(), batch.num_rows
+            columns = [pa.array([str(part)] * n), pa.array([part] * n, pa.int32()), pa.array([0] * n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["text", "label", "place"])
+
+    sample = spark.range(0, 400, 1, 4).mapInArrow(where, "text string, label int, place long")
+    seen = labelled.trained(sample, lambda texts, labels: ",".join(sorted(set(texts))).encode())
+    assert seen == b"0,1,2,3"
+
+
 def packing_faults(rows, texts, capacity=4096):
     ids = {d: i + [1] for (d, _), i in zip(texts, brute.token_ids([t for _, t in texts]))}
     faults, sequences, seen = [], {}, Counter()
