@@ -5,6 +5,8 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from odd_rows import ODD  # noqa: E402
+
 from station_telemetry.llm.common import prepare  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -23,21 +25,6 @@ def docs(spark, sf):
     return [tuple(r) for r in rows]
 
 
-#: Null, empty, blank and very long texts, ties, a repeated row and columns with names of the operators' own.
-ODD = [
-    (1, None),
-    (2, ""),
-    (3, " \n\t "),
-    (4, "one"),
-    (5, "ä ö ü " * 120),
-    (6, "ä ö ü " * 120),
-    (7, "same words again and again. " * 300),
-    (8, "x" * 5_000),
-    (9, "Plain text with a few words, nothing else in it."),
-    (10, "Plain text with a few words, nothing else in it."),
-]
-
-
 @pytest.fixture
 def odd(spark, sf):
     rows = [(d, t, "s", "l", 0, 0.5, "row", 1) for d, t in ODD]

@@ -2,7 +2,7 @@
 
 import brute
 import corpus_pipeline
-from test_operators import packing_faults
+from packing_rules import packing_faults
 
 
 def test_stages(spark, sf):
