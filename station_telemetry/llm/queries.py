@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from station_telemetry.llm.common import prepare
 from station_telemetry.llm.decontamination import op3_benchmark_decontamination
+from station_telemetry.llm.hard_negatives import op11_hard_negative_mining
+from station_telemetry.llm.merkle_manifest import op13_merkle_manifest
 from station_telemetry.llm.oracles import ORACLES  # noqa: F401
 from station_telemetry.llm.packing import op1_best_fit_packing
 from station_telemetry.llm.quality_classifier import op5_quality_classifier
@@ -15,6 +17,7 @@ from station_telemetry.llm.quality_rules import op7_quality_rules
 from station_telemetry.llm.simhash_pivots import op10_simhash_near_dedup
 from station_telemetry.llm.suffix_array_dedup import op6_suffix_array_dedup
 from station_telemetry.llm.suffix_tree_dedup import op9_substring_dedup
+from station_telemetry.llm.super_minhash import op12_minhash_near_dedup
 from station_telemetry.llm.token_counts import op8_token_counts
 from station_telemetry.llm.toxicity import op2_toxicity
 from station_telemetry.llm.warc import op4_warc
@@ -41,5 +44,8 @@ QUERIES = {
         op8_token_counts,
         op9_substring_dedup,
         op10_simhash_near_dedup,
+        op11_hard_negative_mining,
+        op12_minhash_near_dedup,
+        op13_merkle_manifest,
     )
 }

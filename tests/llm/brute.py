@@ -1,7 +1,10 @@
 """Plain versions of the operators' rules, for small inputs."""
 
 import hashlib
+import itertools
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 SPACE = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -136,3 +139,99 @@ def token_ids(texts):
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def hard_negatives(rows, k=5):
+    """op11: (anchor, positive, rank, negative, positive score, negative score) for (vec_id, vector, label)."""
+    kept = []
+    for v, e, label in rows:
+        if None in (v, e, label) or any(x is None or not math.isfinite(x) for x in e):
+            continue
+        kept.append((v, (label + 1) % 10 if v % 7 == 0 else label, [math.floor(256 * x) for x in e]))
+    out = []
+    for i, (v, label, q) in enumerate(kept):
+        if v % 100:
+            continue
+        score = [sum(a * b for a, b in zip(q, other)) for *_, other in kept]
+        order = sorted(range(len(kept)), key=lambda j: (-score[j], kept[j][0], j))
+        for p in [j for j in order if j != i and kept[j][1] == label][:k]:
+            fits = [j for j in order if kept[j][1] != label and 80 * score[p] <= 100 * score[j] <= 100 * score[p]]
+            out += [(v, kept[p][0], n + 1, kept[j][0], score[p], score[j]) for n, j in enumerate(fits[:k])]
+    return sorted(out)
+
+
+def shingle_set(text, size=4):
+    words = SPACE.findall(bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1)) or frozenset([tuple(words)])
+
+
+def similar(a, b, percent=80):
+    both = len(a & b)
+    return bool(a and b) and 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def shingle_duplicates(rows):
+    """op12: (doc_id, n_shingles, component_id, kept) for unique doc_ids."""
+    sets = {d: shingle_set(t) for d, t in rows}
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a, b in itertools.combinations(sets, 2):
+        if similar(sets[a], sets[b]):
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    return sorted((d, len(s), find(d), find(d) == d) for d, s in sets.items())
+
+
+def merkle(rows, arity=2):
+    """op13: (doc_id, leaf, subroot, root, proof sha, folded root, verified) for rows as dictionaries."""
+
+    def hashed(text):
+        return sha(text.encode())
+
+    def leaf(r):
+        parts = ("-" if r[n] is None else f"{len(str(r[n]).encode())}:{r[n]}" for n in ("doc_id", "source", "lang", "n_chars", "text"))
+        return hashed("".join(parts))
+
+    def tree(level):
+        levels = [level]
+        while len(levels[-1]) > 1:
+            below = levels[-1]
+            levels.append([hashed("".join(below[i : i + arity])) for i in range(0, len(below), arity)])
+        return levels
+
+    def siblings(levels, i):
+        for level in levels[:-1]:
+            first = i // arity * arity
+            yield "".join(level[first:i]), "".join(level[i + 1 : first + arity])
+            i //= arity
+
+    by_lang = defaultdict(list)
+    for r in rows:
+        by_lang[r["lang"]].append(r)
+    langs = sorted(by_lang, key=lambda name: (name is not None, (name or "").encode()))
+    trees = {}
+    for name in langs:
+        own = sorted(by_lang[name], key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)))
+        trees[name] = own, tree([leaf(r) for r in own])
+    top = tree([trees[name][1][-1][0] for name in langs])
+    out = []
+    for k, name in enumerate(langs):
+        own, levels = trees[name]
+        for i, r in enumerate(own):
+            proof = [*siblings(levels, i), *siblings(top, k)]
+            changed = dict(r)
+            if r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 7 == 0 and r["n_chars"] is not None:
+                changed["n_chars"] += 1
+            value = leaf(changed)
+            for left, right in proof:
+                value = hashed(left + value + right)
+            flat = "".join(left + right for left, right in proof)
+            out.append((r["doc_id"], levels[0][i], levels[-1][0], top[-1][0], hashed(flat), value, value == top[-1][0]))
+    return sorted(out, key=str)
