@@ -8,11 +8,11 @@ given one after the other to all shingles of a batch; a document stops as soon a
 full, as later ranks can only be greater.
 
 Bands of registers deal the distinct sets to buckets, so that sets of the asked similarity meet
-in a bucket (a pair at the limit is missed with a chance of 2e-9). In a bucket, leaders are compared with the
-other members: first by signatures, far below the limit, then survivors exactly, on full sets. Links
-found are joined by connected components, and a bucket whose members all belong to one needs no
-further leaders. Buckets that still hold several components get more leaders, until every member
-outside the largest component has been one: then all pairs in question have been compared.
+in a bucket (a pair at the limit is missed with a chance of 2e-9). Every bucket's first member is
+compared with the others: first by signatures, far below the limit, then survivors exactly, on full
+sets. A bucket whose members then all belong to one component is resolved. In the others, members of
+different components are compared where they lie, in tiles of bounded size, and joined by
+union-find, so that a tile hands on the links that join components and no pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from station_telemetry.llm.common import mixed, pieces, picked, stored, word_bounds, word_hashes
@@ -31,9 +31,9 @@ SIMILARITY = 80
 BANDS, ROWS = 51, 5
 REGISTERS = BANDS * ROWS
 #: Signatures agreeing in a smaller share are let go: more than six deviations below the limit.
-LEAST_AGREEMENT = 0.63
-#: Leaders a bucket gets at first in a later round; each round doubles them.
-LEADERS = 32
+LEAST_AGREEMENT = 0.68
+#: Members of an unresolved bucket that are compared in one task; larger buckets are cut into tiles.
+TILE = 512
 _EMPTY = np.uint64((1 << 64) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -216,50 +216,98 @@ def links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, similarity: int =
     return stored(full.mapInArrow(_linked(similarity), "a long, b long"), "linked")
 
 
-def similar_sets(sets: DataFrame, texts: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+def _joined(similarity: int):
+    """Links between components among the members of each tile, by union-find."""
+    names = ("band", "i", "j", "uid", "part", "root", "n", "sig", "text")
+
+    def scan(batches):
+        failed: set[tuple[int, int]] = set()
+        tile, key = [], None
+        for batch in batches:
+            for row in zip(*(batch.column(n).to_pylist() for n in names)):
+                if row[:3] != key:
+                    yield from resolve(tile, failed)
+                    tile, key = [], row[:3]
+                tile.append(row[3:])
+        yield from resolve(tile, failed)
+
+    def resolve(tile, failed):
+        if len(tile) < 2:
+            return
+        uid, part, root, n = (np.array([r[k] for r in tile]) for k in range(4))
+        sig = np.frombuffer(b"".join(r[4] for r in tile), np.uint8).reshape(len(tile), -1)
+        parent = np.unique(root, return_inverse=True)[1]
+        sets: dict[int, np.ndarray] = {}
+        two_parts = (part != part[0]).any()
+        expand = zstandard.ZstdDecompressor()
+
+        def shingles(k: int) -> np.ndarray:
+            if k not in sets:
+                data = np.frombuffer(expand.decompress(tile[k][5]), np.uint8)
+                sets[k] = shingle_sets(data, np.array([0, len(data)]))[0]
+            return sets[k]
+
+        out = []
+        for a in range(len(tile) - 1):
+            others = np.arange(a + 1, len(tile))
+            apart = (parent[others] != parent[a]) & (np.minimum(n[others], n[a]) * 100 >= np.maximum(n[others], n[a]) * similarity)
+            if two_parts:
+                apart &= part[others] != part[a]
+            others = others[apart]
+            others = others[(sig[others] == sig[a]).mean(axis=1) >= LEAST_AGREEMENT]
+            for b in others.tolist():
+                pair = (int(uid[a]), int(uid[b]))
+                if parent[a] == parent[b] or pair in failed:
+                    continue
+                s, t = shingles(a), shingles(b)
+                both = int(np.isin(s, t, assume_unique=True).sum())
+                if 100 * both >= similarity * (len(s) + len(t) - both):
+                    out.append(pair)
+                    parent[parent == parent[b]] = parent[a]
+                else:
+                    failed.add(pair)
+        if len(failed) > 1_000_000:
+            failed.clear()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+
+    return scan
+
+
+def _tiles(rows: DataFrame, size: int) -> DataFrame:
+    """(band, i, j, uid, part, root): members of a bucket in parts, each pair of parts a tile."""
+    parts = rows.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("int").alias("parts"))
+    dealt = rows.join(parts, "band").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
+    spread = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    i, j = F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j")
+    return spread.select("band", i, j, "uid", "part", "root")
+
+
+def similar_sets(sets: DataFrame, texts: DataFrame, similarity: int = SIMILARITY, tile: int = TILE) -> DataFrame:
     """(node, root): components of the sets (uid, n, sig) under links of `similarity` percent or more.
 
     Sets without a link have no row. `texts` has the squeezed text of each uid.
     """
-    spark = sets.sparkSession
     bands = banded(sets)
     buckets = bands.groupBy("band").agg(F.min("uid").alias("leader"), F.max("uid").alias("last")).where("leader < last")
     members = stored(bands.join(stored(buckets.select("band", "leader"), "buckets"), "band"), "members")
     pairs = members.where("uid > leader").select(F.col("leader").alias("a"), F.col("uid").alias("b")).distinct()
-    tested = stored(pairs, "pairs")
-    found = links(tested, sets, texts, similarity)
-    led = members.where("uid = leader").select("band", "uid")
-    members, quota = members.select("band", "uid"), LEADERS
-    while True:
-        roots = stored(components(found), "roots")
-        rooted = members.join(roots, members["uid"] == roots["node"], "left").select(
-            "band", "uid", F.coalesce("root", "uid").alias("root")
-        )
-        rooted = rooted.join(led.withColumn("led", F.lit(True)), ["band", "uid"], "left")
-        parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"), F.count("led").alias("leds"))
-        largest = parts.groupBy("band").agg(
-            F.max_by("root", F.struct("size", "root")).alias("main"),
-            (F.sum(F.col("size") - F.col("leds")) - F.max_by(F.col("size") - F.col("leds"), F.struct("size", "root"))).alias("waiting"),
-        )
-        open_ = stored(largest.where("waiting > 0").select("band", "main"), "open")
-        if open_.isEmpty():
-            return roots
-        rows = stored(rooted.join(open_, "band"), "rows")
-        turn = Window.partitionBy("band").orderBy("uid")
-        leaders = rows.where("led is null and root <> main").withColumn("_turn", F.row_number().over(turn)).where(F.col("_turn") <= quota)
-        leaders = stored(leaders.select("band", F.col("uid").alias("l"), F.col("root").alias("l_root")), "leaders")
-        fresh = (
-            rows.join(leaders, "band")
-            .where("root <> l_root")
-            .select(F.least("uid", "l").alias("a"), F.greatest("uid", "l").alias("b"))
-            .distinct()
-            .join(tested, ["a", "b"], "left_anti")
-        )
-        fresh = stored(fresh, "pairs")
-        tested = tested.unionByName(fresh)
-        found = found.unionByName(links(fresh, sets, texts, similarity))
-        led = led.unionByName(leaders.select("band", F.col("l").alias("uid")))
-        quota *= 2
+    found = links(stored(pairs, "pairs"), sets, texts, similarity)
+    roots = stored(components(found), "roots")
+    rooted = members.join(roots, members["uid"] == roots["node"], "left").select(
+        "band", "uid", F.coalesce("root", "uid").alias("root"), F.col("uid") == F.col("leader")
+    )
+    # Pairs of the leader are compared, so only components among the others are in question.
+    rooted = rooted.toDF("band", "uid", "root", "leads").where("not leads").drop("leads")
+    open_ = rooted.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    rows = stored(rooted.join(stored(open_.select("band"), "open"), "band"), "unresolved")
+    needed = stored(rows.select("uid").distinct(), "needed")
+    half = sets.select("uid", "n", F.substring("sig", 1, REGISTERS).alias("sig")).join(needed, "uid", "left_semi")
+    known = stored(half.join(texts, "uid"), "contents")
+    tiled = _tiles(rows, tile).join(known, "uid").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j", "uid")
+    tiled = tiled.select("band", "i", "j", "uid", "part", "root", "n", "sig", "text")
+    more = tiled.mapInArrow(_joined(similarity), "a long, b long")
+    return stored(components(stored(found.unionByName(more), "linked")), "roots")
 
 
 def near_duplicates(documents: DataFrame, similarity: int = SIMILARITY) -> DataFrame:

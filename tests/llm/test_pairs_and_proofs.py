@@ -113,12 +113,13 @@ def test_edited_families(spark, sf):
     assert rows_of(got) == brute.shingle_duplicates(rows)
 
 
-def test_a_crowded_bucket_gets_leaders_until_it_is_resolved(spark, sf, monkeypatch):
-    """Everything in one bucket and one leader at first: still every link between components is found."""
+@pytest.mark.parametrize("tile", [7, 512])
+def test_a_crowded_bucket_is_resolved(spark, sf, monkeypatch, tile):
+    """Everything in one bucket, in tiles: every link between components is found."""
     rows = family(60, 5) + [(100 + d, f"other {d} " + " ".join(f"o{d}x{k}" for k in range(9))) for d in range(12)]
     monkeypatch.setattr(super_minhash, "banded", lambda sets: sets.select(F.lit(1).cast("long").alias("band"), "uid"))
-    monkeypatch.setattr(super_minhash, "LEADERS", 1)
     monkeypatch.setattr(super_minhash, "LEAST_AGREEMENT", 0.0)
+    monkeypatch.setattr(super_minhash.similar_sets, "__defaults__", (80, tile))
     got = super_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert rows_of(got) == brute.shingle_duplicates(rows)
 
