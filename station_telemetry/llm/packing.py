@@ -16,12 +16,13 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from station_telemetry.llm.common import stored, with_row
-from station_telemetry.llm.tokens import MEMORY_WORDS, WordTokens, texts_of, tokenizer_path
+from station_telemetry.llm.tokens import MEMORY_WORDS, WordTokens, tokenizer_path
 from station_telemetry.operators.ordered import running_sum
 from station_telemetry.session import scratch
 
@@ -31,22 +32,23 @@ END_ID = 1
 
 
 def _cut(path: str, capacity: int, end_id: int, with_ids: bool, memory_words: int):
-    end = end_id.to_bytes(4, "little")
-
     def scan(batches):
         for batch in batches:
             tokens = WordTokens.of(path, memory_words)
             rows, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": [], "ids": []}
-            for row, ids in enumerate(tokens.encode(texts_of(batch.column("text")))):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
+            ids, stops = tokens.encode_column(batch.column("text"))
+            ids = np.insert(ids, stops[1:], end_id).astype("<u4")
+            stops = (stops + np.arange(len(stops))).tolist()
+            for row, (first, last) in enumerate(zip(stops, stops[1:])):
+                for k, at in enumerate(range(first, last, capacity)):
+                    own = ids[at : min(at + capacity, last)]
                     rows.append(row)
                     out["piece"].append(k)
-                    out["start"].append(at // 4)
-                    out["length"].append(len(own) // 4)
+                    out["start"].append(at - first)
+                    out["length"].append(len(own))
                     out["ids_crc32"].append(zlib.crc32(own))
-                    out["ids"].append(own)
+                    if with_ids:
+                        out["ids"].append(own.tobytes())
             columns = [batch.column("row").take(pa.array(rows, pa.int32())), pa.array(out["piece"], pa.int32())]
             columns += [pa.array(out[n], pa.int64()) for n in ("start", "length", "ids_crc32")]
             names = ["row", "piece", "start", "length", "ids_crc32"]
@@ -71,7 +73,8 @@ def token_pieces(
 
     `columns` are those of the document that row carries; `memory_words`
     bounds what a Python worker remembers. A document's ids end with `end_id`, so null and empty texts have one. `with_ids` adds the ids
-    as little-endian unsigned 32-bit numbers. Repeated rows give their pieces each.
+    as little-endian unsigned 32-bit numbers. Repeated rows give their pieces each. Bytes that are not
+    UTF-8 count as the replacement character.
     """
     rows = with_row(documents, columns)
     row = rows.schema["row"].dataType.simpleString()

@@ -5,6 +5,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd_rows import ODD
 from packing_rules import packing_faults
@@ -296,6 +297,22 @@ def test_word_by_word_ids_are_the_tokenizers(sf):
     got = WordTokens(tokenizer_path(packing.TOKENIZER)).encode([t.encode() for t in texts * 2])
     want = [np.array(i, "<u4").tobytes() for i in brute.token_ids(texts)]
     assert got == want * 2
+    column = pa.array([*texts, None, "  two  ", *texts])
+    ids, stops = WordTokens(tokenizer_path(packing.TOKENIZER)).encode_column(column.slice(1))
+    whole = brute.token_ids([t or "" for t in column.to_pylist()[1:]])
+    assert [ids[a:b].tolist() for a, b in zip(stops, stops[1:])] == whole
+
+
+def test_bytes_that_are_not_text_count_as_replaced(spark, sf):
+    rows = spark.sql("SELECT 1L AS doc_id, cast(X'6162FF20C3' AS string) AS text UNION ALL SELECT 2L, 'ab\ufffd \ufffd'")
+    found = packing.packed_pieces(rows, columns=["doc_id"]).collect()
+    assert len({r.ids_crc32 for r in found}) == 1 and len(found) == 2
+
+
+def test_packing_of_repeated_rows(spark, sf):
+    rows = spark.createDataFrame([(1, "same row"), (1, "same row"), (None, None), (None, None)], "doc_id long, text string")
+    found = packing.packed_pieces(rows, capacity=8).collect()
+    assert len(found) == 4 and len({(r.sequence_id, r.offset) for r in found}) == 4
 
 
 def test_archives(spark, sf, tmp_path):
