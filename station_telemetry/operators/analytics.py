@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from station_telemetry.functions import utc_date
-from station_telemetry.operators import ordered, slices
+from station_telemetry.operators import ranks, received, slices
 
 # The percentiles of the summary.
 PERCENTILES = {"p50": 50, "p95": 95, "p99": 99}
@@ -43,20 +43,23 @@ def dropped_per_station(
 ) -> DataFrame:
     """Messages lost per station, from gaps in numbers that start at 1.
 
-    The distinct count shuffles by (station, number), which spreads a hot station. Say `unique`
-    when no number occurs twice, as in the document table: a plain count then needs no shuffle
-    of the rows at all. Losses after the last received number are invisible, and a restarted
-    counter hides losses unless rows are grouped by epoch too (`with_epoch`, then
-    `by=("station_id", "epoch")`).
+    Numbers are combined into bitmaps before the shuffle (`received`). Say `unique` when no number
+    occurs twice, as in the document table: a plain count then does. Losses after the last received
+    number are invisible, and a restarted counter hides losses unless rows are grouped by epoch too
+    (`with_epoch`, then `by=("station_id", "epoch")`).
     """
-    expected, received = F.col("expected"), F.col("received")
-    numbers = F.count("s_no") if unique else F.count_distinct("s_no")
-    return (
-        documents.where(F.col("s_no").isNotNull())
-        .groupBy(*by)
-        .agg(F.max("s_no").alias("expected"), numbers.alias("received"))
-        .withColumn("dropped", expected - received)
-        .withColumn("drop_rate", F.col("dropped").cast("double") / expected)
+    if unique:
+        known = documents.where(F.col("s_no").isNotNull())
+        counted = known.groupBy(*by).agg(F.max("s_no").alias("expected"), F.count("s_no").alias("received"))
+    else:
+        counted = received.totals(received.bitmaps(documents, by))
+    return dropped(counted)
+
+
+def dropped(counted: DataFrame) -> DataFrame:
+    """Adds dropped and drop_rate to expected and received."""
+    return counted.withColumn("dropped", F.col("expected") - F.col("received")).withColumn(
+        "drop_rate", F.col("dropped").cast("double") / F.col("expected")
     )
 
 
@@ -70,41 +73,13 @@ def drop_rate_total(dropped: DataFrame) -> DataFrame:
 
 
 def sequence_gaps(
-    documents: DataFrame,
-    by: tuple[str, ...] = ("station_id",),
-    number: str = "s_no",
-    unique: bool = False,
-    bits: int = slices.SLICE_BITS,
+    documents: DataFrame, by: tuple[str, ...] = ("station_id",), number: str = "s_no"
 ) -> DataFrame:
-    """Runs of missing numbers: (…by, missing_from, missing_to, missing).
+    """Runs of missing numbers from 1 on: (…by, missing_from, missing_to, missing).
 
-    Copies are removed before the shuffle into slices, so each slice is bounded; say `unique`
-    when there are none. Within a slice `lag` finds the previous number; across slices it is the
-    last number of the slice before.
+    From bitmaps of the received numbers (`received`), which a copy of a number doesn't change.
     """
-    keys = list(by)
-    known = documents.select(*keys, number).dropna()
-    numbers = slices.cut(known if unique else known.distinct(), number, bits)
-    previous_end = F.lag("_last", 1, 0).over(slices.across(keys))
-    ends = (
-        slices.cut(known, number, bits)
-        .groupBy(*keys, slices.SLICE)
-        .agg(F.max(number).alias("_last"))
-        .select(*keys, slices.SLICE, previous_end.alias("_carried"))
-    )
-    previous = F.coalesce(F.col("_previous"), F.col("_carried"))
-    return (
-        numbers.withColumn("_previous", F.lag(number).over(slices.within(keys, number)))
-        .join(ends, [*keys, slices.SLICE])
-        .withColumn("missing", F.col(number) - previous - 1)
-        .where(F.col("missing") > 0)
-        .select(
-            *keys,
-            (previous + 1).alias("missing_from"),
-            (F.col(number) - 1).alias("missing_to"),
-            "missing",
-        )
-    )
+    return received.gaps(received.bitmaps(documents.dropna(subset=[*by]), by, number))
 
 
 def missing_numbers(gaps: DataFrame) -> DataFrame:
@@ -173,9 +148,9 @@ def measurement_summary(
 ) -> DataFrame:
     """count, mean, nearest-rank p50/p95/p99 and max per series.
 
-    Exact percentiles count each distinct value first, which removes copies before the shuffle,
-    then place the values by a running total that spreads over many tasks; `exact=False` takes
-    them from a sketch in one pass instead.
+    Exact percentiles are found by counting rows in ever narrower bins of the value (`ranks`), which
+    neither sorts nor copies them; `exact=False` takes them from a sketch in one pass instead. For
+    sketches that are kept and merged, see `ranks.sketches`.
     """
     known = measurements.where(F.col(value).isNotNull())
     totals = [
@@ -189,19 +164,14 @@ def measurement_summary(
             series, "count", "mean", *PERCENTILES, "max"
         )
 
-    counted = known.groupBy(series, value).agg(F.count(F.lit(1)).alias("_copies"))
-    placed = ordered.running_sum(counted, [series], [value], "_copies", "_upto", "_all")
-
-    # Whole-number ceil(p * n / 100), so the rank is exact for any count.
-    def rank(percent: int) -> Column:
-        return F.call_function("div", F.col("_all") * percent + 99, F.lit(100))
-
-    picked = placed.groupBy(F.col(series).alias("_of")).agg(
-        *[
-            F.min(F.when(F.col("_upto") >= rank(p), F.col(value))).alias(name)
-            for name, p in PERCENTILES.items()
-        ]
+    ends = known.groupBy(F.col(series).alias("_of")).agg(
+        F.count(F.lit(1)).alias("_all"), F.min(value).alias("low"), F.max(value).alias("high")
     )
+    # Whole-number ceil(p * n / 100), so the rank is exact for any count.
+    wanted = F.explode(F.create_map(*[F.lit(x) for x in sum(PERCENTILES.items(), ())])).alias("name", "percent")
+    rank = F.call_function("div", F.col("_all") * F.col("percent") + 99, F.lit(100))
+    found = ranks.values_at(known, series, value, ends.select("*", wanted).withColumn("rank", rank))
+    picked = found.groupBy("_of").pivot("name", list(PERCENTILES)).agg(F.first("value"))
     return (
         known.groupBy(series)
         .agg(*totals)

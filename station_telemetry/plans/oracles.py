@@ -221,6 +221,7 @@ SELECT station_id, epoch, max(s_no) AS expected, count(DISTINCT s_no) AS receive
        CAST(max(s_no) - count(DISTINCT s_no) AS DOUBLE) / max(s_no) AS drop_rate
 FROM phased GROUP BY station_id, epoch""",
     "sequence_gaps": _GAPS + "SELECT * FROM gap",
+    "gaps_of_batches": _GAPS + "SELECT * FROM gap",
     "missing_numbers": _GAPS
     + "SELECT station_id, unnest(range(missing_from, missing_to + 1)) AS s_no FROM gap",
     "drop_rate_total": _BY_STATION + """
@@ -232,6 +233,10 @@ FROM dropped""",
 SELECT event_type, count(*) AS count, round(avg(value), 6) AS mean,
        quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95,
        quantile_disc(value, 0.99) AS p99, max(value) AS max
+FROM events GROUP BY event_type""",
+    "sketched_summary": """
+SELECT event_type, count(*) AS count, round(avg(value), 6) AS mean, max(value) AS max,
+       TRUE AS p50_within, TRUE AS p95_within, TRUE AS p99_within
 FROM events GROUP BY event_type""",
     "rate_per_window": """
 SELECT CAST(epoch_us(date_trunc('second', ts)) // 1000 AS BIGINT) AS window_start_millis,

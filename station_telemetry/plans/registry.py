@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from station_telemetry import functions as fn
 from station_telemetry.files import age_folder
-from station_telemetry.operators import analytics, openmeteo, rain, state, wire
+from station_telemetry.operators import analytics, openmeteo, rain, ranks, received, state, wire
 from station_telemetry.operators.documents import (
     decode_battery,
     normalize,
@@ -459,6 +459,16 @@ def sequence_gaps(spark, sf_dir):
     return analytics.sequence_gaps(r.documents(spark, sf_dir, lossy=True))
 
 
+@query("gaps_of_batches")
+def gaps_of_batches(spark, sf_dir):
+    """Gaps from the bitmaps of four batches, kept apart and merged; the batches share numbers."""
+    docs, kept = r.documents(spark, sf_dir, lossy=True), new_folder(spark, "bitmaps")
+    for k in range(4):
+        batch = docs.where((F.col("offset") % 4 == k) | (F.col("offset") % 5 == k))
+        received.bitmaps(batch).write.parquet(f"{kept}/batch={k}")
+    return received.gaps(received.merged(spark.read.parquet(kept).drop("batch")))
+
+
 @query("missing_numbers")
 def missing_numbers(spark, sf_dir):
     return analytics.missing_numbers(analytics.sequence_gaps(r.documents(spark, sf_dir, lossy=True)))
@@ -475,6 +485,26 @@ def measurement_summary(spark, sf_dir):
     return summary.withColumn("mean", F.round("mean", 6))
 
 
+@query("sketched_summary")
+def sketched_summary(spark, sf_dir):
+    """Percentiles from sketches of three batches, kept and merged, held against the rows themselves."""
+    rows, kept = r.events(spark, sf_dir), new_folder(spark, "sketches")
+    for k in range(3):
+        ranks.sketches(rows.where(F.col("event_id") % 3 == k), "event_type", "value").write.parquet(f"{kept}/batch={k}")
+    merged = written(ranks.merged(spark.read.parquet(kept), "event_type"), "merged")
+    summary = ranks.summary_of(merged, "event_type", analytics.PERCENTILES)
+    placed = rows.join(summary.withColumnRenamed("event_type", "of"), F.col("event_type") == F.col("of"))
+    within = []
+    for name, p in analytics.PERCENTILES.items():
+        below, upto = F.avg((F.col("value") < F.col(name)).cast("int")), F.avg((F.col("value") <= F.col(name)).cast("int"))
+        share = p / 100
+        within.append(((below <= share + ranks.RANK_ERROR) & (upto >= share - ranks.RANK_ERROR)).alias(f"{name}_within"))
+    held = placed.groupBy("event_type").agg(
+        F.first("count").alias("count"), F.round(F.first("mean"), 6).alias("mean"), F.first("max").alias("max"), *within
+    )
+    return held
+
+
 @query("rate_per_window")
 def rate_per_window(spark, sf_dir):
     timed = r.events(spark, sf_dir).withColumn("event_time", F.col("ts").cast("timestamp"))

@@ -1,9 +1,10 @@
+import bisect
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
-from station_telemetry.operators import analytics, documents, openmeteo, rain, state, wire
+from station_telemetry.operators import analytics, documents, openmeteo, rain, ranks, received, state, wire
 from station_telemetry.schemas import STATUS, STREAM
 
 MS = 1_704_067_200_000
@@ -222,6 +223,67 @@ def test_percentiles_with_many_copies(spark):
         assert row[name] == data[math.ceil(p / 100 * len(data)) - 1]
 
 
+def test_ranks_of_infinite_missing_and_extreme_values(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "ends": [-inf] * 30 + [0.0] * 40 + [inf] * 30,
+        "tail": [10.0**k for k in range(-300, 300, 2)],
+        "close": [1.0 + k * 2.3e-16 for k in range(300)],
+        "nans": [1.0] * 60 + [nan] * 40,
+        "same": [2.5] * 7,
+    }
+    rows = [(s, v) for s, vs in groups.items() for v in vs] + [("none", None), (None, 4.0)]
+    frame = spark.createDataFrame(rows, "s string, v double")
+    got = {r.s: r for r in analytics.measurement_summary(frame, "s", "v").collect()}
+    assert set(got) == {*groups, None} and got[None].p99 == 4.0
+    for name, values in groups.items():
+        order = sorted(values, key=lambda v: (math.isnan(v), v))
+        for column, p in analytics.PERCENTILES.items():
+            want = order[math.ceil(p / 100 * len(order)) - 1]
+            assert got[name][column] == want or math.isnan(want) and math.isnan(got[name][column])
+
+
+def test_ranks_of_whole_numbers_beyond_doubles(spark):
+    values = [(1 << 60) + k for k in range(100)] + [-(1 << 62), (1 << 62)]
+    frame = spark.createDataFrame([("s", v) for v in values], "s string, v long")
+    row = analytics.measurement_summary(frame, "s", "v").first()
+    assert [row.p50, row.p95] == [sorted(values)[50], sorted(values)[96]]
+
+
+def test_sketches_of_batches_merge(spark):
+    frame = spark.range(30_000).selectExpr("if(id % 3 = 0, 'a', 'b') s", "cast(id * 7919 % 30011 as double) v", "id % 4 batch")
+    kept = [ranks.sketches(frame.where(F.col("batch") == k), "s", "v", k=512) for k in range(4)]
+    whole = kept[0].unionByName(kept[1]).unionByName(kept[2]).unionByName(kept[3])
+    for r in ranks.summary_of(ranks.merged(whole, "s"), "s", analytics.PERCENTILES).collect():
+        values = sorted(x.v for x in frame.where(F.col("s") == r.s).collect())
+        assert (r["count"], r.max) == (len(values), values[-1]) and abs(r.mean - sum(values) / len(values)) < 1e-6
+        for name, p in analytics.PERCENTILES.items():
+            assert abs(bisect.bisect(values, r[name]) / len(values) - p / 100) < 0.02
+    assert ranks.sketches(frame.where("false"), "s", "v").count() == 0
+
+
+def test_bitmaps_of_batches_merge(spark):
+    rows = spark.range(1, 100_001).selectExpr("id % 2 station_id", "id s_no").where("s_no % 32768 not in (0, 1, 5) and s_no not between 40000 and 80000")
+    batches = [rows.where(F.col("s_no") % 3 != k) for k in range(3)]
+    kept = received.merged(*[received.bitmaps(b) for b in batches])
+    assert sorted(map(tuple, received.totals(kept).collect())) == sorted(map(tuple, received.totals(received.bitmaps(rows)).collect()))
+    want = sorted(map(tuple, analytics.sequence_gaps(rows).collect()))
+    assert sorted(map(tuple, received.gaps(kept).collect())) == want
+    known = {0: set(), 1: set()}
+    for r in rows.collect():
+        known[r.station_id].add(r.s_no)
+    for k, have in known.items():
+        missing = sorted(n for f, t in ((g[1], g[2]) for g in want if g[0] == k) for n in range(f, t + 1))
+        assert missing == [n for n in range(1, max(have)) if n not in have]
+
+
+def test_numbers_below_one_are_received_but_leave_no_gap(spark):
+    frame = spark.createDataFrame([(1, -3), (1, 0), (1, 2), (1, None), (None, 4)], "station_id long, s_no long")
+    assert [tuple(r) for r in analytics.sequence_gaps(frame).collect()] == [(1, 1, 1, 1)]
+    got = {r.station_id: (r.expected, r.received) for r in analytics.dropped_per_station(frame).collect()}
+    assert got == {1: (2, 3), None: (4, 1)}
+
+
 def test_rate_per_window(spark):
     frame = spark.createDataFrame([(0, 1.0), (999, 3.0), (1000, 5.0)], "ms long, v double").withColumn("t", F.timestamp_millis("ms"))
     one = analytics.rate_per_window(frame, "t", "v").orderBy("window_start").collect()

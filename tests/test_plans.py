@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from station_telemetry.operators import analytics, slices, state
+from station_telemetry.operators import analytics, ranks, received, slices, state
+from station_telemetry.session import written
 
 
 def plan_of(df):
@@ -19,15 +20,51 @@ def test_latest_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below_the_shuffle and "Partial" in below_the_shuffle
 
 
-def test_drop_counts_spread_a_station_or_need_no_rows_shuffled(spark):
-    documents = spark.range(10).selectExpr("id % 3 station_id", "id s_no", "id % 2 other")
-    documents = documents.repartition(3)
-    general = exchanges(analytics.dropped_per_station(documents))
-    assert len(general) == 2 and any("station_id" in e and "s_no" in e for e in general)
-    unique = analytics.dropped_per_station(documents, unique=True)
+def rows_shuffled(df):
+    """Rows written to each shuffle of a query that has run."""
+    plan = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        inner = node.getClass().getSimpleName()
+        if inner == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if inner.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if inner == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for k in range(children.size()):
+            walk(children.apply(k))
+
+    walk(plan)
+    return found
+
+
+def test_no_shuffle_has_a_row_for_each_number(spark):
+    """A hot station, copies and losses: bitmaps are combined in tasks before the shuffle."""
+    rows = spark.range(0, 200_000, 1, 4).selectExpr("if(id % 3 = 0, id % 7, 1) station_id", "id div 2 + 1 s_no").where("s_no % 11 <> 4")
+    for df in (analytics.dropped_per_station(rows), received.bitmaps(rows)):
+        df.collect()
+        assert rows_shuffled(df) and max(rows_shuffled(df)) <= 7 * 4 * 4
+    gaps = analytics.sequence_gaps(rows)
+    assert gaps.count() > 9_000
+    gaps.collect()
+    assert max(rows_shuffled(gaps), default=0) <= 7 * 4
+    unique = analytics.dropped_per_station(rows, unique=True)
     assert len(exchanges(unique)) == 1 and "partial_count" in plan_of(unique)
 
 
+def test_exact_ranks_neither_sort_nor_copy_the_values(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(ranks, "written", lambda df, label: kept.append(df) or written(df, label))
+    rows = spark.range(0, 100_000, 1, 4).selectExpr("'s' series", "hash(id) / 7.0D v")
+    summary = analytics.measurement_summary(rows, "series", "v")
+    summary.collect()
+    assert len(kept) < 6 and all(df.count() <= 3 for df in kept)
+    assert all("rangepartitioning" not in plan_of(df) for df in [*kept, summary])
+
+
 def test_aggregates_combine_before_the_shuffle(spark):
     documents = spark.range(10).selectExpr("cast(id % 3 as string) battery_status", "timestamp_millis(id) t", "id v")
     for df in (
