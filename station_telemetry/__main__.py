@@ -52,7 +52,7 @@ def central(spark, args) -> int:
         if args.messages:
             return status.landed_messages(spark, args.messages, streaming=True), None
         raw = status.subscribe(spark, status.kafka_options(args.servers, flush_policy=flush_policy))
-        raw = status.by_time(raw) if args.order_by_time else raw
+        raw = status.timed(raw) if args.order_by_time else raw
         if args.avro:
             return status.decode(raw, status.avro_value(F.col("value"))), None
         return status.decode_texts(raw)
@@ -66,7 +66,7 @@ def central(spark, args) -> int:
         if args.servers
         else file_writer(rain, f"{args.data}/rain", checkpoint("rain"))
     )
-    table = feeds.latest_table(spark, f"{args.data}/latest")
+    table = feeds.latest_table(spark, f"{args.data}/latest", timed=args.order_by_time)
     interval = DEFAULT_INTERVAL_SECONDS if args.messages else None
     latest = feeds.latest_table_feed(stream()[0], table, checkpoint("latest"), args.compact_every)
     archive = feeds.archive_feed(stream(flush_policy=True)[0], f"{args.data}/archive", checkpoint("archive"))

@@ -86,6 +86,25 @@ live AS (
 )
 """
 
+_EPOCHS = _LOSSY + """,
+restarted AS (
+    SELECT station_id, "offset", CASE WHEN s_no > 400 THEN s_no - 400 ELSE s_no END AS s_no
+    FROM document
+),
+marked AS (
+    SELECT *, CASE WHEN s_no < lag(s_no) OVER (PARTITION BY station_id ORDER BY "offset")
+                   THEN 1 ELSE 0 END AS reset
+    FROM restarted
+),
+phased AS (
+    SELECT *, CAST(sum(reset) OVER (PARTITION BY station_id ORDER BY "offset") AS BIGINT) AS epoch
+    FROM marked
+)
+SELECT station_id, epoch, max(s_no) AS expected, count(DISTINCT s_no) AS received,
+       max(s_no) - count(DISTINCT s_no) AS dropped,
+       CAST(max(s_no) - count(DISTINCT s_no) AS DOUBLE) / max(s_no) AS drop_rate
+FROM phased GROUP BY station_id, epoch"""
+
 ORACLES: dict[str, str] = {
     "status_stream": _SENT + f'SELECT key, "offset", {_STATUS} FROM message',
     "json_roundtrip": _SENT + f'SELECT "offset", json, {_STATUS} FROM message',
@@ -159,6 +178,11 @@ SELECT key, substr(json, 1, 20) AS text, "offset" FROM message WHERE event_type
     "latest_of_texts": _SENT + """
 SELECT key, arg_max(json, "offset") AS value, max("offset") AS "offset"
 FROM message WHERE event_type <> 'error' GROUP BY key""",
+    "latest_over_partitions": _SENT + """
+SELECT key, json AS value, 1048576 - 300 + "offset" // 2 AS "offset",
+       CAST("offset" % 2 AS INTEGER) AS partition, "offset" // 64 * 1000 AS millis
+FROM message WHERE event_type <> 'error'
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY "offset" // 64 DESC, "offset" % 2 DESC, "offset" DESC) = 1""",
     "payload_stream": _PAYLOADS + """,
 numbered AS (SELECT *, row_number() OVER (ORDER BY payload_id) AS n FROM parsed)
 SELECT '100' AS key, '{"stationId":100,"sequenceNumber":' || n
@@ -202,25 +226,10 @@ SELECT battery_status, count(*) AS readings,
        CAST(count(*) AS DOUBLE) * 100 / (SELECT count(*) FROM document) AS share_pct
 FROM document GROUP BY battery_status""",
     "dropped_per_station": _BY_STATION + "SELECT * FROM dropped",
-    "dropped_per_epoch": _LOSSY + """,
-restarted AS (
-    SELECT station_id, "offset", CASE WHEN s_no > 400 THEN s_no - 400 ELSE s_no END AS s_no
-    FROM document
-),
-marked AS (
-    SELECT *, CASE WHEN s_no < lag(s_no) OVER (PARTITION BY station_id ORDER BY "offset")
-                   THEN 1 ELSE 0 END AS reset
-    FROM restarted
-),
-phased AS (
-    SELECT *, CAST(sum(reset) OVER (PARTITION BY station_id ORDER BY "offset") AS BIGINT) AS epoch
-    FROM marked
-)
-SELECT station_id, epoch, max(s_no) AS expected, count(DISTINCT s_no) AS received,
-       max(s_no) - count(DISTINCT s_no) AS dropped,
-       CAST(max(s_no) - count(DISTINCT s_no) AS DOUBLE) / max(s_no) AS drop_rate
-FROM phased GROUP BY station_id, epoch""",
+    "dropped_per_epoch": _EPOCHS,
+    "dropped_per_epoch_archive": _EPOCHS,
     "sequence_gaps": _GAPS + "SELECT * FROM gap",
+    "gap_stream": _GAPS + "SELECT * FROM gap",
     "gaps_of_batches": _GAPS + "SELECT * FROM gap",
     "missing_numbers": _GAPS
     + "SELECT station_id, unnest(range(missing_from, missing_to + 1)) AS s_no FROM gap",
@@ -244,4 +253,6 @@ SELECT CAST(epoch_us(date_trunc('second', ts)) // 1000 AS BIGINT) AS window_star
        round(avg(value), 6) AS avg_value, max(value) AS max_value
 FROM events GROUP BY 1""",
     "dedup_documents": _SENT + f"SELECT {_DOCUMENT} FROM document",
+    "dedup_stream": _SENT + f"""
+SELECT {_DOCUMENT} FROM document WHERE event_type <> 'error' OR event_millis >= 1705363200000""",
 }

@@ -17,7 +17,7 @@ from station_telemetry.operators.documents import (
     required_fields,
 )
 from station_telemetry.plans import readings as r
-from station_telemetry.schemas import ARCHIVE_MIXED, STATUS
+from station_telemetry.schemas import ARCHIVE_EPOCHS, ARCHIVE_MIXED, STATUS
 from station_telemetry.session import new_folder, written
 from station_telemetry.sinks.archive import archive_rows, write_archive
 from station_telemetry.sinks.documents import document_table, ensure_target as create_target
@@ -25,12 +25,14 @@ from station_telemetry.sinks.export import export_csv, read_csv
 from station_telemetry.sinks.topics import file_writer, read_files
 from station_telemetry.sources.archive import archive_scan as scan, archive_stream as stream_archive
 from station_telemetry.sources.status import (
+    ANY_AGE,
     decode_texts,
     landed_messages,
     landed_payloads,
     landed_texts,
+    timed,
 )
-from station_telemetry.streaming import feeds
+from station_telemetry.streaming import feeds, intervals
 from station_telemetry.streaming.runs import run_once
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -374,6 +376,32 @@ def latest_of_texts(spark, sf_dir):
     return table.current().select("key", "value", "offset")
 
 
+@query("latest_over_partitions")
+def latest_over_partitions(spark, sf_dir):
+    """A topic whose partitions have changed: times tie, offsets lie around 2**20, batches come late.
+
+    The second pass brings older messages of every key too, and one compaction lies in between.
+    """
+    rows, place = _texts(spark, sf_dir), F.call_function("div", F.col("offset"), F.lit(2))
+    raw = rows.select(
+        *rows.columns[:2],
+        F.timestamp_millis(F.call_function("div", F.col("offset"), F.lit(64)) * 1000).alias("timestamp"),
+        (F.col("offset") % 2).cast("int").alias("partition"),
+        ((1 << 20) - 300 + place).alias("offset"),
+        (F.col("offset") % 3 == 0).alias("late"),
+    )
+    landed, checkpoint = new_folder(spark, "records"), new_folder(spark, "checkpoint")
+    table = feeds.latest_table(spark, new_folder(spark, "latest"), timed=True)
+    for late in (False, True):
+        raw.where(F.col("late") == late).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(raw.schema).option("maxFileAge", ANY_AGE).parquet(landed)
+        good, _ = decode_texts(timed(stream))
+        run_once(feeds.latest_table_feed(good, table, checkpoint), "latest")
+        if not late:
+            table.compact()
+    return table.current().select("key", "value", "offset", "partition", "millis")
+
+
 @query("payload_stream")
 def payload_stream(spark, sf_dir):
     """From landed payload texts to the latest reading of their station, through both feeds."""
@@ -454,6 +482,22 @@ def dropped_per_epoch(spark, sf_dir):
     return analytics.dropped_per_station(analytics.with_epoch(docs), by=("station_id", "epoch"))
 
 
+@query("dropped_per_epoch_archive")
+def dropped_per_epoch_archive(spark, sf_dir):
+    """The same from an archive: counters restart in the second of three streamed passes."""
+    rows = r.readings(spark, sf_dir, lossy=True)
+    number = F.col("sequenceNumber")
+    again = rows.withColumn("sequenceNumber", F.when(number > 400, number - 400).otherwise(number))
+    sent = r.as_messages(again)
+    landed, root, checkpoint = new_folder(spark, "messages"), new_folder(spark, "archive"), new_folder(spark, "checkpoint")
+    for least, most in ((0, 3_000), (3_000, 7_000), (7_000, 1 << 62)):
+        sent.where((F.col("offset") >= least) & (F.col("offset") < most)).write.mode("append").parquet(landed)
+        stream = landed_messages(spark, landed, streaming=True)
+        run_once(feeds.epoch_feed(stream, root, checkpoint), "epochs")
+    docs = normalize(scan(spark, root, ARCHIVE_EPOCHS), keep=("epoch",))
+    return analytics.dropped_per_station(docs, by=("station_id", "epoch"))
+
+
 @query("sequence_gaps")
 def sequence_gaps(spark, sf_dir):
     return analytics.sequence_gaps(r.documents(spark, sf_dir, lossy=True))
@@ -469,6 +513,24 @@ def gaps_of_batches(spark, sf_dir):
     return received.gaps(received.merged(spark.read.parquet(kept).drop("batch")))
 
 
+@query("gap_stream")
+def gap_stream(spark, sf_dir):
+    """Maintained gaps after three passes: late numbers, repeated ones, a restart before each pass.
+
+    The first pass has even numbers only, so the second closes gaps and splits none; the third
+    repeats numbers of both.
+    """
+    docs = r.documents(spark, sf_dir, lossy=True).select("station_id", "s_no")
+    landed, checkpoint = new_folder(spark, "numbers"), new_folder(spark, "checkpoint")
+    table = intervals.runs_table(spark, new_folder(spark, "ranges"))
+    even = F.col("s_no") % 2 == 0
+    for rows in (docs.where(even), docs.where(~even & (F.col("s_no") % 5 != 0)), docs.where((F.col("s_no") % 5 == 0) | (F.col("s_no") % 3 == 0))):
+        rows.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(docs.schema).option("maxFileAge", ANY_AGE).parquet(landed)
+        run_once(intervals.gap_feed(stream, table, checkpoint, bits=10), "gaps")
+    return intervals.gaps_of(table.current())
+
+
 @query("missing_numbers")
 def missing_numbers(spark, sf_dir):
     return analytics.missing_numbers(analytics.sequence_gaps(r.documents(spark, sf_dir, lossy=True)))
@@ -523,3 +585,22 @@ def dedup_documents(spark, sf_dir):
     docs = r.documents(spark, sf_dir)
     again = docs.withColumn("offset", F.col("offset") + r.REPLAY_SHIFT)
     return flat_documents(replace_by_id(docs.unionByName(again), "offset"))
+
+
+@query("dedup_stream")
+def dedup_stream(spark, sf_dir):
+    """Replays inside the bound and long after it, and readings that come too late for the first time.
+
+    Errors of the first half month are held back until the last pass, when the newest reading is days
+    past them.
+    """
+    docs = normalize(r.readings(spark, sf_dir), keep=("event_type",))
+    middle = F.timestamp_millis(F.lit(1_705_363_200_000))
+    early = F.col("event_time") < middle
+    held = early & (F.col("event_type") == "error")
+    landed, out, checkpoint = new_folder(spark, "delivered"), new_folder(spark, "documents"), new_folder(spark, "checkpoint")
+    for rows in (docs.where(early & ~held), docs.where(~early).unionByName(docs.where(early & ~held)), docs):
+        rows.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(docs.schema).option("maxFileAge", ANY_AGE).parquet(landed)
+        run_once(feeds.dedup_feed(stream, out, checkpoint), "dedup")
+    return flat_documents(read_files(spark, out))

@@ -39,6 +39,9 @@ STREAM = T.StructType(
     ]
 )
 
+# What orders messages across partitions, where the source tells it.
+STREAM_ORDER = T.StructType([T.StructField("millis", T.LongType()), T.StructField("partition", T.IntegerType())])
+
 # The archive keeps stationId in the file and repeats it as a partition column. Reading with
 # this schema keeps station_id a BIGINT; partition inference would make it an INT.
 ARCHIVE = T.StructType(
@@ -49,6 +52,11 @@ ARCHIVE = T.StructType(
     ]
 )
 
+# An archive that also tells the arrival order and the run of a station's counter.
+ARCHIVE_EPOCHS = T.StructType(
+    [*ARCHIVE.fields, T.StructField("offset", T.LongType()), T.StructField("epoch", T.LongType())]
+)
+
 DOCUMENT = T.StructType(
     [
         T.StructField("doc_id", T.StringType()),

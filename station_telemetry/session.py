@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,16 @@ def sized_for(input_bytes: int) -> dict[str, str]:
     }
 
 
+def prepare_state(spark: SparkSession) -> None:
+    """What queries with keyed state of their own expect of a session that `build_session` did not make.
+
+    State in RocksDB, and Python workers that find this package where the driver runs from a checkout.
+    """
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, DEFAULTS[provider])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[1]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor reaches: `spark.checkpoint.dir`, or the context's checkpoint folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -26,11 +26,11 @@ def _usable():
     return F.col("stationId").isNotNull() & F.col("statusTimeStamp").isNotNull()
 
 
-def archive_rows(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
+def archive_rows(readings: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(rows with their partition columns, rejected readings without a station or time)."""
     rows = (
         readings.where(_usable())
-        .select(*STATUS.names)
+        .select(*STATUS.names, *keep)
         .withColumn("station_id", F.col("stationId"))
         .withColumn("date", utc_date(F.col("statusTimeStamp")))
     )
@@ -43,18 +43,23 @@ def beside(root: str, what: str) -> str:
 
 
 def write_archive(
-    readings: DataFrame, root: str, records_per_file: int = 0, batch: str | None = None
+    readings: DataFrame,
+    root: str,
+    records_per_file: int = 0,
+    batch: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> int:
     """Adds readings to the archive and returns how many were rejected.
 
     Rejects go to `<root>-rejects/batch=…`. Rebalancing gathers a folder's rows into few files,
     and AQE splits a folder that is larger than the advisory partition size over several tasks,
-    so a hot station does not become one. Writing the same `batch` again replaces it.
+    so a hot station does not become one. Writing the same `batch` again replaces it. `keep` names
+    further columns for the archive.
     """
     name = batch or uuid.uuid4().hex
     seen = Observation()
     counted = readings.observe(seen, F.count_if(~_usable()).alias("rejected"))
-    rows, _ = archive_rows(counted)
+    rows, _ = archive_rows(counted, keep)
     (
         rows.withColumn("batch", F.lit(name))
         .hint("rebalance", "station_id", "date")
@@ -69,7 +74,7 @@ def write_archive(
     if rejected:
         path = f"{beside(root, 'rejects')}/batch={name}"
         log.warning("%d readings without station or time: %s", rejected, path)
-        archive_rows(readings)[1].write.mode("overwrite").parquet(path)
+        archive_rows(readings, keep)[1].write.mode("overwrite").parquet(path)
     return rejected
 
 

@@ -24,19 +24,28 @@ BUCKETS = 32
 
 
 class KeyedTable:
-    """`columns` must contain the key and a comparable `order` column, the order within a batch.
+    """`columns` must contain the key and comparable `order` columns, the order within a batch.
 
-    `buckets` counts when the table is new; an existing table keeps its number.
+    Rows of a later batch come after those of earlier ones; with `by_order`, only the order columns
+    count, and the batch where they are equal. `buckets` counts when the table is new; an existing table keeps its number.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, columns: T.StructType, key: str, order: str, buckets: int = BUCKETS
+        self,
+        spark: SparkSession,
+        root: str,
+        columns: T.StructType,
+        key: str,
+        order: str | tuple[str, ...],
+        buckets: int = BUCKETS,
+        by_order: bool = False,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.columns = columns
         self.key = key
-        self.order = order
+        self.order = (order,) if isinstance(order, str) else order
+        self.by_order = by_order
         self._wanted_buckets = buckets
 
     position = staticmethod(generations.position)
@@ -100,8 +109,8 @@ class KeyedTable:
             .option("basePath", log)
             .parquet(*[f"{log}/position={p}" for p in found])
         )
-        ranked = rows.withColumn("_arrived", F.struct("position", self.order))
-        return latest(ranked, self.key, "_arrived").select(*self.columns.names)
+        arrived = (*self.order, "position") if self.by_order else ("position", *self.order)
+        return latest(rows, self.key, arrived).select(*self.columns.names)
 
     def _settled(self, buckets: dict[int, int]) -> DataFrame:
         if not buckets:
@@ -124,7 +133,12 @@ class KeyedTable:
         return self._with(settled, self._changes(through, upto))
 
     def _with(self, settled: DataFrame, replaced: DataFrame) -> DataFrame:
-        return settled.join(replaced.select(self.key), self.key, "left_anti").unionByName(replaced)
+        keys = replaced.select(self.key)
+        if self.by_order:
+            # A settled row may be newer than the change. On a tie both are the same message.
+            both = settled.join(keys, self.key, "left_semi").unionByName(replaced)
+            replaced = latest(both, self.key, self.order)
+        return settled.join(keys, self.key, "left_anti").unionByName(replaced)
 
     def lookup(self, key: str) -> DataFrame:
         """The live row of one key: one bucket of the snapshot and the changes since are opened."""

@@ -55,7 +55,7 @@ def avro_value(raw: Column) -> Column:
 
 def decode(raw: DataFrame, value: Column) -> DataFrame:
     """Kafka records to messages by an expression that fails on what it can't decode."""
-    return raw.select(F.col("key").cast("string").alias("key"), value.alias("value"), _arrival(raw))
+    return raw.select(F.col("key").cast("string").alias("key"), value.alias("value"), *_arrival(raw))
 
 
 def decode_texts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,30 +65,31 @@ def decode_texts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     never becomes a reading of nulls.
     """
     keyed = raw.select(
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("text"), _arrival(raw)
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("text"), *_arrival(raw)
     )
+    order = keyed.columns[2:]
     nothing = F.lit(None).cast(STATUS)
-    silent = keyed.where(F.col("text").isNull()).select("key", nothing.alias("value"), "offset")
+    silent = keyed.where(F.col("text").isNull()).select("key", nothing.alias("value"), *order)
     good, bad = decode_json_split(keyed.where(F.col("text").isNotNull()), "text", "value", STATUS)
-    return good.select("key", "value", "offset").unionByName(silent), bad.select("key", "text", "offset")
+    return good.select("key", "value", *order).unionByName(silent), bad.select("key", "text", "offset")
 
 
-def _arrival(raw: DataFrame) -> Column:
-    """The order of a message as one number: its offset.
+def _arrival(raw: DataFrame) -> list[Column]:
+    """The order of a message: its offset, after time and partition where `timed` has marked them.
 
-    A key stays in one partition while the number of partitions does. Where it was changed,
-    `by_time` orders by the broker's time first.
+    A key stays in one partition while the number of partitions does. Where it was changed, only the
+    broker's time tells which of a key's messages is newer.
     """
-    return F.col("offset").cast("bigint").alias("offset")
+    marks = [F.col(c) for c in ("millis", "partition") if "millis" in raw.columns]
+    return [F.col("offset").cast("bigint").alias("offset"), *marks]
 
 
-def by_time(raw: DataFrame) -> DataFrame:
-    """Raw records whose `offset` orders across partitions: by time in milliseconds, then offset.
+def timed(raw: DataFrame) -> DataFrame:
+    """Raw records whose messages are ordered across partitions: by broker's time, partition, offset.
 
-    Time takes the upper bits; the lower 20 tell messages of one millisecond apart.
+    The three stay columns of their own, so any number of messages may share a millisecond.
     """
-    millis = F.unix_millis(F.col("timestamp"))
-    return raw.withColumn("offset", F.shiftleft(millis, 20) + F.col("offset") % (1 << 20))
+    return raw.withColumn("millis", F.unix_millis(F.col("timestamp"))).withColumn("partition", F.col("partition").cast("int"))
 
 
 def landed_messages(

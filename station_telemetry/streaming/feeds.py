@@ -11,8 +11,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from station_telemetry import files
 from station_telemetry.functions import record_json
-from station_telemetry.operators import openmeteo
+from station_telemetry.operators import analytics, openmeteo
 from station_telemetry.operators.documents import (
+    drop_replays,
     has_required_fields,
     normalize,
     normalize_mixed,
@@ -20,10 +21,10 @@ from station_telemetry.operators.documents import (
 )
 from station_telemetry.operators.rain import rain_events
 from station_telemetry.operators.state import keyed_messages, latest
-from station_telemetry.schemas import SNAPSHOT, STATUS
+from station_telemetry.schemas import SNAPSHOT, STATUS, STREAM_ORDER
 from station_telemetry.session import scratch, written
 from station_telemetry.sinks import generations
-from station_telemetry.sinks.archive import archive_writer
+from station_telemetry.sinks.archive import archive_writer, beside, write_archive
 from station_telemetry.sinks.keyed import KeyedTable
 from station_telemetry.sinks.topics import file_writer, rain_frame
 
@@ -42,6 +43,61 @@ def archive_feed(messages: DataFrame, root: str, checkpoint: str) -> DataStreamW
     return archive_writer(messages.where("value is not null").select("value.*"), root, checkpoint)
 
 
+def epoch_feed(messages: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
+    """Every reading into the archive, with its offset and the epoch of its station's counter.
+
+    An epoch begins whenever a number falls below the one before it in arrival order. Within a batch
+    resets are found in slices, so a hot station is many tasks; from batch to batch each station's
+    last number and epoch go on from `<root>-epochs/position=<batch>/`, one row a station. A retried
+    batch starts from the same rows and overwrites its folders; a new checkpoint begins anew, and what
+    it reads again gets the same epochs. Offsets must be unique within a station. Readings without
+    station, number or offset have no epoch.
+    """
+
+    def carried(spark: SparkSession, folder: str, place: int) -> DataFrame:
+        schema = "stationId bigint, _number bigint, _epoch bigint"
+        names = files.child_names(spark, folder)
+        first = place - place % generations.GENERATION_SIZE
+        earlier = sorted(p for p in (int(n.partition("=")[2]) for n in names if n.startswith("position=")) if first <= p < place)
+        if not earlier:
+            return spark.createDataFrame([], schema)
+        for old in earlier[:-1]:
+            files.remove_folder(spark, f"{folder}/position={old}")
+        return spark.read.schema(schema).parquet(f"{folder}/position={earlier[-1]}")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        place = generations.position_of(batch, batch_id, beside(root, "generations"))
+        folder = beside(root, "epochs")
+        with scratch(spark):
+            rows = batch.where("value is not null").select("value.*", "offset")
+            ordered = rows.dropna(subset=["stationId", "sequenceNumber", "offset"])
+            marked = written(analytics.with_epoch(ordered, "stationId", "sequenceNumber", "offset"), "epochs")
+            ends = marked.groupBy("stationId").agg(
+                F.min_by("sequenceNumber", "offset").alias("first"),
+                F.max_by("sequenceNumber", "offset").alias("last"),
+                F.max("epoch").alias("own"),
+            )
+            begin = F.coalesce("_epoch", F.lit(0)) + F.when(F.col("first") < F.col("_number"), 1).otherwise(0)
+            before = carried(spark, folder, place)
+            begins = written(
+                ends.join(before, "stationId", "full").select(
+                    "stationId", begin.alias("begin"), F.coalesce("last", "_number").alias("_number"),
+                    F.coalesce(begin + F.col("own"), F.col("_epoch")).alias("_epoch"),
+                ),
+                "begins",
+            )
+            numbered = marked.join(begins.select("stationId", "begin"), "stationId").withColumn(
+                "epoch", F.col("epoch") + F.col("begin")
+            )
+            unplaced = rows.where("stationId is null or sequenceNumber is null or offset is null")
+            every = numbered.drop("begin").unionByName(unplaced.withColumn("epoch", F.lit(None).cast("bigint")))
+            write_archive(every, root, batch=f"stream-{place}", keep=("offset", "epoch"))
+            begins.select("stationId", "_number", "_epoch").write.mode("overwrite").parquet(f"{folder}/position={place}")
+
+    return messages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+
+
 def rejects_feed(rejected: DataFrame, messages: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
     """What no feed can use, once for all of them: undecodable text and messages without a key."""
     unkeyed = messages.where("key is null").select("key", record_json(F.col("value")).alias("text"), "offset")
@@ -58,9 +114,14 @@ def latest_feed(messages: DataFrame) -> DataFrame:
     )
 
 
-def latest_table(spark: SparkSession, root: str) -> KeyedTable:
-    columns = T.StructType([*SNAPSHOT.fields, T.StructField("offset", T.LongType())])
-    return KeyedTable(spark, root, columns, "key", "offset")
+def latest_table(spark: SparkSession, root: str, timed: bool = False) -> KeyedTable:
+    """The newest reading per key: of the last batch, or of the latest time whatever its batch.
+
+    Tables made before messages carried time and partition read these as null, which come first.
+    """
+    order = T.StructType([*STREAM_ORDER.fields, T.StructField("offset", T.LongType())])
+    columns = T.StructType([*SNAPSHOT.fields, *order.fields])
+    return KeyedTable(spark, root, columns, "key", tuple(order.names), by_order=timed)
 
 
 def _settle(table: KeyedTable, batch_id: int, compact_every: int | None) -> None:
@@ -77,7 +138,8 @@ def latest_table_feed(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         kept, _ = keyed_messages(batch)
-        newest = latest(kept.select("key", "value", "offset"), "key", "offset")
+        marks = [F.col(f.name) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in STREAM_ORDER]
+        newest = latest(kept.select("key", "value", *marks, "offset"), "key", table.order)
         table.upsert(
             newest.withColumn("value", record_json(F.col("value"))), table.place(batch, batch_id)
         )
@@ -119,6 +181,16 @@ def ingest_feed(
     return rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
+def dedup_feed(documents: DataFrame, root: str, checkpoint: str, within: str = "1 hour") -> DataStreamWriter:
+    """Documents without replays, as files; state is bounded by time.
+
+    A number of a station passes once. Spark remembers it until the newest event time seen is `within`
+    past its own; a replay that comes later than that is older than the watermark, and so are documents
+    that come so late for the first time: both are left out, and counted in the query's progress.
+    """
+    return file_writer(drop_replays(documents, within), root, checkpoint)
+
+
 def payload_feed(payloads: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
     """Third-party payloads (payload, stationId, arrived) as numbered readings.
 

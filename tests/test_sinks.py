@@ -246,11 +246,27 @@ def test_decode_of_raw_records(spark):
 
 
 def test_order_across_partitions(spark):
-    raw = spark.createDataFrame([(10, 9), (11, 1)], "ms long, offset long").selectExpr(
-        "timestamp_millis(ms) timestamp", "offset"
-    )
-    earlier, later = (r.offset for r in status.by_time(raw).orderBy("timestamp").collect())
-    assert earlier < later
+    """Time, then partition, then offset, also where 2**20 offsets share a millisecond."""
+    rows = [("a", 10, 0, 1 << 20), ("b", 10, 0, (1 << 20) - 1), ("c", 10, 1, 3), ("d", 11, 0, 0), ("e", 9, 5, 1 << 40)]
+    raw = spark.createDataFrame(rows, "value string, ms long, partition int, offset long").withColumn("timestamp", F.timestamp_millis("ms"))
+    messages = status.decode(status.timed(raw.withColumn("key", F.lit("k"))), F.col("value"))
+    placed = messages.orderBy("millis", "partition", "offset").collect()
+    assert [r.value for r in placed] == ["e", "b", "a", "c", "d"]
+    assert "millis" not in status.decode(raw.withColumn("key", F.lit("k")), F.col("value")).columns
+
+
+def test_a_late_batch_of_older_rows_changes_nothing(spark, tmp_path):
+    """By order, whichever batch or snapshot the newest row is in."""
+    columns = T.StructType([T.StructField("key", T.StringType()), T.StructField("v", T.StringType()), T.StructField("t", T.LongType()), T.StructField("o", T.LongType())])
+    table = KeyedTable(spark, str(tmp_path / "t"), columns, "key", ("t", "o"), by_order=True)
+    table.upsert(spark.createDataFrame([("a", "new", 5, 1), ("b", "old", 1, 1), ("c", "only", None, 7)], columns), 0)
+    table.compact()
+    table.upsert(spark.createDataFrame([("a", "late", 4, 9), ("b", "new", 1, 2), ("c", "timed", 0, 0)], columns), 1)
+    want = {"a": "new", "b": "new", "c": "timed"}
+    assert {r.key: r.v for r in table.current().collect()} == want
+    assert table.lookup("a").first().v == "new"
+    table.compact()
+    assert {r.key: r.v for r in table.current().collect()} == want
 
 
 def test_rain_can_be_encoded(spark):
