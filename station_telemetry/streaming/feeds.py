@@ -69,8 +69,10 @@ def epoch_feed(messages: DataFrame, root: str, checkpoint: str) -> DataStreamWri
         spark = batch.sparkSession
         place = generations.position_of(batch, batch_id, beside(root, "generations"))
         folder = beside(root, "epochs")
+        rows = batch.where("value is not null").select("value.*", "offset")
+        if rows.isEmpty():  # nothing to write, and the next batch goes on from an earlier one
+            return
         with scratch(spark):
-            rows = batch.where("value is not null").select("value.*", "offset")
             ordered = rows.dropna(subset=["stationId", "sequenceNumber", "offset"])
             marked = written(analytics.with_epoch(ordered, "stationId", "sequenceNumber", "offset"), "epochs")
             ends = marked.groupBy("stationId").agg(

@@ -103,6 +103,8 @@ def test_epochs_go_on_from_batch_to_batch(spark, tmp_path):
     batches = [
         [message(1, 1, 0), message(1, 2, 1), message(1, 1, 2), message(2, 5, 3), message(3, None, 4), message(None, None, 5)],
         [message(1, 2, 6), message(1, 3, 7), message(2, 1, 8), message(2, 2, 9)],
+        [],
+        [("9", None, 99)],
         [message(1, 1, 10), message(1, 1, 11), message(2, 3, 12)],
     ]
     root, landed = str(tmp_path / "archive"), str(tmp_path / "landed")
