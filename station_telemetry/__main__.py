@@ -48,7 +48,7 @@ def central(spark, args) -> int:
         raise SystemExit("landed messages hold decoded records: --avro goes with --servers")
 
     def stream(flush_policy: bool = False):
-        """(messages, rejected texts or None): Avro that can't be decoded ends the query."""
+        """(messages, rejected texts or None): only texts can be undecodable; such Avro ends the query."""
         if args.messages:
             return status.landed_messages(spark, args.messages, streaming=True), None
         raw = status.subscribe(spark, status.kafka_options(args.servers, flush_policy=flush_policy))
@@ -76,9 +76,8 @@ def central(spark, args) -> int:
     runs.add(start(latest, "latest", args.once, DEFAULT_INTERVAL_SECONDS))
     runs.add(start(archive, "archive", args.once, interval))
     messages, rejected = stream()
-    if rejected is not None:
-        rejects = feeds.rejects_feed(rejected, messages, f"{args.data}/rejects", checkpoint("rejects"))
-        runs.add(start(rejects, "rejects", args.once, DEFAULT_INTERVAL_SECONDS))
+    rejects = feeds.rejects_feed(rejected, messages, f"{args.data}/rejects", checkpoint("rejects"))
+    runs.add(start(rejects, "rejects", args.once, DEFAULT_INTERVAL_SECONDS))
     runs.finish() if args.once else runs.run()
     return 0
 

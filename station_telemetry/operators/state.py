@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from station_telemetry.functions import record_json
+from station_telemetry.session import written
 
 RECORD_HEADER_BYTES = 8  # fixed value: two four-byte lengths before key and value
 
@@ -86,13 +87,71 @@ def overwrite_stats(log: DataFrame, value: Column, key: str = "key", order: str
     )
 
 
-def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """One row (total, missing, stale): expected entries that `actual` lacks or holds differently."""
-    found = actual.select("key", F.col("value").alias("_actual"), F.lit(True).alias("_found"))
-    missing = F.col("_found").isNull()
+def _placed(rows: DataFrame, ranges: int, parts: int) -> DataFrame:
+    """Adds the range of a key's hash and the part of it."""
+    place = F.xxhash64("key")
+    return rows.withColumn("_range", F.pmod(place, F.lit(ranges))).withColumn(
+        "_part", F.pmod(F.shiftrightunsigned(place, 32), F.lit(parts))
+    )
+
+
+def _unequal(expected: DataFrame, actual: DataFrame, by: list[str]) -> DataFrame:
+    """The places where two sides differ, by sums of two hashes of their entries: a row each.
+
+    The sums don't depend on order and are combined in tasks, so a side sends a row a place and task.
+    A value's absence is hashed too.
+    """
+    entry = [F.col("key"), F.col("value").isNull(), F.col("value")]
+    hashes = [F.xxhash64(F.lit(seed), *entry) for seed in (1, 2)]
+    halves = [half for h in hashes for half in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        sums = [(F.lit(sign) * half).alias(f"_s{k}") for k, half in enumerate(halves)]
+        return rows.select(*by, F.lit(sign).cast("bigint").alias("_n"), *sums)
+
+    names = ["_n", *[f"_s{k}" for k in range(len(halves))]]
+    differs = F.lit(False)
+    for name in names:
+        differs = differs | (F.col(name) != 0)
+    both = signed(expected, 1).unionByName(signed(actual, -1))
+    return both.groupBy(*by).agg(*[F.sum(n).alias(n) for n in names]).where(differs).select(*by)
+
+
+def in_unequal_ranges(
+    expected: DataFrame, actual: DataFrame, ranges: int = 1024, parts: int = 256
+) -> tuple[DataFrame, DataFrame]:
+    """The entries (key, value) of both sides that lie where the sides differ.
+
+    Sums are compared for `ranges` ranges of the keys' hashes, then for `parts` parts of each range
+    that differs. Only places that differ are kept, at most one row a part, so Spark sees small tables
+    and filters both sides without moving their rows.
+    """
+    sides = [_placed(s.select("key", "value"), ranges, parts) for s in (expected, actual)]
+    for by in (["_range"], ["_range", "_part"]):
+        found = written(_unequal(*sides, by), "unequal")
+        sides = [s.join(found, by, "left_semi") for s in sides]
+    return tuple(s.select("key", "value") for s in sides)
+
+
+def reconcile(expected: DataFrame, actual: DataFrame, ranges: int = 1024, parts: int = 256) -> DataFrame:
+    """One row (total, missing, stale): expected entries that `actual` lacks or holds differently.
+
+    Both are snapshots, one entry a key, and are read three times: pass tables. Where the sides agree
+    (`in_unequal_ranges`) nothing is joined. An expected entry without a key is missing; one of
+    `actual` counts for nothing. Empty sides give zeros, or all missing.
+    """
+    keyed, held = expected.where("key is not null"), actual.where("key is not null")
+    left, right = in_unequal_ranges(keyed, held, ranges, parts)
+    found = right.select("key", F.col("value").alias("_actual"), F.lit(True).alias("_found"))
     stale = F.col("_found") & ~F.col("value").eqNullSafe(F.col("_actual"))
-    return expected.join(found, "key", "left").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(missing).alias("missing"),
+    compared = left.join(found, "key", "left").agg(
+        F.lit(0).cast("bigint").alias("total"),
+        F.count_if(F.col("_found").isNull()).alias("missing"),
         F.count_if(stale).alias("stale"),
     )
+    counted = expected.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("key").isNull()).alias("missing"),
+        F.lit(0).cast("bigint").alias("stale"),
+    )
+    return compared.unionByName(counted).agg(*[F.sum(n).alias(n) for n in ("total", "missing", "stale")])

@@ -175,6 +175,10 @@ SELECT key, arg_max(json, "offset") AS value, max("offset") AS "offset"
 FROM message GROUP BY key""",
     "feed_rejects": _SENT + """
 SELECT key, substr(json, 1, 20) AS text, "offset" FROM message WHERE event_type = 'error'""",
+    "feed_rejects_landed": _SENT + """
+SELECT CASE WHEN event_type = 'view' THEN key END AS key,
+       CASE WHEN event_type = 'click' THEN json END AS text, "offset"
+FROM message WHERE event_type IN ('click', 'view', 'error')""",
     "latest_of_texts": _SENT + """
 SELECT key, arg_max(json, "offset") AS value, max("offset") AS "offset"
 FROM message WHERE event_type <> 'error' GROUP BY key""",
@@ -190,6 +194,11 @@ SELECT '100' AS key, '{"stationId":100,"sequenceNumber":' || n
        || ',"weatherStatus":{"humidity":' || humidity || ',"temperature":' || CAST(temperature AS VARCHAR)
        || ',"windSpeed":12.5}}' AS value, n AS "offset"
 FROM numbered QUALIFY n = max(n) OVER ()""",
+    "payload_numbers": _PAYLOADS + """
+SELECT "stationId", row_number() OVER (ORDER BY payload_id) AS "sequenceNumber",
+       'NOT_AVAILABLE' AS "batteryStatus", CAST(epoch_us(minute) // 1000 AS BIGINT) AS "statusTimeStamp",
+       humidity, temperature, CAST(12.5 AS DOUBLE) AS "windSpeed"
+FROM parsed""",
     "get_status": _SENT + """,
 live AS (SELECT key, arg_max(json, "offset") AS value FROM message GROUP BY key),
 asked AS (SELECT DISTINCT CAST(user_id % 15 + 1 AS VARCHAR) AS key FROM events)

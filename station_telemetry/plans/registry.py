@@ -366,6 +366,22 @@ def feed_rejects(spark, sf_dir):
     return read_files(spark, out)
 
 
+@query("feed_rejects_landed")
+def feed_rejects_landed(spark, sf_dir):
+    """Landed messages, clicks without a key and views without a reading; errors lack both."""
+    rows = r.readings(spark, sf_dir)
+    kind, whole = F.col("event_type"), F.struct(*STATUS.names)
+    holed = rows.select(
+        F.when(~kind.isin("click", "error"), F.col("stationId").cast("string")).alias("key"),
+        F.when(~kind.isin("view", "error"), whole).alias("value"),
+        "offset",
+    )
+    landed, out = r.land(holed, "messages"), new_folder(spark, "rejects")
+    messages = landed_messages(spark, landed, streaming=True)
+    run_once(feeds.rejects_feed(None, messages, out, new_folder(spark, "checkpoint")), "rejects")
+    return read_files(spark, out)
+
+
 @query("latest_of_texts")
 def latest_of_texts(spark, sf_dir):
     """The latest readings of the same feed: a broken text never replaces a reading."""
@@ -402,22 +418,39 @@ def latest_over_partitions(spark, sf_dir):
     return table.current().select("key", "value", "offset", "partition", "millis")
 
 
+def _numbered_payloads(spark, sf_dir) -> str:
+    """Payloads landed in three parts, each followed by a pass of the feed, which starts again each time.
+
+    A part is range-sorted into several files, whose names follow the order of the events.
+    """
+    landed, root, checkpoint = new_folder(spark, "payloads"), new_folder(spark, "openmeteo"), new_folder(spark, "checkpoint")
+    sent, number = r.payloads(spark, sf_dir), F.col("payload_id")
+    for least, most in ((0, 3_000), (3_000, 7_000), (7_000, 1 << 62)):
+        part = sent.where((number >= least) & (number < most))
+        part.repartitionByRange("payload_id").sortWithinPartitions("payload_id").select("payload").write.mode(
+            "append"
+        ).text(landed)
+        stream = landed_payloads(spark, landed, 100, streaming=True, by_name=True)
+        run_once(feeds.payload_feed(stream, root, checkpoint), "payloads")
+    return root
+
+
 @query("payload_stream")
 def payload_stream(spark, sf_dir):
     """From landed payload texts to the latest reading of their station, through both feeds."""
-    landed, root = new_folder(spark, "payloads"), new_folder(spark, "openmeteo")
-    # One file in the order of the events, since numbers follow the order of lines.
-    r.payloads(spark, sf_dir).repartitionByRange(1, "payload_id").sortWithinPartitions("payload_id").select(
-        "payload"
-    ).write.text(landed)
-    stream = landed_payloads(spark, landed, 100, streaming=True)
-    run_once(feeds.payload_feed(stream, root, new_folder(spark, "checkpoint")), "payloads")
+    root = _numbered_payloads(spark, sf_dir)
     table = feeds.latest_table(spark, new_folder(spark, "latest"))
     messages = landed_messages(spark, f"{root}/messages", streaming=True)
     run_once(feeds.latest_table_feed(messages, table, new_folder(spark, "checkpoint")), "latest")
     return table.current().select("key", "value", "offset")
 
 
+@query("payload_numbers")
+def payload_numbers(spark, sf_dir):
+    """Every reading of the same feed: numbers go on over the passes, without gaps or copies."""
+    return flat_status(feeds.payload_readings(spark, _numbered_payloads(spark, sf_dir)))
+
+
 @query("get_status")
 def get_status(spark, sf_dir):
     """Asks for fifteen station keys, ten of which exist."""
@@ -451,9 +484,9 @@ def overwrite_stats(spark, sf_dir):
 def reconcile_snapshot(spark, sf_dir):
     """A snapshot that never saw error events, against the full one, per user."""
     rows = r.readings(spark, sf_dir)
-    expected = state.latest_status(r.as_messages(rows, "user_id"))
+    expected = written(state.latest_status(r.as_messages(rows, "user_id")), "expected")
     seen = rows.where(F.col("event_type") != "error")
-    return state.reconcile(expected, state.latest_status(r.as_messages(seen, "user_id")))
+    return state.reconcile(expected, written(state.latest_status(r.as_messages(seen, "user_id")), "actual"))
 
 
 # Analyses

@@ -109,19 +109,21 @@ def landed_texts(spark: SparkSession, path: str, streaming: bool = False) -> Dat
 
 
 def landed_payloads(
-    spark: SparkSession, path: str, station_id: int, streaming: bool = False
+    spark: SparkSession, path: str, station_id: int, streaming: bool = False, by_name: bool = False
 ) -> DataFrame:
     """Third-party JSON payloads landed as text, one per line: (payload, stationId, arrived).
 
     `arrived` orders them by file time, file and split. Within a split, lines are read in order
-    by one task.
+    by one task. `by_name` leaves the time out, for collectors that write several files at once and
+    name them in the order of their payloads, as a range-partitioned Spark job does.
     """
     reader = spark.readStream.option("maxFileAge", ANY_AGE) if streaming else spark.read
+    time = F.lit(0).cast("bigint") if by_name else F.unix_millis(F.col("_metadata.file_modification_time"))
     return reader.text(path).select(
         F.col("value").alias("payload"),
         F.lit(station_id).cast("bigint").alias("stationId"),
         F.struct(
-            F.unix_millis(F.col("_metadata.file_modification_time")).alias("millis"),
+            time.alias("millis"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("split"),
         ).alias("arrived"),

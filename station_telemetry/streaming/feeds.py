@@ -100,10 +100,15 @@ def epoch_feed(messages: DataFrame, root: str, checkpoint: str) -> DataStreamWri
     return messages.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
-def rejects_feed(rejected: DataFrame, messages: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
-    """What no feed can use, once for all of them: undecodable text and messages without a key."""
-    unkeyed = messages.where("key is null").select("key", record_json(F.col("value")).alias("text"), "offset")
-    return file_writer(rejected.unionByName(unkeyed), root, checkpoint)
+def rejects_feed(rejected: DataFrame | None, messages: DataFrame, root: str, checkpoint: str) -> DataStreamWriter:
+    """What the keyed feeds can't use, once for all of them, as (key, text, offset).
+
+    That is undecodable text, if the source tells it apart, and messages without a key or without a
+    value, whatever they came as; the text of a value that is null is null.
+    """
+    unusable = keyed_messages(messages)[1].select("key", record_json(F.col("value")).alias("text"), "offset")
+    every = unusable if rejected is None else rejected.unionByName(unusable)
+    return file_writer(every, root, checkpoint)
 
 
 def latest_feed(messages: DataFrame) -> DataFrame:

@@ -30,6 +30,18 @@ def test_central_ingest_and_views(spark, tmp_path, capsys):
     assert table.count() == 300 and table.agg(F.count_distinct("doc_id")).first()[0] == 300
 
 
+def test_central_keeps_what_no_feed_can_use(spark, tmp_path):
+    landed, data = str(tmp_path / "landed"), str(tmp_path / "data")
+    messages = make_messages(spark, 0, 30)
+    key = F.when(F.col("offset") != 4, F.col("key")).alias("key")
+    value = F.when(F.col("offset") != 5, F.col("value")).alias("value")
+    messages.select(key, value, "offset").write.parquet(landed)
+    assert main(["central", "--messages", landed, "--data", data, "--once"]) == 0
+    got = {r.offset: (r.key, r.text) for r in spark.read.parquet(f"{data}/rejects").collect()}
+    assert set(got) == {4, 5} and got[4][0] is None and '"sequenceNumber"' in got[4][1]
+    assert got[5][0] is not None and got[5][1] is None
+
+
 def test_payloads(spark, tmp_path):
     (tmp_path / "landed").mkdir()
     (tmp_path / "landed" / "1.txt").write_text('{"current":{"time":"2024-01-01T10:15"}}\n')

@@ -190,6 +190,34 @@ def test_many_overwrites_reconcile_after_compaction(spark):
     assert tuple(state.reconcile(expected, halfway).first()) == (1000, 1, 500)
 
 
+def test_reconcile_joins_only_what_differs(spark):
+    """Of 20,000 entries one is changed, one is gone and one is there too many: few rows meet."""
+    expected = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").cast("string").alias("value"))
+    changed = F.when(F.col("key") != "k7", F.col("value")).alias("value")
+    actual = expected.select("key", changed).where("key <> 'k9'").union(spark.sql("select 'more', 'x'"))
+    left, right = state.in_unequal_ranges(expected, actual)
+    assert 2 <= left.count() < 20 and 2 <= right.count() < 20
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(key" not in plan
+    assert tuple(state.reconcile(expected, actual).first()) == (20_000, 1, 1)
+    assert [side.count() for side in state.in_unequal_ranges(expected, expected)] == [0, 0]
+
+
+def test_reconcile_odd_entries(spark):
+    def side(*rows):
+        return spark.createDataFrame(rows, "key string, value string")
+
+    nothing = side()
+    assert tuple(state.reconcile(nothing, nothing).first()) == (0, 0, 0)
+    assert tuple(state.reconcile(nothing, side(("a", "1"), (None, "2"))).first()) == (0, 0, 0)
+    assert tuple(state.reconcile(side(("a", "1"), ("b", None), (None, "2")), nothing).first()) == (3, 3, 0)
+    full = side(("a", None), ("b", ""), ("c", "x"), (None, "n"))
+    assert tuple(state.reconcile(full, full).first()) == (4, 1, 0)
+    assert tuple(state.reconcile(full, side(("a", ""), ("b", None), ("c", "x"))).first()) == (4, 1, 2)
+    # One range and part: all entries are joined, the result is the same.
+    assert tuple(state.reconcile(full, side(("a", ""), ("c", "x")), ranges=1, parts=1).first()) == (4, 2, 1)
+
+
 # Analyses
 
 
