@@ -7,8 +7,9 @@ group of contexts is searched, and in which of several equal windows stays.
 2. Runs whose anchor may repeat are written with their place and, once for each task, the units
    they cover: their context.
 3. Equal contexts are counted, summed per task before the shuffle, however often they occur. Where
-   an anchor has several different contexts, they go to the anchor's group, a copy from each task
-   at most, and groups are searched by a suffix array or suffix tree. A group above `GROUP_UNITS`
+   an anchor has several contexts, or one that occurs again, they go to the anchor's group, a copy
+   from each task at most; one copy with its count is searched by a suffix array or suffix tree, and
+   nothing is removed but by its verdict. A group above `GROUP_UNITS`
    is split by further anchors, taken with other hashes, which equal windows share as well. Where
    `SPLITS` of these leave a group of words above it, its windows are compared whole, by a shuffle.
 4. The verdicts are joined back to the places, as ranges of units for each document. Texts cross
@@ -49,7 +50,7 @@ SHARD_BYTES = 1 << 20
 SENT = 2_000_000
 
 _RUNS = "anchor long, digest long, doc long, tkey long, start int, windows int, text binary"
-_CONTEXTS = "route long, anchor long, digest long, base int, windows int, doc long, start int, text binary"
+_CONTEXTS = "route long, anchor long, digest long, base int, windows int, n long, doc long, start int, text binary"
 
 
 @dataclass(frozen=True)
@@ -124,7 +125,7 @@ def _runs(cut: Cut, shared):
 
 
 def _among(shared):
-    """Rows whose anchor may have several contexts."""
+    """Rows whose anchor may have several contexts, or one that occurs again."""
 
     def scan(batches):
         table = shared.value
@@ -140,7 +141,7 @@ def _split(cut: Cut, seed: int):
 
     def scan(batches):
         for batch in batches:
-            names = ("route", "anchor", "digest", "base", "windows", "doc", "start")
+            names = ("route", "anchor", "digest", "base", "windows", "n", "doc", "start")
             got = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
             for first, _, data, offsets in pieces(batch.column("text")):
                 hashes, bounds, _, text_of = cut.units(data, offsets, seed)
@@ -154,6 +155,7 @@ def _split(cut: Cut, seed: int):
                         "digest": got["digest"][rows],
                         "base": got["base"][rows] + at,
                         "windows": (stop - begin).astype(np.int32),
+                        "n": got["n"][rows],
                         "doc": got["doc"][rows],
                         "start": got["start"][rows] + at,
                         "text": pa.array(
@@ -171,8 +173,8 @@ def _windows(width: int):
 
     def scan(batches):
         for batch in batches:
-            got = [batch.column(n).to_pylist() for n in ("text", "anchor", "digest", "base", "windows", "doc", "start")]
-            for text, anchor, digest, base, windows, doc, start in zip(*got):
+            names = ("text", "anchor", "digest", "base", "windows", "n", "doc", "start")
+            for text, anchor, digest, base, windows, n, doc, start in zip(*[batch.column(c).to_pylist() for c in names]):
                 words = text.split(b" ")
                 at = np.arange(windows, dtype=np.int32)
                 yield pa.RecordBatch.from_pydict(
@@ -181,6 +183,7 @@ def _windows(width: int):
                         "anchor": np.full(windows, anchor, np.int64),
                         "digest": np.full(windows, digest, np.int64),
                         "at": base + at,
+                        "copies": np.full(windows, n, np.int64),
                         "doc": np.full(windows, doc, np.int64),
                         "start": start + at,
                     }
@@ -189,10 +192,10 @@ def _windows(width: int):
     return scan
 
 
-_WINDOWS = "window binary, anchor long, digest long, at int, doc long, start int"
+_WINDOWS = "window binary, anchor long, digest long, at int, copies long, doc long, start int"
 
 
-def _compared(contexts: DataFrame, width: int, keep_first: bool) -> DataFrame:
+def _compared(contexts: DataFrame, width: int) -> DataFrame:
     """What `_searched` finds, for contexts of words in groups of any size: no task holds a group.
 
     Equal windows are summed per task before the shuffle, and compared byte by byte.
@@ -200,16 +203,20 @@ def _compared(contexts: DataFrame, width: int, keep_first: bool) -> DataFrame:
     each = stored(contexts.mapInArrow(_windows(width), _WINDOWS), "windows")
     equal = (
         each.groupBy("window")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start")).alias("earliest"))
+        .agg(F.sum("copies").alias("n"), F.min(F.struct("doc", "start")).alias("earliest"))
         .where("n > 1")
     )
-    hits = each.join(stored(equal, "equal"), "window")
-    if keep_first:
-        hits = hits.where(F.struct("doc", "start") != F.col("earliest"))
-    return hits.select("anchor", "digest", F.col("at").alias("from"), (F.col("at") + 1).alias("to"))
+    first = F.struct("doc", "start") == F.col("earliest")
+    hits = each.join(stored(equal, "equal"), "window").withColumn("others", first).where("not others or copies > 1")
+    return hits.select("anchor", "digest", F.col("at").alias("from"), (F.col("at") + 1).alias("to"), "others")
 
 
-Search = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+#: Where the windows of contexts go, from their texts, numbers of windows, earliest places and copies.
+Search = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+#: A window stays, goes at all places but the earliest, or goes at all.
+STAYS, GOES_LATER, GOES = 0, 1, 2
+
+_VERDICT = "anchor long, digest long, from int, to int, others boolean"
 
 
 def one_each(table: pa.Table) -> pa.Table:
@@ -238,19 +245,18 @@ def _searched(search: Search, shard_bytes: int):
         get = lambda n: table.column(n).to_numpy()
         windows = get("windows")
         if not table.num_rows:
-            return pa.RecordBatch.from_pydict(
-                {n: pa.array([], t) for n, t in (("anchor", pa.int64()), ("digest", pa.int64()), ("from", pa.int32()), ("to", pa.int32()))}
-            )
-        hit = search(table.column("text").to_pylist(), windows, get("doc"), get("start"))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
+            names = ("anchor", "digest", "from", "to", "others")
+            return pa.RecordBatch.from_pydict({n: pa.array([], t) for n, t in zip(names, kinds)})
+        hit = search(table.column("text").to_pylist(), windows, get("doc"), get("start"), get("n"))
         bounds = np.concatenate([[0], np.cumsum(windows)])
         edge = np.zeros(len(hit) + 1, np.int8)
         edge[:-1] = hit
-        step = np.diff(edge, prepend=0)
         new_row = np.zeros(len(hit) + 1, bool)
         new_row[bounds[:-1]] = True
-        opens = np.flatnonzero((edge == 1) & ((step == 1) | new_row))
+        opens = np.flatnonzero((edge != STAYS) & ((np.diff(edge, prepend=0) != 0) | new_row))
         closing = np.append(edge[1:], 0)
-        closes = np.flatnonzero((edge == 1) & ((closing == 0) | np.append(new_row[1:], True)))
+        closes = np.flatnonzero((edge != STAYS) & ((closing != edge) | np.append(new_row[1:], True)))
         row = np.searchsorted(bounds, opens, "right") - 1
         base = get("base")[row] - bounds[row]
         return pa.RecordBatch.from_pydict(
@@ -259,6 +265,7 @@ def _searched(search: Search, shard_bytes: int):
                 "digest": get("digest")[row],
                 "from": (opens + base).astype(np.int32),
                 "to": (closes + 1 + base).astype(np.int32),
+                "others": edge[opens] == GOES_LATER,
             }
         )
 
@@ -290,12 +297,12 @@ def _searched(search: Search, shard_bytes: int):
 
 
 def repeated_ranges(
-    documents: DataFrame, cut: Cut, search: Search, keep_first: bool, group_units: int = GROUP_UNITS
+    documents: DataFrame, cut: Cut, search: Search, group_units: int = GROUP_UNITS
 ) -> DataFrame:
     """Ranges of units to remove: (doc, tkey, spans), spans being an array of (from, to).
 
-    With `keep_first` the earliest of equal windows, by doc_id and start, isn't removed. A null
-    doc_id comes after all others.
+    `search` tells what goes; the earliest of equal windows, which it may spare, is that of the smallest
+    doc_id, then start. A null doc_id comes after all others.
     """
     spark = documents.sparkSession
     order = F.coalesce(documents["doc_id"].cast("long"), F.lit((1 << 63) - 1))
@@ -315,18 +322,23 @@ def repeated_ranges(
     counts = stored(counts, "contexts")
     contested = stored(
         counts.groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("windows") + cut.width - 1).alias("units"))
-        .where("k >= 2"),
+        .agg(
+            F.count(F.lit(1)).alias("k"),
+            F.max("n").alias("most"),
+            F.sum(F.col("windows") + cut.width - 1).alias("units"),
+        )
+        .where("k >= 2 or most >= 2"),
         "contested",
     )
     several, _ = winnow.repeated_table(contested.select("anchor"))
     shared_several = spark.sparkContext.broadcast(several)
-    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("doc", "long"), ("start", "int"))]
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("n", "long"), ("doc", "long"), ("start", "int"))]
     texts = found.where("text is not null").select("anchor", "digest", "windows", *nothing, "text")
     known = counts.select(
         "anchor",
         "digest",
         "windows",
+        "n",
         F.col("earliest.doc").alias("doc"),
         F.col("earliest.start").alias("start"),
         F.lit(None).cast("binary").alias("text"),
@@ -334,7 +346,7 @@ def repeated_ranges(
     contexts = (
         texts.unionByName(known)
         .mapInArrow(_among(shared_several), texts.schema)
-        .select(F.col("anchor").alias("route"), "anchor", "digest", F.lit(0).alias("base"), "windows", "doc", "start", "text")
+        .select(F.col("anchor").alias("route"), "anchor", "digest", F.lit(0).alias("base"), "windows", "n", "doc", "start", "text")
     )
     crowded = contested.where(F.col("units") > group_units).select(F.col("anchor").alias("route"))
     compared = None
@@ -347,7 +359,7 @@ def repeated_ranges(
         whole = (
             contexts.join(crowded, "route", "left_semi")
             .groupBy("route", "anchor", "digest", "base", "windows")
-            .agg(F.max("doc").alias("doc"), F.max("start").alias("start"), F.max("text").alias("text"))
+            .agg(*[F.max(c).alias(c) for c in ("n", "doc", "start", "text")])
             .where("text is not null and doc is not null")
         )
         split = stored(whole.mapInArrow(_split(cut, seed), _CONTEXTS), "split")
@@ -359,23 +371,19 @@ def repeated_ranges(
         )
         if cut.words and seed == SPLITS and not crowded.isEmpty():
             # Windows that share all these anchors are mostly equal: more splits would part few of them.
-            compared = _compared(split.join(crowded, "route", "left_semi"), cut.width, keep_first)
+            compared = _compared(split.join(crowded, "route", "left_semi"), cut.width)
             split = split.join(crowded, "route", "left_anti").select(contexts.columns)
         contexts = calm.unionByName(split)
     searched = (
         contexts.repartition("route")
         .sortWithinPartitions("route", "anchor", "digest", "base")
-        .mapInArrow(_searched(search, SHARD_BYTES), "anchor long, digest long, from int, to int")
+        .mapInArrow(_searched(search, SHARD_BYTES), _VERDICT)
     )
     if compared is not None:
         searched = searched.unionByName(compared)
-    verdicts = searched.groupBy("anchor", "digest").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
-    whole = F.array(F.struct(F.lit(0).alias("from"), F.col("windows").alias("to")))
-    again = F.col("n") > 1
-    if keep_first:
-        again = F.struct("doc", "start") != F.col("earliest")
-    known = counts.join(verdicts, ["anchor", "digest"], "left")
-    known = known.where("n > 1 or ranges is not null").select("anchor", "digest", "n", "earliest", "ranges")
+    verdicts = searched.groupBy("anchor", "digest").agg(F.collect_list(F.struct("from", "to", "others")).alias("ranges"))
+    first = F.struct("doc", "start") == F.col("earliest")
+    known = counts.join(verdicts, ["anchor", "digest"]).select("anchor", "digest", "earliest", "ranges")
     known = stored(known, "verdicts")  # with both sides as tables, a crowded context's join can be split
     return (
         places.join(known, ["anchor", "digest"])
@@ -383,8 +391,10 @@ def repeated_ranges(
             "doc",
             "tkey",
             "start",
-            F.explode(F.when(again, whole).otherwise(F.col("ranges"))).alias("range"),
+            F.explode("ranges").alias("range"),
+            first.alias("first"),
         )
+        .where("not (first and range.others)")
         .select(
             "doc",
             "tkey",

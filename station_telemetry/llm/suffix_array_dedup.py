@@ -21,25 +21,32 @@ WIDTH = 200
 
 
 def twins(width: int):
-    """Which windows of some contexts have an equal one elsewhere among them."""
+    """Which windows of some contexts have an equal one elsewhere among them or their copies.
 
-    def search(texts: list[bytes], windows: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    Equal windows are neighbours in the suffix array; the copies of their contexts are added up.
+    """
+
+    def search(
+        texts: list[bytes], windows: np.ndarray, docs: np.ndarray, starts: np.ndarray, copies: np.ndarray
+    ) -> np.ndarray:
         joined = np.frombuffer(b"\0".join(texts) + b"\0\0", np.uint8).astype(np.uint16) + 2
         stops = np.cumsum([len(t) + 1 for t in texts])
         joined[stops - 1] = 1  # ends of contexts: no byte has this symbol
         joined[-1] = 0
         order = suffix_array(joined)
-        before, common = permuted_common_prefixes(joined, order)
-        valid = np.zeros(len(joined), bool)
+        _, common = permuted_common_prefixes(joined, order)
+        times = np.zeros(len(joined), np.int64)
         begins = np.concatenate([[0], stops[:-1]])
         inside = np.repeat(begins - np.concatenate([[0], np.cumsum(windows)[:-1]]), windows)
         places = inside + np.arange(len(inside))
-        valid[places] = True
-        hit = np.zeros(len(joined), bool)
-        found = np.flatnonzero(valid & (common >= width))
-        hit[found] = True
-        hit[before[found]] = True
-        return hit[places]
+        times[places] = np.repeat(copies, windows)
+        first = common[order] < width
+        first[0] = True
+        first = np.flatnonzero(first)
+        again = np.repeat(np.add.reduceat(times[order], first) > 1, np.diff(np.append(first, len(order))))
+        goes = np.zeros(len(joined), np.int8)
+        goes[order[again]] = repeats.GOES
+        return goes[places]
 
     return search
 
@@ -89,7 +96,7 @@ def removed(
     """
     gram = 1 << ((width // 4).bit_length() - 1)
     cut = repeats.Cut(width, max(8, min(32, gram)), words=False)
-    ranges = repeats.repeated_ranges(documents, cut, twins(width), False, group_units)
+    ranges = repeats.repeated_ranges(documents, cut, twins(width), group_units)
     joined = repeats.with_spans(documents, ranges, list(columns))
     row = joined.schema["row"].dataType.simpleString()
     schema = f"row {row}, n_bytes long, n_removed long, n_spans long, kept binary"

@@ -23,13 +23,17 @@ GROUP_WORDS = 1 << 20
 _KEY_BITS = 63
 
 
-def deep_nodes(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def deep_nodes(
+    words: np.ndarray, starts: np.ndarray, depth: int, copies: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes (indexes into `starts`) that share `depth` words with another, and their node.
 
+    A suffix that has `copies` shares its words with them.
     A level adds as many words as fit into one number beside the node, one at least: a group with
     2**31 words of text would still have room.
     """
     left = np.arange(len(starts))
+    copies = np.ones(len(starts), np.int64) if copies is None else copies
     node = np.zeros(len(starts), np.int64)
     nodes, at = 1, 0
     bits = max(1, int(words.max()).bit_length()) if len(words) else 1
@@ -44,8 +48,9 @@ def deep_nodes(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.nd
         key = key[by]
         first = np.flatnonzero(np.diff(key, prepend=-1))
         count = np.diff(np.append(first, len(key)))
-        shared = np.repeat(count > 1, count)
-        left = left[by][shared]
+        left = left[by]
+        shared = np.repeat(np.add.reduceat(copies[left], first) > 1, count)
+        left = left[shared]
         node = np.repeat(np.arange(len(first)), count)[shared]
         nodes = len(first)
         at += take
@@ -53,9 +58,15 @@ def deep_nodes(words: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.nd
 
 
 def later_ones(width: int):
-    """Which windows of some contexts have an equal one among them that starts earlier."""
+    """Which windows of some contexts have an equal one that starts earlier, among them or their copies.
 
-    def search(texts: list[bytes], windows: np.ndarray, docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    `docs` and `starts` are the earliest places of the contexts. A window with copies goes at all other
+    places of its context, and at the earliest too if an equal one of another context starts before it.
+    """
+
+    def search(
+        texts: list[bytes], windows: np.ndarray, docs: np.ndarray, starts: np.ndarray, copies: np.ndarray | None = None
+    ) -> np.ndarray:
         numbers: dict[bytes, int] = {}
         words: list[int] = []
         lengths = []
@@ -67,16 +78,18 @@ def later_ones(width: int):
         row = np.repeat(np.arange(len(texts)), windows)
         own = np.arange(total) - np.repeat(np.cumsum(windows) - windows, windows)
         begins = (np.cumsum(lengths) - lengths)[row] + own
-        found, node = deep_nodes(np.array(words, np.int64), begins, width)
-        hit = np.zeros(total, bool)
+        times = np.ones(total, np.int64) if copies is None else np.repeat(copies, windows)
+        found, node = deep_nodes(np.array(words, np.int64), begins, width, times)
+        hit = np.zeros(total, np.int8)
         if len(found):
+            hit[found[times[found] > 1]] = repeats.GOES_LATER
             doc, start = docs[row[found]], starts[row[found]] + own[found]
             by = np.lexsort((start, doc, node))
             node, doc, start = node[by], doc[by], start[by]
             first = np.flatnonzero(np.diff(node, prepend=-1))
             count = np.diff(np.append(first, len(node)))
             later = (doc != np.repeat(doc[first], count)) | (start != np.repeat(start[first], count))
-            hit[found[by][later]] = True
+            hit[found[by][later]] = repeats.GOES
         return hit
 
     return search
@@ -119,7 +132,7 @@ def removed(
     empty texts have no words. An empty table gives an empty table.
     """
     cut = repeats.Cut(width, max(1, 1 << (width // 5).bit_length() - 1) if width > 4 else 1, words=True)
-    ranges = repeats.repeated_ranges(documents, cut, later_ones(width), True, group_units)
+    ranges = repeats.repeated_ranges(documents, cut, later_ones(width), group_units)
     joined = repeats.with_spans(documents, ranges, list(columns))
     row = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(_removed, f"row {row}, n_words long, n_removed long, kept binary")

@@ -91,6 +91,27 @@ def test_word_repeats_of_odd_rows(odd, group):
     assert suffix_tree_dedup.removed(empty(odd)).count() == 0
 
 
+def test_copies_count_in_array_and_tree():
+    """A context that occurs again has twins and later places by its count alone."""
+    one = np.array([1]), np.array([7]), np.array([0])
+    for copies, want in ((1, 0), (2, 2)):
+        assert suffix_array_dedup.twins(5)([b"abcde"], *one, np.array([copies])).tolist() == [want]
+    for copies, want in ((1, 0), (3, 1)):
+        assert suffix_tree_dedup.later_ones(3)([b"a b c"], *one, np.array([copies])).tolist() == [want]
+    texts, places = [b"a b c d", b"x b c d"], (np.array([2, 2]), np.array([5, 4]), np.array([0, 0]))
+    got = suffix_tree_dedup.later_ones(3)(texts, *places, np.array([2, 1]))
+    assert got.tolist() == [1, 2, 0, 0]
+
+
+def test_nothing_goes_but_by_the_search(spark, sf, monkeypatch):
+    """With an array and a tree that find nothing, exact copies stay whole too."""
+    blind = lambda width: lambda texts, windows, docs, starts, copies: np.zeros(int(windows.sum()), np.int8)
+    monkeypatch.setattr(suffix_array_dedup, "twins", blind)
+    monkeypatch.setattr(suffix_tree_dedup, "later_ones", blind)
+    for name in ("op6_suffix_array_dedup", "op9_substring_dedup"):
+        assert QUERIES[name](spark, sf).agg(F.sum("n_removed")).first()[0] == 0
+
+
 def test_groups_of_very_many_words():
     """More distinct words than 2**21, and numbers of which three don't fit into 63 bits."""
     n = (1 << 21) + 5
@@ -111,9 +132,9 @@ def test_no_group_of_words_is_above_the_limit(spark, sf, monkeypatch):
     rows += [(60, rows[3][1]), (61, passage), (62, None)]
     search, limit = suffix_tree_dedup.later_ones(20), 400
 
-    def bounded(texts, windows, docs, starts):
+    def bounded(texts, windows, docs, starts, copies):
         assert (windows + 19).sum() <= limit
-        return search(texts, windows, docs, starts)
+        return search(texts, windows, docs, starts, copies)
 
     monkeypatch.setattr(repeats, "SHARD_BYTES", 1)
     monkeypatch.setattr(suffix_tree_dedup, "later_ones", lambda width: bounded)
