@@ -65,11 +65,14 @@ class TokenRollup:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
 
     def commit(self, batch: int, changes: DataFrame) -> None:
-        """Applies changes (op, doc_id, text, source, lang) as batch `batch`; batches come in order.
+        """Applies changes (op, doc_id, text, source, lang) as batch `batch`.
+
+        Batches come in order: only the last one may be tried again, and numbers may be left out. A batch
+        without changes adds nothing.
 
         op is insert, delete or revise; at most one change for a document in a batch. A delete or
-        revision takes away what the ledger of earlier batches holds for the doc_id, nothing if it
-        is unknown. Inserts of a doc_id that is there add to it, so repeated rows count each. A
+        revision takes away what the ledger of earlier batches holds for the doc_id under any version,
+        nothing if it is unknown, so a document is counted under the version of its last change. Inserts of a doc_id that is there add to it, so repeated rows count each. A
         null doc_id can be inserted but not found again. Null source and lang are keys like others.
         """
         new = picked(changes, "op", "doc_id", "text", "source", "lang").where("op <> 'delete'")
@@ -77,7 +80,7 @@ class TokenRollup:
             "doc_id", "source", "lang", F.lit(self.version).alias("version"), "tokens", F.lit(1).cast("long").alias("documents")
         )
         gone = changes.where("op <> 'insert'").select(changes["doc_id"].cast("long").alias("doc_id")).distinct()
-        held = self._table("ledger", _LEDGER, before=batch).where(F.col("version") == self.version)
+        held = self._table("ledger", _LEDGER, before=batch)
         minus = (
             held.join(gone, "doc_id", "left_semi")
             .groupBy("doc_id", *KEYS)

@@ -393,6 +393,27 @@ def test_token_totals(spark, sf, tmp_path):
     assert totals() == {}
 
 
+def test_a_new_version_takes_counts_over(spark, tmp_path):
+    """A change under a new version ends what an older one counted; an empty batch changes nothing."""
+    names = "op string, doc_id long, text string, source string, lang string"
+    old, new = (token_counts.TokenRollup(spark, str(tmp_path / "rollup"), version=v) for v in ("v1", "v2"))
+
+    def totals():
+        return {r.version: (r.tokens, r.documents) for r in new.totals().collect()}
+
+    one, two = (len(ids) for ids in brute.token_ids(["a b c", "another text"]))
+    rows = [("insert", d, "a b c", "s", "en") for d in (1, 2, 3)]
+    old.commit(0, spark.createDataFrame(rows, names))
+    second = spark.createDataFrame([("revise", 1, "another text", "s", "en"), ("delete", 2, None, None, None)], names)
+    for _ in range(2):
+        new.commit(1, second)
+        assert totals() == {"v1": (one, 1), "v2": (two, 1)}
+    new.commit(2, spark.createDataFrame([], names))
+    assert totals() == {"v1": (one, 1), "v2": (two, 1)}
+    new.commit(3, spark.createDataFrame([("delete", 3, None, None, None), ("delete", 1, None, None, None)], names))
+    assert totals() == {}
+
+
 def test_counts_of_the_history(spark, sf):
     import re
 
