@@ -27,3 +27,10 @@ def test_stages(spark, sf):
     assert clean == {d: t for d, t in cut.items() if not found[d][4]}
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     packing_faults([tuple(r) for r in packed.collect()], list(clean.items()))
+
+
+def test_run_on_an_empty_table(spark, sf, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        rows = spark.read.parquet(f"{sf}/{name}.parquet")
+        (rows.limit(0) if name == "documents" else rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
