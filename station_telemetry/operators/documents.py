@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from station_telemetry.functions import document_id, epoch_seconds
 from station_telemetry.functions.columns import MILLIS_ABOVE
 from station_telemetry.operators.state import latest
+from station_telemetry.schemas import ABSENT_HUMIDITY, ABSENT_STAMP, ABSENT_TEXT
 
 _IDS = (("station_id", "stationId"), ("s_no", "sequenceNumber"))
 
@@ -59,7 +60,7 @@ def normalize(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """camelCase or snake_case archive rows to documents; rows without an id are left out.
 
     Ids fall back to the other name when null; the other fields only when the column is absent.
-    That is decided from the schema; for files of both spellings see `normalize_mixed`.
+    That is decided from the schema; rows of files of both spellings go through `one_spelling` first.
     `keep` names further columns to carry along.
     """
     station, number = (_first_non_null(df, names) for names in _IDS)
@@ -81,35 +82,31 @@ def normalize(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def normalize_mixed(df: DataFrame, file: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """`normalize` for rows of files that spell their columns either way, read with all columns.
+def one_spelling(df: DataFrame) -> DataFrame:
+    """Rows read as ARCHIVE_MIXED with one column for the battery, the time and the weather each.
 
-    Ids fall back when null, as in `normalize`. For the other fields a file has the snake_case
-    column if any of its rows has a value there; a file that has it keeps its nulls. `file` names
-    the column that tells files apart. The per-file marks are one row a file.
+    A file that has the snake_case column keeps what it says there, null too, even when all its rows
+    are null; a file without it has its camelCase column read. The reader tells the two apart by the
+    value it puts where a column is absent, so no row is compared with others of its file. Spark's
+    vectorized Parquet reader must be on, as it is by default.
     """
-    pairs = [("battery_status", "batteryStatus"), ("status_timestamp", "statusTimeStamp"), ("weather", "weatherStatus")]
-    both = [p for p in pairs if p[0] in df.columns and p[1] in df.columns]
-    if not both:
-        return normalize(df, keep)
-    marks = df.groupBy(F.col(file).alias("_file")).agg(
-        *[F.bool_or(F.col(snake).isNotNull()).alias(f"_has_{snake}") for snake, _ in both]
-    )
-    known = df.withColumn("_of", F.col(file)).join(marks, F.col("_of") == F.col("_file"), "left")
-    for snake, camel in both:
-        chosen, other = F.col(snake), F.col(camel)
+    for snake, camel, absent in (
+        ("battery_status", "batteryStatus", F.col("battery_status") == F.lit(ABSENT_TEXT)),
+        ("status_timestamp", "statusTimeStamp", F.col("status_timestamp") == F.lit(ABSENT_STAMP)),
+        ("weather", "weatherStatus", F.col("weather.humidity") == F.lit(ABSENT_HUMIDITY)),
+    ):
+        other = F.col(camel)
         if snake == "weather":
-            chosen = F.when(chosen.isNotNull(), F.struct("weather.humidity", "weather.temperature", "weather.wind_speed"))
             other = F.when(
                 other.isNotNull(),
                 F.struct(
-                    F.col(f"{camel}.humidity").alias("humidity"),
-                    F.col(f"{camel}.temperature").alias("temperature"),
-                    F.col(f"{camel}.windSpeed").alias("wind_speed"),
+                    other["humidity"].alias("humidity"),
+                    other["temperature"].alias("temperature"),
+                    other["windSpeed"].alias("wind_speed"),
                 ),
             )
-        known = known.withColumn(snake, F.when(F.col(f"_has_{snake}"), chosen).otherwise(other))
-    return normalize(known.drop(*[camel for _, camel in both]), keep)
+        df = df.withColumn(snake, F.when(absent, other).otherwise(F.col(snake))).drop(camel)
+    return df
 
 
 def replace_by_id(documents: DataFrame, order: str) -> DataFrame:

@@ -111,7 +111,12 @@ ORACLES: dict[str, str] = {
     "archive_scan": _SENT
     + f'SELECT "stationId" AS station_id, {_DATE} AS date, {_STATUS} FROM reading',
     "incremental_ingest": _SENT + f"SELECT {_DOCUMENT} FROM document",
-    "mixed_ingest": _SENT + f"SELECT {_DOCUMENT} FROM document",
+    "mixed_ingest": _SENT + """
+SELECT doc_id, station_id, s_no, CASE WHEN event_type <> 'error' THEN battery_status END AS battery_status,
+       status_timestamp, event_millis, CASE WHEN event_type <> 'error' THEN humidity END AS humidity,
+       CASE WHEN event_type <> 'error' THEN temperature END AS temperature,
+       CASE WHEN event_type <> 'error' THEN wind_speed END AS wind_speed
+FROM document""",
     "file_timestamp": _SENT + """
 SELECT CASE event_type
            WHEN 'error' THEN 'part-' || millis || '-' || event_id || '.parquet.tmp'

@@ -124,32 +124,43 @@ def incremental_ingest(spark, sf_dir):
 
 @query("mixed_ingest")
 def mixed_ingest(spark, sf_dir):
-    """An archive whose files of view events are spelled in snake case."""
+    """An archive whose files of view and error events are spelled in snake case.
+
+    Those of error events hold both spellings, and nothing but nulls in the snake_case battery and
+    weather: a column that is there counts, whatever it says.
+    """
     rows = r.readings(spark, sf_dir)
     root, checkpoint = new_folder(spark, "archive"), new_folder(spark, "checkpoint")
     table = document_table(spark, new_folder(spark, "documents"))
-    write_archive(rows.where("event_type <> 'view'"), root)
-    snake, _ = archive_rows(rows.where("event_type = 'view'"))
+    write_archive(rows.where("event_type NOT IN ('view', 'error')"), root)
     weather = F.col("weatherStatus")
-    (
-        snake.select(
-            F.col("sequenceNumber").alias("s_no"),
-            F.col("batteryStatus").alias("battery_status"),
-            F.col("statusTimeStamp").alias("status_timestamp"),
-            F.struct(
-                weather["humidity"].alias("humidity"),
-                weather["temperature"].alias("temperature"),
-                weather["windSpeed"].alias("wind_speed"),
-            ).alias("weather"),
-            "station_id",
-            "date",
-            F.lit("snake").alias("batch"),
+    snake = [
+        F.col("sequenceNumber").alias("s_no"),
+        F.col("batteryStatus").alias("battery_status"),
+        F.col("statusTimeStamp").alias("status_timestamp"),
+        F.struct(
+            weather["humidity"].alias("humidity"),
+            weather["temperature"].alias("temperature"),
+            weather["windSpeed"].alias("wind_speed"),
+        ).alias("weather"),
+    ]
+    empty = [
+        snake[0],
+        F.lit(None).cast("string").alias("battery_status"),
+        snake[2],
+        F.when(F.lit(False), snake[3]).alias("weather"),
+        "batteryStatus",
+        "weatherStatus",
+    ]
+    for event, columns in (("view", snake), ("error", empty)):
+        found, _ = archive_rows(rows.where(F.col("event_type") == event))
+        (
+            found.select(*columns, "station_id", "date", F.lit(f"snake-{event}").alias("batch"))
+            .hint("rebalance", "station_id", "date")
+            .write.mode("append")
+            .partitionBy("station_id", "date", "batch")
+            .parquet(root)
         )
-        .hint("rebalance", "station_id", "date")
-        .write.mode("append")
-        .partitionBy("station_id", "date", "batch")
-        .parquet(root)
-    )
     stream = stream_archive(spark, root, ARCHIVE_MIXED)
     run_once(feeds.ingest_feed(stream, table, checkpoint, mixed=True), "ingest")
     return flat_documents(table.current())

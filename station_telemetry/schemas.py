@@ -72,14 +72,29 @@ DOCUMENT = T.StructType(
     ]
 )
 
+# What a snake_case column reads as in files that lack it; in files that have it, null stays null.
+# Spark fills columns that a file lacks with their existence default. No reading has these values.
+ABSENT_TEXT = "\u0000"
+ABSENT_STAMP = -(2**63)
+ABSENT_HUMIDITY = -(2**31)
+
+
+def _unless_absent(name: str, kind: T.DataType, otherwise: str) -> T.StructField:
+    return T.StructField(name, kind, True, {"EXISTS_DEFAULT": otherwise})
+
+
 # An archive file of either spelling, with the folder of the batch that wrote it.
 ARCHIVE_MIXED = T.StructType(
     [
         *STATUS.fields,
         T.StructField("s_no", T.LongType()),
-        T.StructField("battery_status", T.StringType()),
-        T.StructField("status_timestamp", T.LongType()),
-        T.StructField("weather", DOCUMENT["weather"].dataType),
+        _unless_absent("battery_status", T.StringType(), "'\\u0000'"),
+        _unless_absent("status_timestamp", T.LongType(), f"CAST('{ABSENT_STAMP}' AS BIGINT)"),
+        _unless_absent(
+            "weather",
+            DOCUMENT["weather"].dataType,
+            f"named_struct('humidity', CAST('{ABSENT_HUMIDITY}' AS INT), 'temperature', 0D, 'wind_speed', 0D)",
+        ),
         T.StructField("station_id", T.LongType()),
         T.StructField("date", T.DateType()),
     ]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from station_telemetry.schemas import DOCUMENT
@@ -18,9 +19,21 @@ ARRIVED = T.StructType(
 )
 
 
+# Numbers of a station that share a folder of the snapshot, some 200 MB of documents.
+RANGE_NUMBERS = 1 << 22
+
+
+def number_range(doc_id: Column) -> Column:
+    """`<station>-<range>` of a document id, or `other` for ids of another form."""
+    part = lambda n: F.regexp_extract(doc_id, r"^(-?\d+)-(-?\d+)$", n)
+    span = F.floor(part(2).try_cast("bigint") / RANGE_NUMBERS).cast("string")
+    return F.coalesce(F.concat(part(1), F.lit("-"), span), F.lit("other"))
+
+
 def document_table(spark: SparkSession, root: str) -> KeyedTable:
+    """Documents by id. A batch of new numbers touches the newest ranges of its stations only."""
     columns = T.StructType([*DOCUMENT.fields, T.StructField("arrived", ARRIVED)])
-    return KeyedTable(spark, root, columns, "doc_id", "arrived")
+    return KeyedTable(spark, root, columns, "doc_id", "arrived", range_of=number_range)
 
 
 def ensure_target(

@@ -1,18 +1,22 @@
 """A table with one live row per key, on plain Parquet.
 
-    <root>/buckets=<n>                          how many buckets the keys are dealt to
+    <root>/buckets=<n>                          how many buckets the keys are dealt to by hash,
+    <root>/buckets=ranges                       or that neighbouring keys share one
     <root>/generations/                         checkpoints that have written here
     <root>/changes/position=<p>/                rows of one batch, written as they came
     <root>/snapshot/through=<p>/bucket=<b>/     live rows of a bucket, all changes up to p applied
 
 An upsert costs as much as the batch, not as the table. A retried batch overwrites its own
 folder. Compaction rewrites the buckets that have changes, next to the old ones, and leaves the
-others as they are; a snapshot counts once its `_SUCCESS` marker exists.
+others as they are; a snapshot counts once its `_SUCCESS` marker exists. Where new keys are
+neighbours, as numbers of a station are, ranges keep compaction as small as what has changed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +31,9 @@ class KeyedTable:
     """`columns` must contain the key and comparable `order` columns, the order within a batch.
 
     Rows of a later batch come after those of earlier ones; with `by_order`, only the order columns
-    count, and the batch where they are equal. `buckets` counts when the table is new; an existing table keeps its number.
+    count, and the batch where they are equal. `range_of` gives the range of a key as text that can
+    name a folder, never null; without it keys are dealt to `buckets` by hash. Either counts when the
+    table is new; an existing table keeps its way.
     """
 
     def __init__(
@@ -39,6 +45,7 @@ class KeyedTable:
         order: str | tuple[str, ...],
         buckets: int = BUCKETS,
         by_order: bool = False,
+        range_of: Callable[[Column], Column] | None = None,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -46,7 +53,8 @@ class KeyedTable:
         self.key = key
         self.order = (order,) if isinstance(order, str) else order
         self.by_order = by_order
-        self._wanted_buckets = buckets
+        self.range_of = range_of
+        self._wanted_buckets = str(buckets) if range_of is None else "ranges"
 
     position = staticmethod(generations.position)
 
@@ -54,15 +62,20 @@ class KeyedTable:
         """Position of a micro-batch: after all batches of checkpoints that wrote here before."""
         return generations.position_of(batch, batch_id, f"{self.root}/generations")
 
-    def _buckets(self) -> int:
+    def _buckets(self) -> str:
         found = [n for n in files.child_names(self.spark, self.root) if n.startswith("buckets=")]
         if not found:
             files.make_folder(self.spark, f"{self.root}/buckets={self._wanted_buckets}")
             return self._wanted_buckets
-        return int(found[0].removeprefix("buckets="))
+        return found[0].removeprefix("buckets=")
 
-    def _bucket(self, key) -> F.Column:
-        return F.pmod(F.hash(key), F.lit(self._buckets()))
+    def _bucket(self, key: Column) -> Column:
+        buckets = self._buckets()
+        if buckets != "ranges":
+            return F.pmod(F.hash(key), F.lit(int(buckets))).cast("string")
+        if self.range_of is None:
+            raise ValueError(f"{self.root} keeps ranges of keys: open it with range_of")
+        return self.range_of(key)
 
     def upsert(self, rows: DataFrame, position: int) -> None:
         """Adds one batch; each row replaces the live row of its key whole."""
@@ -72,9 +85,12 @@ class KeyedTable:
             .parquet(f"{self.root}/changes/position={position}")
         )
 
-    def _numbers(self, folder: str, prefix: str) -> list[int]:
+    def _names(self, folder: str, prefix: str) -> list[str]:
         names = files.child_names(self.spark, f"{self.root}/{folder}")
-        return [int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
+        return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
+    def _numbers(self, folder: str, prefix: str) -> list[int]:
+        return [int(n) for n in self._names(folder, prefix)]
 
     def _finished(self, folder: str, prefix: str) -> list[int]:
         """Positions in a folder whose write has ended, in order."""
@@ -86,11 +102,11 @@ class KeyedTable:
         snapshots, changes = self._finished("snapshot", "through="), self._finished("changes", "position=")
         return max(snapshots, default=-1), max(changes, default=-1)
 
-    def _newest_buckets(self) -> dict[int, int]:
+    def _newest_buckets(self) -> dict[str, int]:
         """For each bucket the newest snapshot that holds it."""
-        newest: dict[int, int] = {}
+        newest: dict[str, int] = {}
         for through in self._finished("snapshot", "through="):
-            for bucket in self._numbers(f"snapshot/through={through}", "bucket="):
+            for bucket in self._names(f"snapshot/through={through}", "bucket="):
                 newest[bucket] = through
         return newest
 
@@ -112,7 +128,7 @@ class KeyedTable:
         arrived = (*self.order, "position") if self.by_order else ("position", *self.order)
         return latest(rows, self.key, arrived).select(*self.columns.names)
 
-    def _settled(self, buckets: dict[int, int]) -> DataFrame:
+    def _settled(self, buckets: dict[str, int]) -> DataFrame:
         if not buckets:
             return self.spark.createDataFrame([], self.columns)
         root = f"{self.root}/snapshot"
@@ -180,12 +196,12 @@ class KeyedTable:
         for position in self._numbers("changes", "position="):
             if position <= readable:
                 files.remove_folder(self.spark, f"{self.root}/changes/position={position}")
-        newest: dict[int, int] = {}
+        newest: dict[str, int] = {}
         for through in (s for s in snapshots if s <= readable):
-            for bucket in self._numbers(f"snapshot/through={through}", "bucket="):
+            for bucket in self._names(f"snapshot/through={through}", "bucket="):
                 if bucket in newest:
                     files.remove_folder(self.spark, f"{self.root}/snapshot/through={newest[bucket]}/bucket={bucket}")
                 newest[bucket] = through
         for through in (s for s in snapshots if s < readable):
-            if not self._numbers(f"snapshot/through={through}", "bucket="):
+            if not self._names(f"snapshot/through={through}", "bucket="):
                 files.remove_folder(self.spark, f"{self.root}/snapshot/through={through}")

@@ -16,7 +16,7 @@ from station_telemetry.operators.documents import (
     drop_replays,
     has_required_fields,
     normalize,
-    normalize_mixed,
+    one_spelling,
     required_fields,
 )
 from station_telemetry.operators.rain import rain_events
@@ -164,7 +164,7 @@ def ingest_feed(
 ) -> DataStreamWriter:
     """Archive rows (with `arrived`) as documents into the table, rows without ids as rejects.
 
-    `mixed` takes files of both spellings, read with all columns. The rejects are counted while
+    `mixed` takes files of both spellings, read as ARCHIVE_MIXED. The rejects are counted while
     the documents are written, so files are read a second time only for batches that have some. A
     batch is committed after both are written, and a retry overwrites them.
     """
@@ -172,13 +172,11 @@ def ingest_feed(
     def apply(batch: DataFrame, batch_id: int) -> None:
         position = table.place(batch, batch_id)
         seen = Observation()
+        if mixed:
+            batch = one_spelling(batch)
         missing = ~has_required_fields(batch)
         counted = batch.observe(seen, F.count_if(missing).alias("rejected"))
-        if mixed:
-            documents = normalize_mixed(counted, "arrived.file", keep=("arrived",))
-        else:
-            documents = normalize(counted, keep=("arrived",))
-        table.upsert(documents, position)
+        table.upsert(normalize(counted, keep=("arrived",)), position)
         if seen.get["rejected"]:
             path = f"{table.root}/rejects/position={position}"
             log.warning("%d rows without station or number: %s", seen.get["rejected"], path)

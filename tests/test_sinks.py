@@ -300,3 +300,59 @@ def test_sizing_grows_with_the_input():
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_new_numbers_touch_their_ranges_only(spark, tmp_path):
+    from station_telemetry.sinks.documents import RANGE_NUMBERS, document_table
+
+    root = str(tmp_path / "docs")
+    table = document_table(spark, root)
+
+    def add(position, *numbers, battery="LOW"):
+        rows = [
+            (f"{station}-{n}", station, n, battery, 0, None, None, (position, "f", n)) for station, n in numbers
+        ]
+        table.upsert(spark.createDataFrame(rows, table.columns), position)
+
+    def folders():
+        found = glob.glob(f"{root}/snapshot/*/bucket=*")
+        return {tuple(f.split("/")[-2:]) for f in found}
+
+    add(0, *[(station, n) for station in (1, 2) for n in (-1, 0, 5, RANGE_NUMBERS - 1, RANGE_NUMBERS)])
+    table.compact()
+    first = folders()
+    assert {b for _, b in first} == {f"bucket={s}-{r}" for s in (1, 2) for r in (-1, 0, 1)}
+    add(1, *[(1, RANGE_NUMBERS + n) for n in range(300)])
+    table.compact()
+    assert {b for _, b in folders() - first} == {"bucket=1-1"}
+    second = folders()
+    add(2, (2, 5), battery="HIGH")  # an old number goes to its own range
+    table.compact()
+    assert {b for _, b in folders() - second} == {"bucket=2-0"}
+    table.vacuum()
+    assert len(folders()) == 6
+    live_rows = {r.doc_id: r.battery_status for r in document_table(spark, root).current().collect()}
+    assert len(live_rows) == 10 + 299 and live_rows["2-5"] == "HIGH" and live_rows["1-5"] == "LOW"
+    found = table.lookup(f"1-{RANGE_NUMBERS + 7}")
+    assert found.count() == 1 and len({f.split("/")[-2] for f in found.inputFiles()}) == 1
+    assert table.lookup("elsewhere").count() == 0
+
+
+def test_a_table_keeps_its_way_of_dealing_keys(spark, tmp_path):
+    from station_telemetry.sinks.documents import document_table, number_range
+
+    rows = spark.createDataFrame([("1-1", 1, 1, "LOW", 0, None, None, (0, "f", 0))], document_table(spark, "x").columns)
+    old = KeyedTable(spark, str(tmp_path / "old"), rows.schema, "doc_id", "arrived")
+    old.upsert(rows, 0)
+    old.compact()
+    again = document_table(spark, str(tmp_path / "old"))
+    again.upsert(rows.withColumn("battery_status", F.lit("HIGH")), 1)
+    again.compact()
+    assert [r.battery_status for r in again.current().collect()] == ["HIGH"]
+    new = document_table(spark, str(tmp_path / "new"))
+    new.upsert(rows, 0)
+    new.compact()
+    with pytest.raises(ValueError, match="range_of"):
+        KeyedTable(spark, str(tmp_path / "new"), rows.schema, "doc_id", "arrived").lookup("1-1")
+    odd = spark.createDataFrame([("1-1",), ("a-b",), (None,), ("1-99999999999999999999",)], "k string")
+    assert [r[0] for r in odd.select(number_range(F.col("k"))).collect()] == ["1-0", "other", "other", "other"]

@@ -397,3 +397,46 @@ def test_ingest_of_both_spellings(spark, tmp_path):
     run_once(feeds.ingest_feed(stream, table, str(tmp_path / "c"), mixed=True), "ingest")
     got = {r.doc_id: (r.battery_status, r.weather.humidity, r.weather.wind_speed) for r in table.current().collect()}
     assert got == {"1-1": ("LOW", 10, 2.0), "1-2": ("MID", 20, 3.0), "1-3": (None, None, None)}
+
+
+def test_a_column_of_nulls_is_there(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from station_telemetry.operators.documents import normalize, one_spelling
+    from station_telemetry.schemas import ARCHIVE_MIXED
+    from station_telemetry.sources.archive import archive_scan
+
+    root = tmp_path / "archive"
+    day = root / "station_id=1" / "date=2024-01-01"
+    foreign_file(spark, day, "part-1-a.parquet", (1, 1, 10))
+    snake = pa.struct([("humidity", pa.int32()), ("temperature", pa.float64()), ("wind_speed", pa.float64())])
+    camel = pa.struct([("humidity", pa.int32()), ("temperature", pa.float64()), ("windSpeed", pa.float64())])
+    both = pa.schema(
+        [
+            ("s_no", pa.int64()), ("battery_status", pa.string()), ("batteryStatus", pa.string()),
+            ("status_timestamp", pa.int64()), ("statusTimeStamp", pa.int64()),
+            ("weather", snake), ("weatherStatus", camel),
+        ]
+    )
+    one = {"batteryStatus": "LOW", "statusTimeStamp": MS, "weatherStatus": {"humidity": 9, "temperature": 9.0, "windSpeed": 9.0}}
+    nothing = {"humidity": None, "temperature": None, "wind_speed": None}
+    pq.write_table(pa.Table.from_pylist([{"s_no": 2, **one}, {"s_no": 3, **one, "weather": nothing}], schema=both), day / "part-2-b.parquet")
+    only_weather = pa.schema([f for f in both if f.name not in ("battery_status", "status_timestamp")])
+    pq.write_table(pa.Table.from_pylist([{"s_no": 4, **one}, {"s_no": None, **one}], schema=only_weather), day / "part-3-c.parquet")
+    pq.write_table(pa.Table.from_pylist([], schema=both), day / "part-4-d.parquet")
+
+    documents = normalize(one_spelling(archive_scan(spark, str(root), ARCHIVE_MIXED)))
+    got = {r.doc_id: (r.battery_status, r.status_timestamp, r.weather.humidity) for r in documents.collect()}
+    seconds = MS // 1000
+    assert got["1-2"] == got["1-3"] == (None, None, None)  # all its rows are null there, and stay null
+    assert got["1-4"] == ("LOW", seconds, None)  # each column by itself
+    assert got["1-1"][0] is not None and got["1-1"][2] == 10
+    assert "Exchange" not in documents._jdf.queryExecution().toString()
+
+    table = document_table(spark, str(tmp_path / "docs"))
+    stream = archive_stream(spark, str(root), ARCHIVE_MIXED)
+    run_once(feeds.ingest_feed(stream, table, str(tmp_path / "c"), mixed=True), "ingest")
+    assert {r.doc_id: (r.battery_status, r.status_timestamp, r.weather.humidity) for r in table.current().collect()} == got
+    rejected = read_files(spark, f"{table.root}/rejects").collect()
+    assert [(r.battery_status, r.status_timestamp) for r in rejected] == [("LOW", MS)]
