@@ -30,6 +30,8 @@ _BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 _PAIRS = tuple(combinations(range(5), 2))
 #: Groups up to this size are compared pair by pair; larger ones by growing components.
 _PAIRWISE = 64
+#: Larger buckets are split by further bits, so that a template's many variants reach many tasks.
+CROWDED = 4_096
 
 
 def fingerprints_of(texts: list[bytes | None], shingle: int = SHINGLE) -> np.ndarray:
@@ -102,10 +104,71 @@ def _bucketed(batches):
             bucket = (np.uint64(k) << np.uint64(26)) | (((fps >> shift[i]) & mask[i]) << np.uint64(13))
             bucket |= (fps >> shift[j]) & mask[j]
             yield pa.RecordBatch.from_pydict(
-                {"bucket": bucket.view(np.int64), "pivots": table, "fp": fps.view(np.int64)}
+                {
+                    "bucket": bucket.view(np.int64),
+                    "shared": np.full(len(fps), _SHARED[k]).view(np.int64),
+                    "pivots": table,
+                    "fp": fps.view(np.int64),
+                }
             )
 
 
+#: For each pair of blocks the bits that members of its buckets share.
+_SHARED = np.array(
+    [sum(((1 << w) - 1) << s for s, w in (_BLOCKS[i], _BLOCKS[j])) for i, j in _PAIRS], np.uint64
+)
+
+
+def _split(radius: int):
+    """Members of crowded buckets, dealt anew by parts of the bits that they needn't share yet.
+
+    The bits left are cut into radius + 1 parts; two members that differ in `radius` bits or fewer
+    share one of the parts, and meet in its bucket.
+    """
+
+    def split(batches):
+        for batch in batches:
+            get = lambda n: batch.column(n).to_numpy().view(np.uint64)
+            bucket, shared, fps = get("bucket"), get("shared"), get("fp")
+            for mask in np.unique(shared).tolist():
+                mine = np.flatnonzero(shared == np.uint64(mask))
+                left = [b for b in range(64) if not mask >> b & 1]
+                for k, bits in enumerate(np.array_split(left, radius + 1)):
+                    part = np.uint64(sum(1 << int(b) for b in bits))
+                    into = mixed(mixed(bucket[mine] + np.uint64(k + 1)) ^ (fps[mine] & part))
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "bucket": into.view(np.int64),
+                            "shared": np.full(len(mine), np.uint64(mask) | part).view(np.int64),
+                            "pivots": batch.column("pivots").take(pa.array(mine)),
+                            "fp": fps[mine].view(np.int64),
+                        }
+                    )
+
+    return split
+
+
+def buckets(fps: DataFrame, radius: int = RADIUS, crowded: int = CROWDED) -> DataFrame:
+    """(bucket, pivots, fp): distinct fingerprints in all their buckets, none above `crowded`.
+
+    Every pair at `radius` or fewer differing bits shares a bucket. Buckets above the limit are split
+    four times at most: then eleven bits are left, and 2,048 fingerprints are as many as there can be.
+    """
+    kind = "bucket long, shared long, pivots long, fp long"
+    rows = fps.mapInArrow(_bucketed, kind)
+    done = []
+    for _ in range(4):
+        large = rows.groupBy("bucket").count().where(F.col("count") > crowded).select("bucket")
+        large = stored(large, "crowded")
+        if large.isEmpty():
+            break
+        done.append(rows.join(large, "bucket", "left_anti"))
+        rows = stored(rows.join(large, "bucket", "left_semi").select("bucket", "shared", "pivots", "fp").mapInArrow(_split(radius), kind), "split")
+    for part in done:
+        rows = rows.unionByName(part)
+    return rows.select("bucket", "pivots", "fp")
+
+
 def _near(table: np.ndarray, a, b, radius: int) -> np.ndarray:
     """Pairs whose rows of the table differ by at most the radius in every column."""
     return (np.abs(table[a] - table[b]) <= radius).all(axis=-1)
@@ -182,7 +245,7 @@ def _linked(radius: int):
     return scan
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, crowded: int = CROWDED) -> DataFrame:
     """(a, b) of distinct fingerprints (column fp) at `radius` or fewer differing bits.
 
     Pairs in buckets of up to 64 all appear; larger buckets give links that span their components.
@@ -190,7 +253,7 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     if not 0 <= radius <= 3:
         raise ValueError("buckets of two of five blocks find at most three differing bits")
     return (
-        fps.mapInArrow(_bucketed, "bucket long, pivots long, fp long")
+        buckets(fps, radius, crowded)
         .repartition("bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_linked(radius), "a long, b long")
