@@ -12,11 +12,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from station_telemetry.llm.common import stored, text_key, with_row
+from station_telemetry.llm.common import stored, with_row
 
 WINDOW = 13
 #: Words of benchmark items in one automaton, which is broadcast; more items make further passes.
@@ -211,10 +213,10 @@ def matches(
     if len(passes) == 1:
         return rows.mapInArrow(_scan(passes[0]), f"row {row}, {_FOUND}")
     # Too many items for one automaton: a pass for each block, put together per text.
-    keyed = rows.withColumn("tkey", text_key())
+    keyed = rows.withColumn("tkey", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     found = None
     for shared in passes:
-        one = keyed.drop("row").mapInArrow(_scan(shared), f"tkey long, {_FOUND}").where("size(items) > 0")
+        one = keyed.drop("row").mapInArrow(_scan(shared), f"tkey string, {_FOUND}").where("size(items) > 0")
         one = stored(one, "hits").withColumn("ranges", F.explode_outer("ranges"))
         found = one if found is None else found.unionByName(one)
     found = found.groupBy("tkey").agg(
@@ -258,10 +260,59 @@ def judged(found: DataFrame, coverage: int = 20) -> DataFrame:
     )
 
 
-def decontaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without contaminated ones; same columns. Documents below the limit stay whole."""
+def _cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """A text without the bytes from the first word of each span to its last."""
+    in_word = np.frombuffer(text.translate(_TO_WORDS), np.uint8) != 0x20
+    edges = np.flatnonzero(np.diff(in_word, prepend=False, append=False))
+    begins, ends = edges[::2].tolist(), edges[1::2].tolist()
+    kept, at = [], 0
+    for first, stop in spans:
+        kept.append(text[at : begins[first]])
+        at = ends[stop - 1]
+    return b"".join([*kept, text[at:]])
+
+
+@F.pandas_udf(T.BinaryType())
+def _without(text: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.Series:
+    return pd.Series(
+        [None if t is None else _cut(t, list(zip(b.tolist(), e.tolist()))) for t, b, e in zip(text, begins, ends)],
+        dtype=object,
+    )
+
+
+def without_spans(found: DataFrame, span_words: int = WINDOW, coverage: int | None = None) -> Column:
+    """The text of `row` without spans of benchmark words; a column over what `judged` returns.
+
+    A span is a longest run of hit words. It goes where it has `span_words` words or more and, with
+    `coverage`, also where one word in `coverage` or more of its document is hit, however short it is.
+    All bytes between its first and last word go; separators around it stay. Texts without such a
+    span, null and empty ones stay as they are, and only texts that have one are sent to Python.
+    """
+    long = F.filter("ranges", lambda r: r["to"] - r["from"] >= span_words)
+    if coverage is not None:
+        dense = (F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words"))
+        long = F.when(dense, F.col("ranges")).otherwise(long)
+    any_left = F.size(long) > 0
+    mine = lambda c: F.when(any_left, c)
+    cut = _without(
+        mine(F.col("row.text").cast("binary")),
+        mine(F.transform(long, lambda r: r["from"])),
+        mine(F.transform(long, lambda r: r["to"])),
+    )
+    return F.when(any_left, cut.cast("string")).otherwise(F.col("row.text"))
+
+
+def decontaminated(documents: DataFrame, benchmark: DataFrame, span_words: int | None = WINDOW) -> DataFrame:
+    """The documents without contaminated ones, the others without long spans; same columns.
+
+    A document with one hit word in twenty or more goes whole; of the others, spans of `span_words`
+    hit words or more are cut from the text (None: nothing is cut). See `without_spans`.
+    """
     kept = judged(matches(documents, benchmark)).where(~F.col("contaminated"))
-    return kept.select(*[F.col(f"row.`{c}`") for c in documents.columns])
+    columns = {c: F.col(f"row.`{c}`") for c in documents.columns}
+    if span_words is not None:
+        columns["text"] = without_spans(kept, span_words)
+    return kept.select(*[value.alias(c) for c, value in columns.items()])
 
 
 def op3_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against its rule in plain Python, on the small tables and on odd rows."""
 
 import random
+import re
 from collections import Counter
 
 import brute
@@ -161,6 +162,57 @@ def test_contamination_of_odd_rows(spark, odd, block):
     assert kept.columns == odd.columns and kept.count() == len(ODD)
 
 
+@pytest.mark.parametrize("span, coverage", [(3, None), (13, None), (3, 4), (1, None)])
+def test_spans_of_the_benchmark_are_cut(spark, span, coverage):
+    rng = random.Random(5)
+    pool = ["ab", "Cd", "é", "9", "zz"]
+    items = [(i, " ".join(rng.choice(pool) for _ in range(rng.choice([2, 4, 15])))) for i in range(6)]
+    rows = [(0, None), (1, ""), (2, " .. "), (3, items[0][1]), (4, items[0][1])]
+    for d in range(5, 60):
+        words = [rng.choice([*pool, "other", "words"]) for _ in range(rng.randint(1, 25))]
+        words.insert(rng.randint(0, len(words)), rng.choice(items)[1])
+        rows.append((d, rng.choice(["", "¡", "; "]) + "".join(w + rng.choice([" ", ", ", "\n", " - "]) for w in words)))
+    want = {}
+    for d, text in rows:
+        data = (text or "").encode()
+        found = list(re.finditer(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", data))
+        words, hit = [m.group().lower() for m in found], set()
+        for _, item in items:
+            other = [w.encode().lower() for w in item.split()]
+            size = min(13, len(other))
+            for k in range(len(other) - size + 1):
+                for i in range(len(words) - size + 1):
+                    if words[i : i + size] == other[k : k + size]:
+                        hit.update(range(i, i + size))
+        dense = coverage is not None and hit and len(hit) * coverage >= len(words)
+        for begin in sorted((i for i in hit if i - 1 not in hit), reverse=True):
+            end = next(i for i in range(begin, len(words) + 1) if i not in hit)
+            if end - begin >= span or dense:
+                data = data[: found[begin].start()] + data[found[end - 1].end() :]
+        want[d] = None if text is None else data.decode()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontamination.judged(decontamination.matches(frame, spark.createDataFrame(items, "item_id long, text string")))
+    got = found.select("row.doc_id", decontamination.without_spans(found, span, coverage).alias("text"))
+    assert {r.doc_id: r.text for r in got.collect()} == want
+    assert sum(want[d] != t for d, t in rows) > 10
+
+
+def test_long_spans_go_from_documents_that_stay(spark, odd):
+    item = " ".join(f"w{i}" for i in range(20))
+    text = "clean words here " * 300
+    rows = [(1, f"{text}{item} end", "a"), (1, f"{text}{item} end", "a"), (2, f"{item} only", "b"), (3, None, "c"), (4, text, "d")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, ranges string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = decontamination.decontaminated(frame, benchmark)
+    assert kept.columns == frame.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+        [(1, f"{text} end", "a"), (1, f"{text} end", "a"), (3, None, "c"), (4, text, "d")], key=str
+    )
+    whole = decontamination.decontaminated(frame, benchmark, span_words=None)
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted([r for r in rows if r[0] != 2], key=str)
+    assert decontamination.decontaminated(odd, benchmark).columns == odd.columns
+
+
 def test_fingerprints_and_components(spark, sf, docs):
     assert by_id(QUERIES["op10_simhash_near_dedup"](spark, sf)) == brute.near_duplicates(docs)
 
@@ -175,13 +227,16 @@ def test_near_duplicates_of_odd_rows(odd):
     assert simhash_pivots.near_duplicates(empty(odd)).count() == 0
 
 
-def test_links_in_crowded_buckets(spark, sf):
+@pytest.mark.parametrize("crowded", [4_096, 16])
+def test_links_in_crowded_buckets(spark, sf, crowded):
     """Fingerprints around a few centres: pairs in small buckets, spanning links in large ones."""
     rng = random.Random(2)
     centres = [rng.getrandbits(64) for _ in range(3)]
     fps = {c ^ sum(1 << b for b in rng.sample(range(20), rng.randint(0, 3))) for c in centres for _ in range(200)}
     signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
-    edges = simhash_pivots.links(spark.createDataFrame(signed, "fp long"))
+    frame = spark.createDataFrame(signed, "fp long")
+    assert simhash_pivots.buckets(frame, crowded=crowded).groupBy("bucket").count().agg(F.max("count")).first()[0] <= max(crowded, 400)
+    edges = simhash_pivots.links(frame, crowded=crowded)
     got = {r.node: r.root for r in components(edges).collect()}
     root = {f: f for f in fps}
 
