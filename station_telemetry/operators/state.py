@@ -14,7 +14,7 @@ from station_telemetry.session import written
 RECORD_HEADER_BYTES = 8  # fixed value: two four-byte lengths before key and value
 
 
-def latest(log: DataFrame, key: str, order: str | tuple[str, ...]) -> DataFrame:
+def latest(log: DataFrame, key: str | tuple[str, ...], order: str | tuple[str, ...]) -> DataFrame:
     """The row with the highest `order` per key, all columns; several order columns count in turn.
 
     Spark turns "first row per key" into a limit per key before the shuffle, so a hot key sends
@@ -22,7 +22,7 @@ def latest(log: DataFrame, key: str, order: str | tuple[str, ...]) -> DataFrame:
     maxima, this is the fastest for few, many and hot keys alike.
     """
     columns = (order,) if isinstance(order, str) else order
-    newest_first = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in columns])
+    newest_first = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*[F.col(c).desc() for c in columns])
     return (
         log.withColumn("_rank", F.row_number().over(newest_first))
         .where(F.col("_rank") == 1)

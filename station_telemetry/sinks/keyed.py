@@ -25,6 +25,8 @@ from station_telemetry.operators.state import latest
 from station_telemetry.sinks import generations
 
 BUCKETS = 32
+# Rows of a task that sorts: some 120 MB of documents. Twice as many changes still count as few.
+TASK_ROWS = 1 << 18
 
 
 class KeyedTable:
@@ -110,23 +112,41 @@ class KeyedTable:
                 newest[bucket] = through
         return newest
 
-    def _changes(self, after: int, upto: int) -> DataFrame:
-        """The last change of each key in a range of positions.
+    def _log(self, after: int, upto: int) -> DataFrame:
+        """The changes in a range of positions.
 
         Only those folders are opened, so Spark plans with their size, not the whole log's.
         """
         log = f"{self.root}/changes"
+        columns = T.StructType([*self.columns.fields, T.StructField("position", T.LongType())])
         found = [p for p in self._finished("changes", "position=") if after < p <= upto]
         if not found:
-            return self.spark.createDataFrame([], self.columns)
-        place = T.StructField("position", T.LongType())
-        rows = (
-            self.spark.read.schema(T.StructType([*self.columns.fields, place]))
-            .option("basePath", log)
-            .parquet(*[f"{log}/position={p}" for p in found])
-        )
+            return self.spark.createDataFrame([], columns)
+        paths = [f"{log}/position={p}" for p in found]
+        return self.spark.read.schema(columns).option("basePath", log).parquet(*paths)
+
+    def _tasks(self, log: DataFrame, settled: DataFrame) -> int:
+        """Over how many tasks to spread both; 1 for few changes, which Spark spreads by itself.
+
+        The counts come from the footers of the files.
+        """
+        changed = log.count()
+        if changed <= 2 * TASK_ROWS:
+            return 1
+        return -(-max(changed, settled.count()) // TASK_ROWS)
+
+    def _changes(self, log: DataFrame, tasks: int = 1) -> DataFrame:
+        """The last change of each key.
+
+        A file may hold more rows than a task can sort, and a key more than a task should get. So
+        many rows are spread by key and time first, and each part sends its last row of a key on.
+        """
         arrived = (*self.order, "position") if self.by_order else ("position", *self.order)
-        return latest(rows, self.key, arrived).select(*self.columns.names)
+        if tasks > 1:
+            part = F.pmod(F.xxhash64(*arrived), F.lit(tasks))
+            parts = log.withColumn("_part", part).repartition(tasks, self.key, "_part")
+            log = latest(parts, (self.key, "_part"), arrived).repartition(tasks, self.key)
+        return latest(log, self.key, arrived).select(*self.columns.names)
 
     def _settled(self, buckets: dict[str, int]) -> DataFrame:
         if not buckets:
@@ -146,14 +166,18 @@ class KeyedTable:
         settled = self._settled(self._newest_buckets())
         if upto <= through:
             return settled
-        return self._with(settled, self._changes(through, upto))
+        log = self._log(through, upto)
+        tasks = self._tasks(log, settled)
+        return self._with(settled, self._changes(log, tasks), tasks)
 
-    def _with(self, settled: DataFrame, replaced: DataFrame) -> DataFrame:
+    def _with(self, settled: DataFrame, replaced: DataFrame, tasks: int = 1) -> DataFrame:
+        if tasks > 1:
+            settled = settled.repartition(tasks, self.key)
         keys = replaced.select(self.key)
         if self.by_order:
             # A settled row may be newer than the change. On a tie both are the same message.
             both = settled.join(keys, self.key, "left_semi").unionByName(replaced)
-            replaced = latest(both, self.key, self.order)
+            replaced = latest(both.repartition(tasks, self.key) if tasks > 1 else both, self.key, self.order)
         return settled.join(keys, self.key, "left_anti").unionByName(replaced)
 
     def lookup(self, key: str) -> DataFrame:
@@ -163,18 +187,19 @@ class KeyedTable:
         newest = self._newest_buckets()
         settled = self._settled({bucket: newest[bucket]} if bucket in newest else {})
         mine = F.col(self.key) == key
-        return self._with(settled.where(mine), self._changes(through, upto).where(mine))
+        return self._with(settled.where(mine), self._changes(self._log(through, upto)).where(mine))
 
     def compact(self) -> int:
         """Applies the changes to the buckets they touch; returns the position (-1: empty table)."""
         through, upto = self._extent()
         if upto <= through:
             return through
-        changes = self._changes(through, upto)
-        touched = [r.b for r in changes.select(self._bucket(F.col(self.key)).alias("b")).distinct().collect()]
-        old = {b: t for b, t in self._newest_buckets().items() if b in set(touched)}
+        log = self._log(through, upto)
+        touched = [r.b for r in log.select(self._bucket(F.col(self.key)).alias("b")).distinct().collect()]
+        settled = self._settled({b: t for b, t in self._newest_buckets().items() if b in set(touched)})
+        tasks = self._tasks(log, settled)
         (
-            self._with(self._settled(old), changes)
+            self._with(settled, self._changes(log, tasks), tasks)
             .withColumn("bucket", self._bucket(F.col(self.key)))
             .hint("rebalance", "bucket")
             .write.mode("overwrite")

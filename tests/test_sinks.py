@@ -160,6 +160,24 @@ def test_many_changes_are_joined_by_shuffle(spark, table):
     assert len(rows) == 5_000 and rows["3999"] == -3_999 and rows["4000"] == 4_000
 
 
+@pytest.mark.parametrize("by_order", [False, True])
+def test_many_changes_are_sorted_in_small_tasks(spark, tmp_path, monkeypatch, by_order):
+    """One file and a hot key, yet no task gets many more rows than it may sort."""
+    monkeypatch.setattr("station_telemetry.sinks.keyed.TASK_ROWS", 500)
+    table = KeyedTable(spark, str(tmp_path / "t"), COLUMNS, "k", "o", by_order=by_order)
+    key = F.when(F.col("id") < 2_000, "hot").otherwise(F.col("id").cast("string"))
+    rows = spark.range(0, 6_000, 1, 1).select(key.alias("k"), F.col("id").alias("v"), F.col("id").alias("o"))
+    want = {"hot": 1_999, **{str(n): n for n in range(2_000, 6_000)}}
+    for position in (0, 1):
+        table.upsert(rows, position)
+        parts = table.current().select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+        assert len(parts) >= 8 and max(r["count"] for r in parts) < 1_000
+        assert live(table) == want and table.current().count() == len(want)
+        table.compact()
+        assert live(table) == want
+    assert table.lookup("hot").first().v == 1_999
+
+
 def snapshots(tmp_path):
     found = glob.glob(str(tmp_path / "table" / "snapshot" / "*" / "bucket=*"))
     return sorted(tuple(p.split("/")[-2:]) for p in found)
