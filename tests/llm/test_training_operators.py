@@ -300,6 +300,29 @@ def test_forest_finds_what_is_odd_only_beside_good_text(column, per_word):
     assert twice != 0  # unlike counts per word, lengths differ
 
 
+def test_forest_and_limit_come_from_every_row(spark):
+    """Spread over tasks they are those of the rows in memory, and one row in 25,000 counts."""
+    rng = np.random.default_rng(2)
+    words = rng.integers(60, 3_000, 25_000)
+    rows = np.stack([words, words * 5, words // 50, words * 0, words // 20], axis=1)
+    good = np.arange(25_000) % 50 != 7
+    rows[~good, 2] = rows[~good, 0]
+    rows[24_999, 3] = rows[24_999, 0]
+    table = spark.createDataFrame(
+        [(k, bool(g), *map(int, r)) for k, (g, r) in enumerate(zip(good, rows))],
+        "deal long, good boolean, " + ", ".join(f"{c} long" for c in quality_rules.COUNTS),
+    ).repartition(3)
+    unfitted = quality_rules.usual_of(table.where("good"), 0.01)
+    fitted = quality_rules.forest_of(table, unfitted)
+    alone = quality_rules.forest(rows, rows[good])
+    assert all(np.array_equal(getattr(fitted, n), getattr(alone, n)) for n in alone.__dataclass_fields__)
+    assert 3 in fitted.column  # only the last row splits repeated lines
+    limit = quality_rules.limit_of(table.select("good", *quality_rules.COUNTS), fitted)
+    assert limit == quality_rules.calibrated(quality_rules.mean_paths(rows, alone), good)
+    kept = quality_rules.mean_paths(rows, fitted) >= limit
+    assert not kept[~good].any() and kept[good].mean() >= 1 - quality_rules.MOST_LOST
+
+
 def accuracy(spark, name, label):
     """(recall of 1, recall of 0) on labelled rows that training didn't see, at sf0.1."""
     sf = "/root/testdata/sf0.1"
