@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from station_telemetry.llm.common import pieces, with_row
 
+#: Bytes of text scored at once: a score's arrays take some 80 bytes for each, in every Python worker.
+SCORE_BYTES = 1 << 18
+
 
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the doc_id as text, mod `modulus`; a null doc_id counts as the text ""."""
@@ -67,7 +70,7 @@ def scored(documents: DataFrame, model: object, score: Score, columns: list[str]
 
     def scan(batches):
         for batch in batches:
-            found = [score(data, offsets, shared.value) for _, _, data, offsets in pieces(batch.column("text"))]
+            found = [score(data, offsets, shared.value) for _, _, data, offsets in pieces(batch.column("text"), SCORE_BYTES)]
             values = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(values.astype(np.float64))], names=["row", "score"]

@@ -69,12 +69,14 @@ def fit(texts: list[str], labels: np.ndarray) -> bytes:
     for text, label in zip(texts, labels.tolist()):
         data = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
         found = [f for f, _ in features(data, np.array([0, len(data)]))]
-        bucket, count = np.unique(np.concatenate([*found, [BUCKETS]]).astype(np.int64), return_counts=True)
-        rows.append((bucket, (count / count.sum()).astype(np.float32), int(label)))
+        bucket, count = np.unique(np.concatenate([*found, [BUCKETS]]).astype(np.int32), return_counts=True)
+        # All rows stay in memory: counts in as few bytes as they need.
+        rows.append((bucket, count.astype(np.min_scalar_type(int(count.max()))), int(count.sum()), int(label)))
     steps, done = EPOCHS * len(rows), 0
     for _ in range(EPOCHS):
         for k in rng.permutation(len(rows)):
-            bucket, weight, label = rows[k]
+            bucket, count, total, label = rows[k]
+            weight = (count.astype(np.int64) / total).astype(np.float32)
             rate = np.float32(RATE * (1 - done / steps))
             done += 1
             own = vectors[bucket]

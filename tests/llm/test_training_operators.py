@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import brute
@@ -300,6 +301,20 @@ def test_forest_finds_what_is_odd_only_beside_good_text(column, per_word):
     assert twice != 0  # unlike counts per word, lengths differ
 
 
+def test_training_rows_are_kept_small():
+    """Below eight bytes for each feature of a text, and what all else takes."""
+    rng = np.random.default_rng(4)
+    texts = ["".join(map(chr, rng.integers(97, 123, 8_000))) + f" {k}" for k in range(400)]
+    sizes = [len(np.unique(np.concatenate([f for f, _ in quality_classifier.features(d, np.array([0, len(d)]))])))
+             for d in (np.frombuffer(t.encode(), np.uint8) for t in texts)]
+    tracemalloc.start()
+    quality_classifier.fit(texts, np.arange(400) % 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    vectors = 4 * (quality_classifier.BUCKETS + 1) * quality_classifier.DIMENSIONS
+    assert peak < 8 * sum(sizes) + 3 * vectors
+
+
 def test_forest_and_limit_come_from_every_row(spark):
     """Spread over tasks they are those of the rows in memory, and one row in 25,000 counts."""
     rng = np.random.default_rng(2)
